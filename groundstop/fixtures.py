@@ -3,7 +3,7 @@
 Mapping: shipment line -> flight; brand -> carrier; supplier nation ->
 origin; customer nation -> destination; a returned line with discount >=
 9% -> cancelled (about 5%, a minority class).  The same views exist as SQL
-in ``groundstop.plans.oracle`` for the DuckDB check; here they are
+in ``groundstop.plans.views`` for the DuckDB check; here they are
 DataFrame plans so that Catalyst prunes the columns each query needs down
 to the parquet scans.
 
@@ -144,16 +144,29 @@ def flights_raw_2(t) -> DataFrame:
     )
 
 
-def scored(t) -> DataFrame:
-    """Scored log from a fixed rule standing in for a model (exact results)."""
+def scored(t, with_feature: bool = False) -> DataFrame:
+    """Scored log from a fixed rule standing in for a model (exact results).
+
+    ``with_feature`` adds the request text the model was called with
+    (``carrier,origin,dest,week,hour``), taken in the same pass.
+    """
     f = flights_full(t)
     r = (F.col("order_no") * 7 + F.col("line_no") * 13) % 101
-    return f.select(
+    cols = [
         F.col("row_key").alias("uuid"),
         (F.lit(1700000000000) + F.col("order_no") * 1000 + F.col("line_no")).cast("long").alias("timestamp_ms"),
         (r.cast("double") / 100).alias("p_cancel"),
         F.when(r >= 50, F.lit(1)).otherwise(F.lit(0)).alias("prediction"),
-    )
+    ]
+    if with_feature:
+        from groundstop.functions import hour_text, iso_week
+
+        cols.append(
+            F.concat_ws(
+                ",", "op_carrier", "origin", "dest", iso_week("fl_date").cast("string"), hour_text("crs_dep_time")
+            ).alias("feature")
+        )
+    return f.select(*cols)
 
 
 def late_labels(t) -> DataFrame:

@@ -98,7 +98,7 @@ def yes_no(flag: ColumnOrName) -> Column:
 
 def epoch_ms_to_timestamp(ms: ColumnOrName) -> Column:
     """Epoch milliseconds -> TIMESTAMP_NTZ, independent of the session time zone."""
-    return F.timestampadd("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
+    return F.timestamp_add("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def rate_percent(part: ColumnOrName, total: ColumnOrName, digits: int = 6) -> Column:

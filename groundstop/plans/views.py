@@ -78,6 +78,14 @@ SELECT row_key AS uuid,
   CAST(1700000000000 + order_no * 1000 + line_no AS BIGINT) AS timestamp_ms,
   CAST((order_no * 7 + line_no * 13) % 101 AS DOUBLE) / 100 AS p_cancel,
   CASE WHEN (order_no * 7 + line_no * 13) % 101 >= 50 THEN 1 ELSE 0 END AS prediction
+FROM flights_full""",
+    "scored_requests": """
+SELECT row_key AS uuid,
+  CAST(1700000000000 + order_no * 1000 + line_no AS BIGINT) AS timestamp_ms,
+  CAST((order_no * 7 + line_no * 13) % 101 AS DOUBLE) / 100 AS p_cancel,
+  CASE WHEN (order_no * 7 + line_no * 13) % 101 >= 50 THEN 1 ELSE 0 END AS prediction,
+  concat_ws(',', op_carrier, origin, dest, CAST(weekofyear(fl_date) AS VARCHAR),
+            left(lpad(CAST(CAST(crs_dep_time AS INT) AS VARCHAR), 4, '0'), 2)) AS feature
 FROM flights_full""",
     "late_labels": """
 SELECT row_key AS uuid, CASE WHEN cancelled = 1 THEN 1 ELSE 0 END AS final_label
@@ -97,6 +105,7 @@ VIEW_DEPS: dict[str, tuple[str, ...]] = {
     "flights_raw_1": ("flights_full",),
     "flights_raw_2": ("flights_full",),
     "scored": ("flights_full",),
+    "scored_requests": ("flights_full",),
     "late_labels": ("flights_full",),
     "registry_flat": (),
 }

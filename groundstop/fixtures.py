@@ -20,6 +20,20 @@ from pyspark.sql import functions as F
 from groundstop.schemas import UNIFIED_COLUMNS
 
 
+def _memo(fn):
+    """Build each view once per ``Tables`` object (a lazy plan; no data is cached)."""
+
+    def wrapper(t, *args, **kwargs):
+        if not hasattr(t, "view"):
+            return fn(t, *args, **kwargs)
+        key = fn.__name__ + repr(args) + repr(sorted(kwargs.items()))
+        return t.view(key, lambda tt: fn(tt, *args, **kwargs))
+
+    wrapper.__name__ = fn.__name__
+    wrapper.__doc__ = fn.__doc__
+    return wrapper
+
+
 def _nation_code(c: str):
     return F.concat(F.lit("N"), F.lpad(F.col(c).cast("string"), 2, "0"))
 
@@ -32,6 +46,7 @@ def _when_delayed(value):
     return F.when((F.col("cancelled") == 0) & (F.col("qty") >= 30), value)
 
 
+@_memo
 def flights_full(t) -> DataFrame:
     """Modern-layout flights plus ``row_key`` and three helper columns."""
     li, o, c, s, p = t["lineitem"], t["orders"], t["customer"], t["supplier"], t["part"]
@@ -88,11 +103,13 @@ def flights_full(t) -> DataFrame:
     )
 
 
+@_memo
 def flights(t) -> DataFrame:
     """The unified flights table: ``row_key`` + the 25 unified columns."""
     return flights_full(t).select("row_key", *UNIFIED_COLUMNS)
 
 
+@_memo
 def flights_raw_1(t) -> DataFrame:
     """Legacy layout (all numbers double), rows before 1999."""
     f = flights_full(t).where(F.year("fl_date") < 1999)
@@ -131,6 +148,7 @@ def flights_raw_1(t) -> DataFrame:
     )
 
 
+@_memo
 def flights_raw_2(t) -> DataFrame:
     """Modern layout (times as text, ``NA`` for missing in the files), rows from 1999."""
     f = flights_full(t).where(F.year("fl_date") >= 1999)
@@ -144,6 +162,7 @@ def flights_raw_2(t) -> DataFrame:
     )
 
 
+@_memo
 def scored(t, with_feature: bool = False) -> DataFrame:
     """Scored log from a fixed rule standing in for a model (exact results).
 
@@ -169,6 +188,7 @@ def scored(t, with_feature: bool = False) -> DataFrame:
     return f.select(*cols)
 
 
+@_memo
 def late_labels(t) -> DataFrame:
     """Ground truth that arrives later; rows of line 7 are still pending."""
     f = flights_full(t).where(F.col("line_no") != 7)
@@ -178,6 +198,7 @@ def late_labels(t) -> DataFrame:
     )
 
 
+@_memo
 def registry_flat(t) -> DataFrame:
     """Flat base columns of the model registry (one record per supplier)."""
     s = t["supplier"]

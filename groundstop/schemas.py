@@ -98,20 +98,41 @@ TARGET_NAMES = ["Not-cancelled", "Cancelled"]
 ROW_KEY = "row_key"
 
 
-def with_row_key(ddl: str) -> T.StructType:
-    """Schema of a raw layout with the fixture's ``row_key`` in front."""
-    return T.StructType.fromDDL(f"{ROW_KEY} string, {ddl}")
+_FLAT_TYPES = {"double": T.DoubleType, "string": T.StringType, "date": T.DateType, "int": T.IntegerType}
 
 
-LEGACY_SCHEMA = T.StructType.fromDDL(LEGACY_DDL)
-MODERN_SCHEMA = T.StructType.fromDDL(MODERN_DDL)
-TRAINING_SCHEMA = T.StructType.fromDDL(TRAINING_DDL)
+def flat_schema(ddl: str) -> T.StructType:
+    """``"a double, b string"`` -> StructType (flat, nullable; no JVM needed at import)."""
+    fields = []
+    for item in ddl.split(","):
+        name, type_name = item.split()
+        fields.append(T.StructField(name, _FLAT_TYPES[type_name](), True))
+    return T.StructType(fields)
 
-# --- fixed values: model registry record (nested) ---------------------------
-REGISTRY_SCHEMA = T.StructType.fromDDL(
-    "id string, name string, projectId int, "
-    "project struct<id: int, slug: string>, "
-    "creator struct<username: string>, "
-    "latestModelDeployment struct<status: string, "
-    "replicationStatus: struct<numReplicasAvailable: int>>"
-)
+
+def with_row_key(ddl: str) -> T.StructType:
+    """Schema of a raw layout with the fixture's ``row_key`` in front."""
+    return flat_schema(f"{ROW_KEY} string, {ddl}")
+
+
+LEGACY_SCHEMA = flat_schema(LEGACY_DDL)
+MODERN_SCHEMA = flat_schema(MODERN_DDL)
+TRAINING_SCHEMA = flat_schema(TRAINING_DDL)
+
+# --- fixed values: model registry record (nested, explicit structs) ---------
+REGISTRY_SCHEMA = T.StructType([
+    T.StructField("id", T.StringType()),
+    T.StructField("name", T.StringType()),
+    T.StructField("projectId", T.IntegerType()),
+    T.StructField("project", T.StructType([
+        T.StructField("id", T.IntegerType()),
+        T.StructField("slug", T.StringType()),
+    ])),
+    T.StructField("creator", T.StructType([T.StructField("username", T.StringType())])),
+    T.StructField("latestModelDeployment", T.StructType([
+        T.StructField("status", T.StringType()),
+        T.StructField("replicationStatus", T.StructType([
+            T.StructField("numReplicasAvailable", T.IntegerType()),
+        ])),
+    ])),
+])

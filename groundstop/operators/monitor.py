@@ -98,6 +98,9 @@ def accuracy_by_block(
     ``n``, ``accuracy``, ``start_ms`` / ``end_ms`` (first and last time
     stamp of the block).
     """
+    if all(isinstance(c, str) for c in order):
+        # Only the columns the block figures need travel through the sort and checkpoint.
+        labelled = labelled.select(*dict.fromkeys([*order, label, prediction, ts]))
     pos = with_position(labelled, list(order))
     block = F.floor((F.col("position") - 1) / F.lit(block_size)).cast("long")
     correct = F.when(F.col(label).cast("int") == F.col(prediction).cast("int"), 1.0).otherwise(0.0)
@@ -113,9 +116,13 @@ def accuracy_by_block(
     )
 
 
-def prediction_records(scored_requests: DataFrame, labels: DataFrame, deployment: str, key: str = "uuid") -> DataFrame:
-    """One nested metric record per prediction; label null while pending."""
-    rows = scored_requests.join(labels, key, "left")
+def with_late_labels(scored_requests: DataFrame, labels: DataFrame, key: str = "uuid") -> DataFrame:
+    """Every scored row with its label, null while the label is pending (left join)."""
+    return scored_requests.join(labels, key, "left")
+
+
+def prediction_records(rows: DataFrame, deployment: str, key: str = "uuid") -> DataFrame:
+    """One nested metric record per prediction (``rows`` from ``with_late_labels``)."""
     return rows.select(
         F.col(key).alias("record_id"),
         F.col("timestamp_ms").alias("startTimeStampMs"),

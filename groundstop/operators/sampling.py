@@ -48,7 +48,22 @@ def split_flag(key: str = ROW_KEY, train_fraction: float = 0.75, salt: str = SPL
     return hash_prefix(_salted(key, salt)) < F.lit(hash_threshold(train_fraction))
 
 
-def train_test_split(df: DataFrame, train_fraction: float = 0.75, key: str = ROW_KEY) -> tuple[DataFrame, DataFrame]:
+def train_test_split(
+    df: DataFrame,
+    train_fraction: float = 0.75,
+    key: str = ROW_KEY,
+    method: str = "hash",
+    seed: int = 42,
+) -> tuple[DataFrame, DataFrame]:
+    """Training and test parts.
+
+    ``method="hash"`` (default): salted hash of the key, the same rows on
+    any layout.  ``method="random"``: ``randomSplit`` with ``seed``, whose
+    rows depend on the partition layout.
+    """
+    if method == "random":
+        train, test = df.randomSplit([train_fraction, 1.0 - train_fraction], seed)
+        return train, test
     flag = split_flag(key, train_fraction)
     return df.where(flag), df.where(~flag)
 

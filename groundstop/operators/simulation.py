@@ -60,10 +60,23 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop(how="any")
 
 
+# Above this many rows a top-n merge would funnel n x tasks rows into one task.
+TOP_N_LIMIT = 100_000
+
+
 def sample_exact(df: DataFrame, n: int, key: str = ROW_KEY) -> DataFrame:
     """Exactly ``min(n, rows)`` pseudo-random rows, the same ones on every run.
 
-    Ordered by the md5 of the key (then the key) and limited: planned as
-    TakeOrderedAndProject, each task keeps only its first ``n`` rows.
+    Rows are ranked by the md5 of the key (then the key).  For small ``n``
+    this is ``orderBy().limit(n)`` (TakeOrderedAndProject: each task keeps
+    only its first ``n`` rows).  For large ``n`` the rank is the global
+    position from a range sort (no single-task merge) and rows with
+    position <= n are kept.
     """
-    return df.orderBy(*hash_order(key)).limit(n)
+    if n <= TOP_N_LIMIT:
+        return df.orderBy(*hash_order(key)).limit(n)
+    from groundstop.operators.monitor import with_position
+
+    ranked = df.withColumn("_h", F.md5(F.col(key).cast("string")))
+    pos = with_position(ranked, ["_h", key], name="_pos")
+    return pos.where(F.col("_pos") <= n).drop("_h", "_pos")

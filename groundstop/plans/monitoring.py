@@ -3,6 +3,7 @@ accuracy per block, metric records, prediction log, model registry."""
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from groundstop import fixtures as fx
@@ -12,8 +13,8 @@ from groundstop.plans.features_model import _TS_SQL
 from groundstop.plans.ingest_io import _SIM_SQL
 from groundstop.plans.registry import query
 from groundstop.plans.views import with_views
-from groundstop.session import scratch_table
-from groundstop.sources import append_table, load_tables, replace_table, save_table
+from groundstop.session import scratch_path, scratch_table
+from groundstop.sources import append_table, load_tables, read_registry_json, replace_table, save_table
 
 DEPLOYMENT = "deployment-crn-1"
 
@@ -87,14 +88,16 @@ def _labelled(spark, sf_dir):
     return monitor.attach_labels(fx.scored(t), fx.late_labels(t))
 
 
-def _metrics_frame(spark, sf_dir):
-    """Nested metric records (per prediction and per block) -> flat, cleaned table rows."""
+def _metric_rows(spark, sf_dir):
+    """Every scored request with its label (null while pending): one left join."""
     t = _t(spark, sf_dir)
-    labels = fx.late_labels(t)
-    blocks = monitor.accuracy_by_block(monitor.attach_labels(fx.scored(t), labels))
-    records = monitor.prediction_records(fx.scored(t, with_feature=True), labels, DEPLOYMENT).unionByName(
-        monitor.block_records(blocks, DEPLOYMENT)
-    )
+    return monitor.with_late_labels(fx.scored(t, with_feature=True), fx.late_labels(t))
+
+
+def _metrics_frame(rows):
+    """Nested metric records (per prediction and per full block) -> flat, cleaned table rows."""
+    blocks = monitor.accuracy_by_block(rows.where(F.col("final_label").isNotNull()))
+    records = monitor.prediction_records(rows, DEPLOYMENT).unionByName(monitor.block_records(blocks, DEPLOYMENT))
     flat = nested.flatten(records)
     return flat.select(
         "record_id",
@@ -164,7 +167,11 @@ def progress_fraction(spark, sf_dir):
 @query("metrics_table", with_views(["scored", "scored_requests", "late_labels"], _METRICS_SQL, extra=_MON_CTES), bench=True)
 def metrics_table(spark, sf_dir):
     """Publish the flat metrics log: one write replacing the table (no drop-then-create gap)."""
-    table = replace_table(_metrics_frame(spark, sf_dir), scratch_table(spark, "model_metrics"))
+    rows = _metric_rows(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)  # read by two branches
+    try:
+        table = replace_table(_metrics_frame(rows), scratch_table(spark, "model_metrics"))
+    finally:
+        rows.unpersist()
     return spark.table(table)
 
 
@@ -174,7 +181,8 @@ def metrics_table(spark, sf_dir):
                f"SELECT * FROM ({_METRICS_SQL}) m ORDER BY end_ts DESC, record_id DESC LIMIT 5", extra=_MON_CTES),
 )
 def metrics_tail(spark, sf_dir):
-    return _metrics_frame(spark, sf_dir).orderBy(F.col("end_ts").desc(), F.col("record_id").desc()).limit(5)
+    metrics = _metrics_frame(_metric_rows(spark, sf_dir))
+    return metrics.orderBy(F.col("end_ts").desc(), F.col("record_id").desc()).limit(5)
 
 
 @query(
@@ -286,7 +294,10 @@ def _registry(spark, sf_dir):
 
 @query("registry_nested", with_views(["registry_flat"], f"SELECT id, {_REG_JSON} AS record_json FROM registry_flat"))
 def registry_nested(spark, sf_dir):
-    reg = _registry(spark, sf_dir)
+    """Registry records written as JSON lines and read back with the explicit nested schema."""
+    path = scratch_path(spark, "models_json")
+    _registry(spark, sf_dir).write.mode("overwrite").json(path)
+    reg = read_registry_json(spark, path)
     return reg.select("id", F.to_json(F.struct(*reg.columns)).alias("record_json"))
 
 

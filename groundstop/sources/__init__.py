@@ -3,6 +3,7 @@
 from groundstop.sources.csv import (
     read_legacy_csv,
     read_modern_csv,
+    read_registry_json,
     read_training_csv,
     write_csv,
 )
@@ -23,6 +24,7 @@ __all__ = [
     "load_tables",
     "read_legacy_csv",
     "read_modern_csv",
+    "read_registry_json",
     "read_training_csv",
     "replace_table",
     "save_table",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from groundstop.schemas import LEGACY_DDL, MODERN_DDL, TRAINING_SCHEMA, with_row_key
+from groundstop.schemas import LEGACY_DDL, MODERN_DDL, REGISTRY_SCHEMA, TRAINING_SCHEMA, with_row_key
 
 
 def read_legacy_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
@@ -41,3 +41,8 @@ def write_csv(df: DataFrame, path: str, null_value: str | None = None, mode: str
         writer = writer.option("nullValue", null_value)
     writer.csv(path)
     return path
+
+
+def read_registry_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """Nested registry records (JSON lines) with an explicit nested schema: structs, no maps."""
+    return spark.read.schema(schema or REGISTRY_SCHEMA).json(path)

@@ -2,14 +2,8 @@
 
 One ``Tables`` object per (session, folder): parquet relations and the
 fixture views built on them are planned once and reused by every query,
-the way a catalog view is registered once.
-
-A fact table whose scan yields fewer input splits than the cluster has
-cores (for example one file with a single row group) would run the whole
-scan-join-aggregate pipeline in one task.  Such a table is hash-spread on
-its join key right after the scan.  On large inputs (thousands of splits)
-the condition is false and no shuffle is added; the hash partitioning on
-the join key is also the one a sort-merge join on that key requires.
+the way a catalog view is registered once.  Only plans are shared, never
+data: each query still reads its columns from the files.
 """
 
 from __future__ import annotations
@@ -23,9 +17,6 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# Fact tables that drive the pipelines, and the key they are joined on.
-SPREAD_KEYS = {"lineitem": "l_orderkey"}
-
 _CACHE: dict[tuple[int, str], "Tables"] = {}
 _LOCK = threading.Lock()
 
@@ -33,22 +24,16 @@ _LOCK = threading.Lock()
 class Tables(dict):
     """``name -> DataFrame``; each parquet file is opened on first use only."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, spread: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str):
         super().__init__()
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
-        self.spread = spread
         self.views: dict[str, DataFrame] = {}
 
     def __missing__(self, name: str) -> DataFrame:
         if name not in TABLES:
             raise KeyError(name)
         df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-        key = SPREAD_KEYS.get(name)
-        if self.spread and key:
-            cores = self.spark.sparkContext.defaultParallelism
-            if df.rdd.getNumPartitions() < cores:
-                df = df.repartition(cores, key)
         self[name] = df
         return df
 

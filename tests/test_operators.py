@@ -117,3 +117,17 @@ def test_ingest_identity_through_csv(spark, sf_dir):
     assert unified.columns == ["row_key"] + UNIFIED_COLUMNS
     assert unified.exceptAll(expected).count() == 0
     assert expected.exceptAll(unified).count() == 0
+
+
+def test_exact_n_large_path_matches_small_path(spark, sf_dir, monkeypatch):
+    sim = simulation.simulation_frame(fx.flights(load_tables(spark, sf_dir)))
+    small = {r.row_key for r in simulation.sample_exact(sim, 500).collect()}
+    monkeypatch.setattr(simulation, "TOP_N_LIMIT", 10)
+    large = {r.row_key for r in simulation.sample_exact(sim, 500).collect()}
+    assert small == large and len(small) == 500
+
+
+def test_random_split_option(spark, sf_dir):
+    fl = fx.flights(load_tables(spark, sf_dir))
+    train, test = sampling.train_test_split(fl, method="random")
+    assert train.count() + test.count() == fl.count()

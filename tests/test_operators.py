@@ -131,3 +131,17 @@ def test_random_split_option(spark, sf_dir):
     fl = fx.flights(load_tables(spark, sf_dir))
     train, test = sampling.train_test_split(fl, method="random")
     assert train.count() + test.count() == fl.count()
+
+
+def test_prediction_log_stream_is_exactly_once_on_restart(spark, sf_dir):
+    """A second run over the same source and checkpoint adds nothing."""
+    from groundstop.streaming import prediction_log_stream
+
+    scored = fx.scored(load_tables(spark, sf_dir), with_feature=True).withColumn(
+        "prediction", F.col("prediction").cast("int"))
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("s_in", "s_out", "s_ckpt"))
+    scored.write.parquet(src)
+    prediction_log_stream(spark, src, sink, ckpt).awaitTermination()
+    first = spark.read.parquet(sink).count()
+    prediction_log_stream(spark, src, sink, ckpt).awaitTermination()
+    assert spark.read.parquet(sink).count() == first == scored.count()

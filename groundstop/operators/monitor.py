@@ -4,15 +4,17 @@ Global position (``with_position``) is the scalable replacement of a loop
 over rows in arrival order.  A ``row_number()`` window without a
 partition would pull every row into one task; instead:
 
-1. range-partition on the order key and sort within partitions,
+1. range-partition on the order key (AQE sizes the partitions; merged
+   partitions stay contiguous ranges) and sort within partitions,
 2. tag each row with its partition id and in-partition ordinal
    (``monotonically_increasing_id`` = partition << 33 | ordinal),
-3. freeze that layout with a reliable ``checkpoint()`` in the shared
-   checkpoint folder, so both passes below (and any task retry after an
-   executor loss) see the same partitions,
-4. count rows per partition (one row per partition), turn the counts into
-   offsets with a running sum over that tiny table, and broadcast it back
-   (its size is the partition count, not the data size).
+3. freeze the tags by writing the rows as a parquet table below the shared
+   checkpoint folder (this cuts the lineage; partition id and ordinal are
+   stored columns, so the later passes and any task retry after an
+   executor loss see the same values),
+4. count rows per partition id (one row per partition), turn the counts
+   into offsets with a running sum over that tiny table, and broadcast it
+   back (its size is the partition count, not the data size).
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundstop.session import checkpoint_dir
+from groundstop.session import scratch_path
 
 _ORDINAL_MASK = (1 << 33) - 1
 
@@ -52,15 +54,14 @@ def with_position(
     the row count.
     """
     spark = df.sparkSession
-    checkpoint_dir(spark)
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    tagged = (
-        df.repartitionByRange(n, *cols)
-        .sortWithinPartitions(*cols)
-        .select("*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid"))
+    ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
+    tagged = ranged.sortWithinPartitions(*cols).select(
+        "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
     )
-    frozen = tagged.checkpoint(eager=True)
+    path = scratch_path(spark, "positions")
+    tagged.write.parquet(path)
+    frozen = spark.read.parquet(path)
     counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(

@@ -145,3 +145,9 @@ def test_prediction_log_stream_is_exactly_once_on_restart(spark, sf_dir):
     first = spark.read.parquet(sink).count()
     prediction_log_stream(spark, src, sink, ckpt).awaitTermination()
     assert spark.read.parquet(sink).count() == first == scored.count()
+
+
+def test_positions_with_adaptive_partition_count(spark):
+    df = spark.range(3000).select(F.format_string("%05d", F.col("id")).alias("k")).repartition(5)
+    pos = {r.k: r.position for r in monitor.with_position(df, ["k"]).collect()}
+    assert pos == {f"{i:05d}": i + 1 for i in range(3000)}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundstop.functions import hour_of_departure, iso_week
@@ -31,57 +31,60 @@ def features_label(sample: DataFrame) -> DataFrame:
     return complete.select(*key, *CATEGORICAL_FEATURES, *NUMERIC_FEATURES, LABEL)
 
 
+def category_pairs(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES, keep: Sequence[str] = ()) -> DataFrame:
+    """One ``(column_name, category)`` row per input row and column, from a single scan."""
+    pairs = F.explode(
+        F.array(*[
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category")) for c in columns
+        ])
+    )
+    return df.select(*keep, pairs.alias("_p")).select(*keep, "_p.column_name", "_p.category")
+
+
+def _ranked(distinct: DataFrame) -> Window:
+    return Window.partitionBy("column_name").orderBy("category")
+
+
 def category_index(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """``(column_name, category, idx)``: 0-based alphabetical index per column.
 
     The same order ``StringIndexer(stringOrderType="alphabetAsc")`` uses.
-    Values are made distinct first (partial aggregation in every task), so
-    the ranking window only sees one row per category; its size is the
-    vocabulary, which is also the width of the one-hot vector.
+    One scan: the categorical columns are exploded into pairs and made
+    distinct with partial aggregation in every task, so the ranking window
+    only sees one row per category; its size is the vocabulary, which is
+    also the width of the one-hot vector.
     """
-    parts = [
-        df.where(F.col(c).isNotNull())
-        .groupBy(F.col(c).cast("string").alias("category"))
-        .agg(F.lit(c).alias("column_name"))
-        for c in columns
-    ]
-    distinct = parts[0]
-    for p in parts[1:]:
-        distinct = distinct.unionByName(p)
-    w = Window.partitionBy("column_name").orderBy("category")
+    distinct = category_pairs(df, columns).where(F.col("category").isNotNull()).distinct()
     return distinct.select(
-        "column_name", "category", (F.row_number().over(w) - 1).cast("int").alias("idx")
+        "column_name", "category", (F.row_number().over(_ranked(distinct)) - 1).cast("int").alias("idx")
     )
 
 
-def indicator_scale(df: DataFrame, index: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
-    """Sample standard deviation of every one-hot indicator and of the numeric features.
+def indicator_scale(df: DataFrame, is_train: Column, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
+    """Sample standard deviation, over the training rows, of every one-hot
+    indicator and of the numeric features.
 
-    For an indicator that is 1 on ``k`` of ``n`` rows the sample variance is
-    ``k (n - k) / (n (n - 1))``; ``k`` comes from a grouped count, so no wide
-    vector is ever built.  Categories of ``index`` absent from ``df`` get
-    ``k = 0``.  ``df`` must have no nulls in ``columns`` (as after
-    ``features_label``).  Output ``(feature, std)`` with ``feature`` =
-    ``column=category`` or the numeric column name.
+    The dictionary is every category of ``df`` (all rows, as the encoder is
+    fitted); ``is_train`` marks the rows the scaler is fitted on.  For an
+    indicator that is 1 on ``k`` of ``n`` training rows the sample variance
+    is ``k (n - k) / (n (n - 1))``; ``k`` comes from one grouped pass over
+    exploded (column, category) pairs, so no wide vector is built.
+    ``df`` must have no nulls in ``columns`` (as after ``features_label``).
+    Output ``(feature, std)`` with ``feature`` = ``column=category`` or the
+    numeric column name.
     """
-    counts = None
-    for c in columns:
-        part = df.groupBy(F.col(c).cast("string").alias("category")).agg(
-            F.lit(c).alias("column_name"), F.count(F.lit(1)).cast("double").alias("k")
-        )
-        counts = part if counts is None else counts.unionByName(part)
-    # Rows per column = sum of its category counts (one row per column).
-    totals = counts.groupBy("column_name").agg(F.sum("k").alias("n"))
-    per_cat = (
-        index.join(counts, ["column_name", "category"], "left")
-        .na.fill(0.0, ["k"])
-        .join(totals, "column_name")
+    pairs = category_pairs(df.withColumn("_train", is_train), columns, keep=["_train"])
+    per_cat = pairs.groupBy("column_name", "category").agg(
+        F.count(F.when(F.col("_train"), 1)).cast("double").alias("k")
     )
+    # Training rows per column: each has exactly one category per column.
+    n = F.sum("k").over(Window.partitionBy("column_name"))
     indicators = per_cat.select(
         F.concat_ws("=", "column_name", "category").alias("feature"),
-        F.round(F.sqrt(F.col("k") * (F.col("n") - F.col("k")) / (F.col("n") * (F.col("n") - 1))), 6).alias("std"),
+        F.round(F.sqrt(F.col("k") * (n - F.col("k")) / (n * (n - 1))), 6).alias("std"),
     )
-    numeric = df.agg(*[F.stddev_samp(c).alias(c) for c in NUMERIC_FEATURES])
+    train = df.where(is_train)
+    numeric = train.agg(*[F.stddev_samp(c).alias(c) for c in NUMERIC_FEATURES])
     numeric_long = numeric.unpivot([], list(NUMERIC_FEATURES), "feature", "std").select(
         "feature", F.round("std", 6).alias("std")
     )

@@ -141,9 +141,7 @@ def onehot_positions(spark, sf_dir):
 
 @query("feature_scale", with_views(["flights"], _SCALE_SQL, extra=_SCALE_CTES))
 def feature_scale(spark, sf_dir):
-    fl = _features(spark, sf_dir)
-    train, _ = sampling.train_test_split(fl)
-    return features.indicator_scale(train, features.category_index(fl))
+    return features.indicator_scale(_features(spark, sf_dir), sampling.split_flag())
 
 
 # --- model -------------------------------------------------------------------

@@ -41,7 +41,7 @@ def test_scaler_matches_indicator_scale(fitted):
     enc_width = model.onehot_width(m)
     stds = list(scaler.std)
     assert len(stds) == enc_width + 2
-    ours = {r.feature: r.std for r in features.indicator_scale(train, features.category_index(fl)).collect()}
+    ours = {r.feature: r.std for r in features.indicator_scale(fl, sampling.split_flag()).collect()}
     labels = [lab for arr in m.stages[0].labelsArray for lab in arr]
     names = []
     for col, arr in zip(["op_carrier", "origin", "dest"], m.stages[0].labelsArray):

@@ -151,3 +151,19 @@ def test_positions_with_adaptive_partition_count(spark):
     df = spark.range(3000).select(F.format_string("%05d", F.col("id")).alias("k")).repartition(5)
     pos = {r.k: r.position for r in monitor.with_position(df, ["k"]).collect()}
     assert pos == {f"{i:05d}": i + 1 for i in range(3000)}
+
+
+def test_hot_timestamp_is_split_across_range_partitions(spark):
+    """A third of all rows share one time stamp; the unique id in the sort key splits them."""
+    n = 9000
+    df = spark.range(n).select(
+        F.format_string("u%05d", F.col("id")).alias("uuid"),
+        F.when(F.col("id") % 3 == 0, F.lit(5000)).otherwise(F.col("id")).cast("long").alias("timestamp_ms"),
+    )
+    sizes = [r[1] for r in df.repartitionByRange(8, "timestamp_ms", "uuid")
+             .groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < n / 4  # balanced: no partition holds the hot third
+    pos = monitor.with_position(df, ["timestamp_ms", "uuid"], num_partitions=8)
+    got = [r.uuid for r in pos.orderBy("position").collect()]
+    want = [r.uuid for r in df.orderBy("timestamp_ms", "uuid").collect()]
+    assert got == want

@@ -85,10 +85,23 @@ def train_job(
 
 
 def score_job(spark: SparkSession, model_path: str, requests: DataFrame, feature: str = "feature") -> DataFrame:
-    """Score request texts ``"carrier,origin,dest,week,hour"``: prediction and probability."""
+    """Score request texts ``"carrier,origin,dest,week,hour"``: prediction and probability.
+
+    Every request comes back.  One whose week is not an ISO week (1-53) or
+    whose hour is not 0-24 gets ``valid = false`` and null results instead
+    of a score.
+    """
     keep = [c for c in requests.columns if c != feature]
-    parsed = scoring.parse_requests(requests, feature, keep=keep)
-    return model.score(model.load_model(model_path), parsed, keep)
+    parsed = scoring.parse_requests(requests, feature, keep=keep).withColumn("valid", scoring.request_valid())
+    fitted = model.load_model(model_path)
+    good = model.score(fitted, parsed.where("valid"), keep + ["valid"])
+    bad = parsed.where(~F.col("valid")).select(
+        *keep, "valid",
+        F.lit(None).cast("int").alias("prediction"),
+        F.lit(None).cast("double").alias("p_cancel"),
+        F.lit(None).cast("string").alias("proba"),
+    )
+    return good.unionByName(bad)
 
 
 def monitor_job(

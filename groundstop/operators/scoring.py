@@ -35,6 +35,17 @@ def parse_requests(df: DataFrame, feature: str = "feature", keep: list[str] | No
     return df.select(*keep, *typed)
 
 
+# ISO weeks are 1-53 and departure hours 0-24.
+WEEK_RANGE = (1, 53)
+HOUR_RANGE = (0, 24)
+
+
+def request_valid(week: str = "week", hour: str = "hour"):
+    """True when the parsed week and hour are in range (a week list of 0-51 would not be)."""
+    in_range = F.col(week).between(*WEEK_RANGE) & F.col(hour).between(*HOUR_RANGE)
+    return F.coalesce(in_range, F.lit(False))
+
+
 def to_request_json(feature: str = "feature"):
     return F.to_json(F.struct(F.col(feature).alias("feature")))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from groundstop import fixtures as fx
@@ -160,17 +161,26 @@ _YEAR_SLICES = [(1997, None), (1995, 1997)]
     with_views(["flights_raw_1"], _LEGACY_NORM_SQL + "\nWHERE origin IN ('N01', 'N02', 'N03') AND year >= 1995"),
 )
 def sink_orc_append(spark, sf_dir):
-    raw = fx.flights_raw_1(_t(spark, sf_dir))
+    """Overwrite with the first slice, append the other five (3 airports x 2 year ranges).
+
+    The source is read once: the rows of the three airports are persisted
+    and every slice is a filter of that frame.
+    """
+    raw = fx.flights_raw_1(_t(spark, sf_dir)).where(F.col("origin").isin(_AIRPORTS))
+    raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
     table = scratch_table(spark, "flight_prototype")
-    first = True
-    for airport in _AIRPORTS:
-        for lo, hi in _YEAR_SLICES:
-            part = ingest.prototype_slice(raw, airport, lo, hi)
-            if first:
-                save_table(part, table, "orc")
-                first = False
-            else:
-                append_table(part, table, "orc")
+    try:
+        first = True
+        for airport in _AIRPORTS:
+            for lo, hi in _YEAR_SLICES:
+                part = ingest.prototype_slice(raw, airport, lo, hi)
+                if first:
+                    save_table(part, table, "orc")
+                    first = False
+                else:
+                    append_table(part, table, "orc")
+    finally:
+        raw.unpersist()
     return spark.table(table)
 
 

@@ -32,9 +32,12 @@ def test_pipeline_end_to_end(spark, sf_dir):
         F.col("row_key").alias("rid"),
         F.concat_ws(",", "op_carrier", "origin", "dest", "week", "hour").alias("feature"),
     )
-    scored = jobs.score_job(spark, model_path, requests).collect()
-    assert len(scored) == sample.count()
-    assert all(r.prediction in (0, 1) and 0.0 <= r.p_cancel <= 1.0 for r in scored)
+    bad = spark.createDataFrame([("bad", "Brand#1,N01,N02,0,9")], "rid string, feature string")
+    scored = jobs.score_job(spark, model_path, requests.unionByName(bad)).collect()
+    assert len(scored) == sample.count() + 1
+    invalid = [r for r in scored if not r.valid]
+    assert [r.rid for r in invalid] == ["bad"] and invalid[0].prediction is None
+    assert all(r.prediction in (0, 1) and 0.0 <= r.p_cancel <= 1.0 for r in scored if r.valid)
 
 
 def test_partitioned_ingest(spark, sf_dir):

@@ -52,3 +52,17 @@ def test_no_join_is_forced_to_broadcast(spark, sf_dir):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_both_join_orders_give_the_same_flights(spark, sf_dir):
+    from groundstop.sources.testdata import Tables
+
+    small = fx.flights(Tables(spark, sf_dir))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = fx.flights(Tables(spark, sf_dir))
+        plan = _plan(rates.rate_by_carrier(large))
+        assert plan.count("SortMergeJoin") == 4
+        assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -1,6 +1,6 @@
 """Column expressions (built-in Spark functions only)."""
 
-from groundstop.functions.hashing import hash_order, hash_prefix, hash_sample, hash_threshold
+from groundstop.functions.hashing import content_key, hash_order, hash_prefix, hash_sample, hash_threshold
 from groundstop.functions.scalars import (
     blank_to_null,
     date_from_parts,
@@ -12,6 +12,7 @@ from groundstop.functions.scalars import (
     hour_padded_ref,
     hour_text,
     iso_week,
+    now_ms,
     number_text,
     rate_percent,
     route_key,
@@ -20,6 +21,7 @@ from groundstop.functions.scalars import (
 
 __all__ = [
     "blank_to_null",
+    "content_key",
     "date_from_parts",
     "directed_route",
     "epoch_ms_to_timestamp",
@@ -33,6 +35,7 @@ __all__ = [
     "hour_padded_ref",
     "hour_text",
     "iso_week",
+    "now_ms",
     "number_text",
     "rate_percent",
     "route_key",

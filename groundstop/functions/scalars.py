@@ -101,6 +101,11 @@ def epoch_ms_to_timestamp(ms: ColumnOrName) -> Column:
     return F.timestamp_add("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
+def now_ms() -> Column:
+    """Current time in epoch milliseconds (evaluated once per query)."""
+    return F.unix_millis(F.current_timestamp())
+
+
 def rate_percent(part: ColumnOrName, total: ColumnOrName, digits: int = 6) -> Column:
     """``part / total * 100`` as a double rounded to ``digits``."""
     return F.round(_c(part).cast("double") / _c(total).cast("double") * F.lit(100.0), digits)

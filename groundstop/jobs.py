@@ -25,14 +25,24 @@ from groundstop.sources.tables import replace_table
 
 
 def ingest_job(
-    spark: SparkSession, legacy_path: str, modern_path: str, table: str, *, partition_by_year: bool = False
+    spark: SparkSession,
+    legacy_path: str,
+    modern_path: str,
+    table: str,
+    *,
+    partition_by_year: bool = False,
+    with_key: bool = False,
 ) -> bool:
     """Unify both raw layouts into ``table`` unless it already exists; True if written.
 
     No shuffle: scan -> project -> union -> write.  ``partition_by_year``
     lays the table out by flight year, so year filters prune whole folders.
+    ``with_key``: the raw files carry a leading ``row_key`` (test fixtures).
     """
-    flights = ingest.unify(read_legacy_csv(spark, legacy_path), read_modern_csv(spark, modern_path))
+    flights = ingest.unify(
+        read_legacy_csv(spark, legacy_path, with_key=with_key),
+        read_modern_csv(spark, modern_path, with_key=with_key),
+    )
     if partition_by_year:
         flights = flights.withColumn("year", F.year("fl_date"))
         if spark.catalog.tableExists(table):

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundstop.functions import hour_of_departure, iso_week
+from groundstop.functions import content_key, hour_of_departure, iso_week
 from groundstop.operators.sampling import undersample
 from groundstop.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES, ROW_KEY, TRAINING_COLUMNS
 
@@ -18,10 +18,15 @@ def with_hour_week(df: DataFrame) -> DataFrame:
 
 
 def training_sample(flights: DataFrame, fraction: float = 0.03, method: str = "hash") -> DataFrame:
-    """All cancelled flights plus ``fraction`` of the others, 12 columns (+ row key)."""
-    key = [ROW_KEY] if ROW_KEY in flights.columns else []
+    """All cancelled flights plus ``fraction`` of the others: row key + 12 columns.
+
+    Input without a row key gets one from the row's content, so the hash
+    sample and the later split stay repeatable.
+    """
+    if ROW_KEY not in flights.columns:
+        flights = flights.withColumn(ROW_KEY, content_key(flights.columns))
     sample = undersample(flights, fraction, method=method)
-    return with_hour_week(sample).select(*key, *TRAINING_COLUMNS)
+    return with_hour_week(sample).select(ROW_KEY, *TRAINING_COLUMNS)
 
 
 def features_label(sample: DataFrame) -> DataFrame:

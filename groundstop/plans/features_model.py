@@ -89,7 +89,7 @@ def training_sample(spark, sf_dir):
 @query("sample_csv_roundtrip", with_views(["flights"], _TS_SQL))
 def sample_csv_roundtrip(spark, sf_dir):
     path = write_csv(_sample(spark, sf_dir), scratch_path(spark, "training_sample"))
-    return read_training_csv(spark, path)
+    return read_training_csv(spark, path, with_key=True)
 
 
 @query("features_label", with_views(["flights"], "SELECT * FROM fl", extra=_FEATURE_CTES))

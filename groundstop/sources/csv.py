@@ -5,18 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from groundstop.schemas import LEGACY_DDL, MODERN_DDL, REGISTRY_SCHEMA, TRAINING_SCHEMA, with_row_key
-
-
-def read_legacy_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """One header CSV (or a folder of them) in the legacy layout."""
-    schema = schema or with_row_key(LEGACY_DDL)
+from groundstop.schemas import (
+    LEGACY_DDL,
+    LEGACY_SCHEMA,
+    MODERN_DDL,
+    MODERN_SCHEMA,
+    REGISTRY_SCHEMA,
+    TRAINING_SCHEMA,
+    with_row_key,
+)
+
+
+def read_legacy_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, with_key: bool = False
+) -> DataFrame:
+    """One header CSV (or a folder of them) in the legacy layout (29 columns).
+
+    ``with_key``: the files carry a leading ``row_key`` column (test fixtures).
+    """
+    schema = schema or (with_row_key(LEGACY_DDL) if with_key else LEGACY_SCHEMA)
     return spark.read.schema(schema).option("header", True).option("sep", ",").csv(path)
 
 
-def read_modern_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A folder of header CSV files in the modern layout; ``NA`` is null."""
-    schema = schema or with_row_key(MODERN_DDL)
+def read_modern_csv(
+    spark: SparkSession, path: str, schema: T.StructType | None = None, with_key: bool = False
+) -> DataFrame:
+    """A folder of header CSV files in the modern layout (27 columns); ``NA`` is null."""
+    schema = schema or (with_row_key(MODERN_DDL) if with_key else MODERN_SCHEMA)
     return (
         spark.read.schema(schema)
         .option("header", True)
@@ -26,7 +41,7 @@ def read_modern_csv(spark: SparkSession, path: str, schema: T.StructType | None
     )
 
 
-def read_training_csv(spark: SparkSession, path: str, with_key: bool = True) -> DataFrame:
+def read_training_csv(spark: SparkSession, path: str, with_key: bool = False) -> DataFrame:
     """The exported training sample read back with its declared types."""
     schema = T.StructType(
         ([T.StructField("row_key", T.StringType())] if with_key else []) + TRAINING_SCHEMA.fields

@@ -9,6 +9,7 @@ data: each query still reads its columns from the files.
 from __future__ import annotations
 
 import threading
+import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -17,7 +18,8 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-_CACHE: dict[tuple[int, str], "Tables"] = {}
+# session -> {folder -> Tables}; dropped with the session.
+_CACHE: "weakref.WeakKeyDictionary[SparkSession, dict[str, Tables]]" = weakref.WeakKeyDictionary()
 _LOCK = threading.Lock()
 
 
@@ -45,9 +47,9 @@ class Tables(dict):
 
 
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
-    key = (id(spark), sf_dir.rstrip("/"))
+    key = sf_dir.rstrip("/")
     with _LOCK:
-        t = _CACHE.get(key)
-        if t is None or t.spark is not spark:
-            t = _CACHE[key] = Tables(spark, sf_dir)
-        return t
+        per_session = _CACHE.setdefault(spark, {})
+        if key not in per_session:
+            per_session[key] = Tables(spark, key)
+        return per_session[key]

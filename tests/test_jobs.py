@@ -12,8 +12,8 @@ def test_pipeline_end_to_end(spark, sf_dir):
     legacy = write_csv(fx.flights_raw_1(t), scratch_path(spark, "job_set_1"))
     modern = write_csv(fx.flights_raw_2(t), scratch_path(spark, "job_set_2"), null_value="NA")
     table = scratch_table(spark, "job_flights")
-    assert jobs.ingest_job(spark, legacy, modern, table) is True
-    assert jobs.ingest_job(spark, legacy, modern, table) is False  # already there: left alone
+    assert jobs.ingest_job(spark, legacy, modern, table, with_key=True) is True
+    assert jobs.ingest_job(spark, legacy, modern, table, with_key=True) is False  # already there: left alone
     flights = spark.table(table)
     assert flights.count() == 6000
 
@@ -45,7 +45,7 @@ def test_partitioned_ingest(spark, sf_dir):
     legacy = write_csv(fx.flights_raw_1(t), scratch_path(spark, "pj_set_1"))
     modern = write_csv(fx.flights_raw_2(t), scratch_path(spark, "pj_set_2"), null_value="NA")
     table = scratch_table(spark, "job_flights_by_year")
-    assert jobs.ingest_job(spark, legacy, modern, table, partition_by_year=True)
+    assert jobs.ingest_job(spark, legacy, modern, table, partition_by_year=True, with_key=True)
     df = spark.table(table).where(F.col("year") == 1996)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan and "(year" in plan
@@ -58,3 +58,19 @@ def test_monitor_job(spark, sf_dir):
                            "dep-1")
     assert out.where(F.col("metrics_accuracy").isNotNull()).count() == 50
     assert out.count() == 6000 + 50
+
+
+def test_real_layouts_without_key(spark, sf_dir):
+    """Files in the real layouts (no row key) are read with the 29- and 27-column schemas."""
+    t = load_tables(spark, sf_dir)
+    legacy = write_csv(fx.flights_raw_1(t).drop("row_key"), scratch_path(spark, "nk_set_1"))
+    modern = write_csv(fx.flights_raw_2(t).drop("row_key"), scratch_path(spark, "nk_set_2"), null_value="NA")
+    table = scratch_table(spark, "job_flights_nokey")
+    assert jobs.ingest_job(spark, legacy, modern, table)
+    got = spark.table(table)
+    assert len(got.columns) == 25
+    assert got.exceptAll(fx.flights(t).drop("row_key")).count() == 0
+
+    sample_path = jobs.sample_job(got, scratch_path(spark, "nk_sample"))
+    rep = jobs.train_job(spark, sample_path, scratch_path(spark, "nk_model"), max_iter=2, max_depth=2)
+    assert rep.count() == 5

@@ -52,8 +52,15 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:
-    """A unique, fully qualified table name in the scratch database."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {_SCRATCH_DB}")
+    """A unique, fully qualified table name in the scratch database.
+
+    The scratch database lives below the shared checkpoint folder, so its
+    managed tables are on shared storage and never in a process's working
+    directory.
+    """
+    if not spark.catalog.databaseExists(_SCRATCH_DB):
+        location = checkpoint_dir(spark).rstrip("/") + "/scratch-db"
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_SCRATCH_DB} LOCATION '{location}'")
     return f"{_SCRATCH_DB}.{name}_{uuid.uuid4().hex[:10]}"
 
 

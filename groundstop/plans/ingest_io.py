@@ -10,7 +10,7 @@ from groundstop.functions import flight_id, hour_of_departure, hour_padded_ref
 from groundstop.operators import ingest, simulation
 from groundstop.plans.registry import query
 from groundstop.plans.views import with_views
-from groundstop.schemas import LEGACY_DDL, MODERN_DDL, UNIFIED_COLUMNS, with_row_key
+from groundstop.schemas import LEGACY_DDL, MODERN_DDL, with_row_key
 from groundstop.session import scratch_path, scratch_table
 from groundstop.sources import (
     append_table,

@@ -1,6 +1,5 @@
 """Physical-plan properties: pushdown, pruning, partial aggregation, bounded top-k."""
 
-from pyspark.sql import functions as F
 
 from groundstop import fixtures as fx
 from groundstop.operators import rates

@@ -14,6 +14,7 @@ from groundstop.sources.tables import (
     replace_table,
     save_table,
     scan_table,
+    show_tables,
 )
 from groundstop.sources.testdata import load_tables
 
@@ -29,5 +30,6 @@ __all__ = [
     "replace_table",
     "save_table",
     "scan_table",
+    "show_tables",
     "write_csv",
 ]

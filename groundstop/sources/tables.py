@@ -52,6 +52,11 @@ def scan_table(spark: SparkSession, table: str) -> DataFrame:
     return spark.sql(f"SELECT * FROM {table}")
 
 
+def show_tables(spark: SparkSession, database: str) -> DataFrame:
+    """Tables of a database (``SHOW TABLES IN db``): namespace, tableName, isTemporary."""
+    return spark.sql(f"SHOW TABLES IN {database}")
+
+
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
     """Column names and types of a catalog table (``DESCRIBE TABLE``)."""
     return spark.sql(f"DESCRIBE TABLE {table}").where("col_name NOT LIKE '#%' AND col_name <> ''")

@@ -167,3 +167,32 @@ def test_hot_timestamp_is_split_across_range_partitions(spark):
     got = [r.uuid for r in pos.orderBy("position").collect()]
     want = [r.uuid for r in df.orderBy("timestamp_ms", "uuid").collect()]
     assert got == want
+
+
+def test_split_is_layout_independent(spark, sf_dir):
+    f = fx.flights(load_tables(spark, sf_dir))
+    a = {r.row_key for r in sampling.train_test_split(f.coalesce(1))[0].collect()}
+    b = {r.row_key for r in sampling.train_test_split(f.repartition(7))[0].collect()}
+    assert a == b and 0.70 < len(a) / f.count() < 0.80
+
+
+def test_label_join_stream_restart_adds_nothing(spark, sf_dir):
+    from groundstop.streaming import label_join_stream
+
+    t = load_tables(spark, sf_dir)
+    labels = fx.late_labels(t).withColumn("final_label", F.col("final_label").cast("int"))
+    src, sink, ckpt = (scratch_path(spark, n) for n in ("l_in", "l_out", "l_ckpt"))
+    labels.write.parquet(src)
+    label_join_stream(spark, src, fx.scored(t), sink, ckpt).awaitTermination()
+    first = spark.read.parquet(sink).count()
+    label_join_stream(spark, src, fx.scored(t), sink, ckpt).awaitTermination()  # nothing new arrived
+    assert spark.read.parquet(sink).count() == first == labels.count()
+
+
+def test_show_tables(spark, sf_dir):
+    from groundstop.session import scratch_table
+    from groundstop.sources import save_table, show_tables
+
+    table = save_table(fx.flights(load_tables(spark, sf_dir)).limit(5), scratch_table(spark, "shown"))
+    db, name = table.split(".")
+    assert name in {r.tableName for r in show_tables(spark, db).collect()}

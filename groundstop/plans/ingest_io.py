@@ -107,7 +107,13 @@ def proto_slice_atl(spark, sf_dir):
     with_views(["flights_raw_1"], _LEGACY_NORM_SQL + "\nWHERE origin = 'N01' AND year >= 1995 AND year < 1997"),
 )
 def proto_slice_range(spark, sf_dir):
-    return ingest.prototype_slice(fx.flights_raw_1(_t(spark, sf_dir)), "N01", 1995, 1997)
+    """The SQL form: a projecting, filtering SELECT on a registered view of the raw rows."""
+    view = scratch_table(spark, "flights_raw_1").split(".")[1]
+    fx.flights_raw_1(_t(spark, sf_dir)).createOrReplaceTempView(view)
+    try:
+        return ingest.prototype_slice_sql(spark, view, "N01", 1995, 1997)
+    finally:
+        spark.catalog.dropTempView(view)
 
 
 # --- sources -----------------------------------------------------------------

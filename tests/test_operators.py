@@ -196,3 +196,16 @@ def test_show_tables(spark, sf_dir):
     table = save_table(fx.flights(load_tables(spark, sf_dir)).limit(5), scratch_table(spark, "shown"))
     db, name = table.split(".")
     assert name in {r.tableName for r in show_tables(spark, db).collect()}
+
+
+def test_prototype_sql_equals_dataframe_form(spark, sf_dir):
+    raw = fx.flights_raw_1(load_tables(spark, sf_dir))
+    raw.createOrReplaceTempView("raw_legacy_t")
+    try:
+        for lo, hi in [(1996, None), (1995, 1997)]:
+            a = ingest.prototype_slice_sql(spark, "raw_legacy_t", "N05", lo, hi)
+            b = ingest.prototype_slice(raw, "N05", lo, hi)
+            assert a.count() > 0
+            assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    finally:
+        spark.catalog.dropTempView("raw_legacy_t")

@@ -57,31 +57,36 @@ def prototype_slice(
     return normalize_legacy(df).withColumn("diverted", F.col("diverted").cast("double"))
 
 
-# Alias + cast projection of the legacy layout, as SQL text over a catalog
-# table or view; the filter values are bound as named parameters.
-_PROTOTYPE_SQL = """
-SELECT {key}
-  make_date(CAST(year AS INT), CAST(month AS INT), CAST(dayofmonth AS INT)) AS fl_date,
-  CAST(CAST(deptime AS BIGINT) AS STRING) AS dep_time,
-  CAST(CAST(crsdeptime AS BIGINT) AS STRING) AS crs_dep_time,
-  CAST(CAST(arrtime AS BIGINT) AS STRING) AS arr_time,
-  CAST(CAST(crsarrtime AS BIGINT) AS STRING) AS crs_arr_time,
-  uniquecarrier AS op_carrier,
-  CAST(CAST(flightnum AS BIGINT) AS STRING) AS op_carrier_fl_num,
-  actualelapsedtime AS actual_elapsed_time, crselapsedtime AS crs_elapsed_time, airtime AS air_time,
-  arrdelay AS arr_delay, depdelay AS dep_delay, origin, dest, distance,
-  taxiin AS taxi_in, taxiout AS taxi_out, cancelled, cancellationcode AS cancellation_code,
-  CAST(diverted AS DOUBLE) AS diverted, carrierdelay AS carrier_delay, weatherdelay AS weather_delay,
-  nasdelay AS nas_delay, securitydelay AS security_delay, lateaircraftdelay AS late_aircraft_delay
-FROM IDENTIFIER(:source)
-WHERE origin = :origin AND year >= :year_from AND (:year_to IS NULL OR year < :year_to)"""
+def _prototype_select() -> list[str]:
+    """SQL select items for the unified columns, derived from the declared legacy mapping."""
+    legacy_name = {unified: legacy for legacy, unified in LEGACY_RENAMES.items()}
+    items = []
+    for col in UNIFIED_COLUMNS:
+        if col == "fl_date":
+            items.append("make_date(CAST(year AS INT), CAST(month AS INT), CAST(dayofmonth AS INT)) AS fl_date")
+        elif col in TEXT_NUMBER_COLUMNS:
+            items.append(f"CAST(CAST({legacy_name[col]} AS BIGINT) AS STRING) AS {col}")
+        elif col == "diverted":
+            items.append(f"CAST({legacy_name[col]} AS DOUBLE) AS {col}")
+        else:
+            items.append(f"{legacy_name[col]} AS {col}")
+    return items
 
 
 def prototype_slice_sql(
     spark, source: str, origin: str, year_from: int, year_to: int | None = None, with_key: bool = True
 ) -> DataFrame:
-    """The prototype projection as a parameterised SQL query on a catalog table or view."""
-    sql = _PROTOTYPE_SQL.format(key=f"{ROW_KEY}," if with_key else "")
+    """The prototype projection as a parameterised SQL query on a catalog table or view.
+
+    An alias + cast projection with a filter on origin and a half-open year
+    range; the values are bound as named parameters, the source by
+    ``IDENTIFIER``.
+    """
+    items = ([ROW_KEY] if with_key else []) + _prototype_select()
+    sql = (
+        "SELECT " + ",\n  ".join(items) + "\nFROM IDENTIFIER(:source)\n"
+        "WHERE origin = :origin AND year >= :year_from AND (:year_to IS NULL OR year < :year_to)"
+    )
     return spark.sql(
         sql, args={"source": source, "origin": origin, "year_from": year_from, "year_to": year_to}
     )

@@ -80,3 +80,8 @@ def sample_exact(df: DataFrame, n: int, key: str = ROW_KEY) -> DataFrame:
     ranked = df.withColumn("_h", F.md5(F.col(key).cast("string")))
     pos = with_position(ranked, ["_h", key], name="_pos")
     return pos.where(F.col("_pos") <= n).drop("_h", "_pos")
+
+
+def simulation_sample(sim: DataFrame, n: int = 10_000, key: str = ROW_KEY) -> DataFrame:
+    """The cleaning chain before scoring: exact-n sample -> relabel -> blanks to null -> complete rows."""
+    return drop_incomplete(clean_values(sample_exact(sim, n, key)))

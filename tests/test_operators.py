@@ -210,3 +210,14 @@ def test_prototype_sql_equals_dataframe_form(spark, sf_dir):
             assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
     finally:
         spark.catalog.dropTempView("raw_legacy_t")
+
+
+def test_simulation_sample_chain(spark, sf_dir):
+    f = fx.flights(load_tables(spark, sf_dir))
+    sim = simulation.simulation_frame(f, keep=["diverted"]).withColumn(
+        "hour", F.when(F.col("diverted") == 1, F.lit(" ")).otherwise(F.col("hour"))).drop("diverted")
+    out = simulation.simulation_sample(sim, 1000)
+    rows = out.collect()
+    assert 0 < len(rows) <= 1000
+    assert {r.cancel for r in rows} <= {"Yes", "No"} and {r.cancelled for r in rows} <= {"Yes", "No"}
+    assert all(r.hour is not None and r.hour.strip() for r in rows)

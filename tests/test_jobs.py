@@ -74,3 +74,25 @@ def test_real_layouts_without_key(spark, sf_dir):
     sample_path = jobs.sample_job(got, scratch_path(spark, "nk_sample"))
     rep = jobs.train_job(spark, sample_path, scratch_path(spark, "nk_model"), max_iter=2, max_depth=2)
     assert rep.count() == 5
+
+
+def test_command_line_stages(spark, sf_dir):
+    from groundstop.__main__ import main
+
+    t = load_tables(spark, sf_dir)
+    legacy = write_csv(fx.flights_raw_1(t).drop("row_key"), scratch_path(spark, "cli_set_1"))
+    modern = write_csv(fx.flights_raw_2(t).drop("row_key"), scratch_path(spark, "cli_set_2"), null_value="NA")
+    table = scratch_table(spark, "cli_flights")
+    out, sample, model_path = (scratch_path(spark, n) for n in ("cli_out", "cli_sample", "cli_model"))
+    assert main(["ingest", "--legacy", legacy, "--modern", modern, "--table", table], spark) == 0
+    assert main(["analyse", "--table", table, "--out", out], spark) == 0
+    assert spark.read.parquet(f"{out}/top_carriers").count() == 10
+    assert main(["sample", "--table", table, "--out", sample], spark) == 0
+    assert main(["train", "--sample", sample, "--model", model_path, "--max-iter", "2", "--max-depth", "2"],
+                spark) == 0
+    requests = spark.read.option("header", True).csv(sample).select(
+        "row_key", F.concat_ws(",", "op_carrier", "origin", "dest", "week", "hour").alias("feature"))
+    req_path, scored_path = scratch_path(spark, "cli_req"), scratch_path(spark, "cli_scored")
+    requests.write.parquet(req_path)
+    assert main(["score", "--model", model_path, "--requests", req_path, "--out", scored_path], spark) == 0
+    assert spark.read.parquet(scored_path).count() == requests.count()

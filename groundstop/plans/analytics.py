@@ -8,6 +8,7 @@ from groundstop import fixtures as fx
 from groundstop.operators import profile, rates
 from groundstop.plans.registry import query
 from groundstop.plans.views import with_views
+from groundstop.schemas import UNIFIED_COLUMNS
 from groundstop.sources import load_tables
 
 # --- oracle text -------------------------------------------------------------
@@ -106,13 +107,7 @@ def count_all(spark, sf_dir):
     return _flights(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
 
 
-_NULL_COLS = [
-    "fl_date", "dep_time", "crs_dep_time", "arr_time", "crs_arr_time", "op_carrier",
-    "op_carrier_fl_num", "actual_elapsed_time", "crs_elapsed_time", "air_time", "arr_delay",
-    "dep_delay", "origin", "dest", "distance", "taxi_in", "taxi_out", "cancelled",
-    "cancellation_code", "diverted", "carrier_delay", "weather_delay", "nas_delay",
-    "security_delay", "late_aircraft_delay",
-]
+_NULL_COLS = UNIFIED_COLUMNS
 _NULL_SQL = ",\n  ".join(f"CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS {c}" for c in _NULL_COLS)
 _UNUSED_SQL = "\nUNION ALL\n".join(
     f"SELECT '{c}' AS column_name, CAST(sum(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM cancelled_rows"

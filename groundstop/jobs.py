@@ -10,6 +10,8 @@ fully qualified (``db.table``); paths are shared storage.
 * ``train_job``       training sample CSV -> fitted pipeline model (saved) + report on the test part
 * ``score_job``       model + request texts -> prediction, probability
 * ``monitor_job``     scored log + late labels -> blocks of accuracy + flat metrics table
+* ``log_predictions`` / ``store_labels`` / ``labelled_rows``: the prediction log and the
+  label table kept bucketed on the prediction id, so their join needs no shuffle
 """
 
 from __future__ import annotations
@@ -20,7 +22,14 @@ from pyspark.sql import functions as F
 
 from groundstop.operators import features, ingest, model, monitor, nested, profile, rates, report, sampling, scoring
 from groundstop.schemas import ROW_KEY
-from groundstop.sources import create_if_absent, read_legacy_csv, read_modern_csv, read_training_csv, write_csv
+from groundstop.sources import (
+    create_if_absent,
+    read_legacy_csv,
+    read_modern_csv,
+    read_training_csv,
+    save_bucketed,
+    write_csv,
+)
 from groundstop.sources.tables import replace_table
 
 
@@ -127,3 +136,22 @@ def monitor_job(
     finally:
         rows.unpersist()
     return rows.sparkSession.table(metrics_table)
+
+
+def log_predictions(scored_requests: DataFrame, table: str, buckets: int, key: str = "uuid") -> str:
+    """Append scored requests to the prediction log, bucketed on the prediction id."""
+    return save_bucketed(scored_requests, table, key, buckets)
+
+
+def store_labels(labels: DataFrame, table: str, buckets: int, key: str = "uuid") -> str:
+    """Append arrived ground-truth labels, bucketed like the prediction log."""
+    return save_bucketed(labels, table, key, buckets)
+
+
+def labelled_rows(spark: SparkSession, log_table: str, labels_table: str, key: str = "uuid") -> DataFrame:
+    """Every logged prediction with its label (null while pending).
+
+    Both tables are bucketed on ``key`` with the same count, so this left
+    join reads matching buckets side by side: no shuffle of either table.
+    """
+    return spark.table(log_table).join(spark.table(labels_table), key, "left")

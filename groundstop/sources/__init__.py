@@ -12,6 +12,7 @@ from groundstop.sources.tables import (
     create_if_absent,
     describe_table,
     replace_table,
+    save_bucketed,
     save_table,
     scan_table,
     show_tables,
@@ -28,6 +29,7 @@ __all__ = [
     "read_registry_json",
     "read_training_csv",
     "replace_table",
+    "save_bucketed",
     "save_table",
     "scan_table",
     "show_tables",

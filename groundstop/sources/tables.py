@@ -20,6 +20,20 @@ def save_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by: li
     return table
 
 
+def save_bucketed(
+    df: DataFrame, table: str, key: str, buckets: int, mode: str = "append", fmt: str = "parquet"
+) -> str:
+    """Write ``df`` hash-bucketed and sorted by ``key`` (append by default).
+
+    Two tables bucketed on their join key with the same bucket count join
+    without a shuffle (the sort-merge join reads bucket i of both sides in
+    one task).  Choose ``buckets`` so a bucket holds a few hundred MB.
+    """
+    _ensure_database(df.sparkSession, table)
+    df.write.format(fmt).mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    return table
+
+
 def create_if_absent(df: DataFrame, table: str, fmt: str = "parquet") -> bool:
     """Write ``df`` only when ``table`` does not exist yet; True if written.
 

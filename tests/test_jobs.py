@@ -96,3 +96,20 @@ def test_command_line_stages(spark, sf_dir):
     requests.write.parquet(req_path)
     assert main(["score", "--model", model_path, "--requests", req_path, "--out", scored_path], spark) == 0
     assert spark.read.parquet(scored_path).count() == requests.count()
+
+
+def test_bucketed_log_and_labels_join_without_shuffle(spark, sf_dir):
+    t = load_tables(spark, sf_dir)
+    log, labels = scratch_table(spark, "log_b"), scratch_table(spark, "labels_b")
+    jobs.log_predictions(fx.scored(t, with_feature=True), log, buckets=8)
+    jobs.store_labels(fx.late_labels(t), labels, buckets=8)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for large tables
+    try:
+        joined = jobs.labelled_rows(spark, log, labels)
+        joined.write.format("noop").mode("overwrite").save()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert joined.count() == 6000
+        assert joined.where(F.col("final_label").isNull()).count() == fx.scored(t).count() - fx.late_labels(t).count()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -14,7 +14,7 @@ from groundstop.plans.ingest_io import _SIM_SQL
 from groundstop.plans.registry import query
 from groundstop.plans.views import with_views
 from groundstop.session import scratch_path, scratch_table
-from groundstop.sources import append_table, load_tables, read_registry_json, replace_table, save_table
+from groundstop.sources import load_tables, read_registry_json, replace_table, save_bucketed, save_table
 
 DEPLOYMENT = "deployment-crn-1"
 
@@ -267,13 +267,18 @@ def score_output(spark, sf_dir):
                "CAST(round(greatest(p_cancel, 1 - p_cancel), 2) AS VARCHAR) AS proba FROM scored_requests"),
 )
 def prediction_log(spark, sf_dir):
-    """Append scored requests to a log table in two batches, read the log back."""
+    """Append scored requests to the log in two batches, read the log back.
+
+    The log is bucketed on the prediction id, as the production log is, so
+    that the later label join is shuffle-free.
+    """
     s = fx.scored(_t(spark, sf_dir), with_feature=True)
     rows = s.select("uuid", "timestamp_ms", "feature", *scoring.response_columns())
     table = scratch_table(spark, "prediction_log")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = hash_sample("uuid", 0.5)
-    append_table(rows.where(first), table, "parquet")
-    append_table(rows.where(~first), table, "parquet")
+    save_bucketed(rows.where(first), table, "uuid", buckets)
+    save_bucketed(rows.where(~first), table, "uuid", buckets)
     return spark.table(table)
 
 

@@ -50,12 +50,19 @@ _SPLIT_TS = "1999-01-01 00:00:00"
 
 
 def _fits_broadcast(df: DataFrame) -> bool:
-    """Spark's own size estimate of ``df`` against its broadcast threshold."""
-    jconf = df.sparkSession._jsparkSession.sessionState().conf()
-    limit = jconf.autoBroadcastJoinThreshold()
+    """Spark's own size estimate of ``df`` against its broadcast threshold.
+
+    Without access to the plan statistics (e.g. a Spark Connect client) the
+    answer is False: the join order that is safe for large inputs.
+    """
+    try:
+        jconf = df.sparkSession._jsparkSession.sessionState().conf()
+        limit = jconf.autoBroadcastJoinThreshold()
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except Exception:  # noqa: BLE001 - statistics not reachable from this client
+        return False
     if limit < 0:
         return False
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     size = int(size if isinstance(size, int) else size.toString())
     return size <= limit
 

@@ -23,25 +23,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir``.  Only a ``local[...]`` master gets a private
     temporary folder when nothing is configured.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a client without a SparkContext (Spark Connect)
+        sc = None
+    if sc is not None and sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    master = spark.conf.get("spark.master", "") or (sc.master if sc is not None else "")
     if not configured:
-        try:
-            configured = spark.conf.get("spark.checkpoint.dir")
-        except Exception:  # noqa: BLE001 - unset key
-            configured = None
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="groundstop-ckpt-"))
-    else:
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared folder "
-            "(HDFS / object store) before running groundstop jobs"
-        )
+        if not master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set; point it at a shared folder "
+                "(HDFS / object store) before running groundstop jobs"
+            )
+        configured = tempfile.mkdtemp(prefix="groundstop-ckpt-")
+    if sc is None:
+        return configured
+    sc.setCheckpointDir(configured)  # also used by iterative ML (tree checkpointing)
     return sc.getCheckpointDir()
 
 

@@ -26,5 +26,9 @@ def test_all_survey_keys_registered():
     assert not missing, f"not registered: {sorted(missing)}"
 
 
-def test_only_score_batch_is_rows_only():
-    assert set(E.queries()) - set(E.oracle_sql()) == {"score_batch"}
+def test_entry_registers_every_library_query():
+    from groundstop.plans import ORACLES, QUERIES
+
+    assert set(QUERIES) <= set(E.queries())
+    assert set(ORACLES) <= set(E.oracle_sql())
+    assert set(E.oracle_sql()) <= set(E.queries())

@@ -3,10 +3,9 @@
 import pytest
 
 import __spark_entry__ as E
+from groundstop.plans import ORACLES, QUERIES
 from tools.oracle_check import canon
 
-ORACLES = E.oracle_sql()
-QUERIES = E.queries()
 
 
 def test_every_query_has_an_oracle_or_is_rows_only():

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import pfor_ids
+from groundstop.llm import curve_pack, fuse_dedup, pfor_ids, shard_tree
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,10 +14,36 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op3_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in shards 0 to 7, and where a ninth shard would take them."""
+    eight = shard_tree.tree(8)
+    return shard_tree.shard_documents(_table(spark, sf_dir, "documents"), eight, shard_tree.grown(eight))
+
+
+def op6_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact duplicates: half of the documents (by a hash of doc_id) are the snapshot, half the incoming batch."""
+    return fuse_dedup.dedup(_table(spark, sf_dir, "documents"))
+
+
+def op7_curve_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' ids in sequences of 2048 along the curve, one row per piece."""
+    return curve_pack.pack(_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1)
+
+
 def op9_pfor_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files: doc_id, start, n_tokens, ids_crc32 as read back from the files."""
     return pfor_ids.write_and_check(_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
 
 
-QUERIES = {"op9_pfor_ids": op9_pfor_ids}
-ORACLES: dict[str, str] = {}
+QUERIES = {
+    "op3_shard_tree": op3_shard_tree,
+    "op6_fuse_dedup": op6_fuse_dedup,
+    "op7_curve_pack": op7_curve_pack,
+    "op9_pfor_ids": op9_pfor_ids,
+}
+ORACLES: dict[str, str] = {
+    "op6_fuse_dedup": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k FROM documents),
+        g AS (SELECT k, count(*) AS group_size, arg_min(doc_id, (-length(t), doc_id)) AS keep_id FROM d GROUP BY k)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(k) AS text_sha256 FROM d JOIN g USING (k)""",
+}

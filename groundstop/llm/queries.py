@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import curve_pack, fuse_dedup, pfor_ids, shard_tree
+from groundstop.llm import curve_pack, fuse_dedup, pfor_ids, shard_tree, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,6 +14,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a window of a benchmark item."""
+    return winnow.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op3_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in shards 0 to 7, and where a ninth shard would take them."""
     eight = shard_tree.tree(8)
@@ -36,12 +41,25 @@ def op9_pfor_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_winnow": op2_winnow,
     "op3_shard_tree": op3_shard_tree,
     "op6_fuse_dedup": op6_fuse_dedup,
     "op7_curve_pack": op7_curve_pack,
     "op9_pfor_ids": op9_pfor_ids,
 }
 ORACLES: dict[str, str] = {
+    "op2_winnow": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark),
+        win AS (SELECT DISTINCT item_id, ws[i:i + 9] AS g FROM (SELECT item_id, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM b WHERE len(ws) > 0)),
+        lens AS (SELECT DISTINCT len(g) AS k FROM win),
+        pos AS (SELECT doc_id, k, i, ws[i:i + k - 1] AS g FROM (SELECT doc_id, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, lens WHERE len(ws) >= k)),
+        hit AS (SELECT DISTINCT doc_id, i, k, item_id FROM pos JOIN win USING (g)),
+        n AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(i, i + k)) AS p FROM hit) GROUP BY doc_id),
+        it AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(s, ',' ORDER BY s)) AS items_sha256 FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS s FROM hit) GROUP BY doc_id)
+        SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+               coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)""",
     "op6_fuse_dedup": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k FROM documents),
         g AS (SELECT k, count(*) AS group_size, arg_min(doc_id, (-length(t), doc_id)) AS keep_id FROM d GROUP BY k)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import curve_pack, fuse_dedup, pfor_ids, shard_tree, winnow
+from groundstop.llm import chat_format, curve_pack, fuse_dedup, pfor_ids, shard_tree, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -25,6 +25,14 @@ def op3_shard_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_tree.shard_documents(_table(spark, sf_dir, "documents"), eight, shard_tree.grown(eight))
 
 
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and one of control strings only, formatted, stored and read back."""
+    turns = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    trap = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", trap), (-1, 1, "assistant", trap)], "conv_id long, turn long, role string, text string")
+    return chat_format.format_and_check(turns.union(own))
+
+
 def op6_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates: half of the documents (by a hash of doc_id) are the snapshot, half the incoming batch."""
     return fuse_dedup.dedup(_table(spark, sf_dir, "documents"))
@@ -43,6 +51,7 @@ def op9_pfor_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_winnow": op2_winnow,
     "op3_shard_tree": op3_shard_tree,
+    "op4_chat_format": op4_chat_format,
     "op6_fuse_dedup": op6_fuse_dedup,
     "op7_curve_pack": op7_curve_pack,
     "op9_pfor_ids": op9_pfor_ids,
@@ -60,6 +69,19 @@ ORACLES: dict[str, str] = {
         SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
                coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
         FROM w LEFT JOIN n USING (doc_id) LEFT JOIN it USING (doc_id)""",
+    "op4_chat_format": r"""
+        WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+        e AS (SELECT *, (length(role || chr(1) || text) - length(replace(role || chr(1) || text, chr(92), ''))
+              + (length(role || chr(1) || text) - length(replace(role || chr(1) || text, '<s>', ''))) // 3
+              + (length(role || chr(1) || text) - length(replace(role || chr(1) || text, '</s>', ''))) // 4
+              + (length(role || chr(1) || text) - length(replace(role || chr(1) || text, '[INST]', ''))) // 6
+              + (length(role || chr(1) || text) - length(replace(role || chr(1) || text, '[/INST]', ''))) // 7) AS escapes FROM t)
+        SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+               sum(length(role) + length(text) + escapes + 23)::BIGINT AS formatted_chars
+        FROM e GROUP BY conv_id""",
     "op6_fuse_dedup": r"""
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k FROM documents),
         g AS (SELECT k, count(*) AS group_size, arg_min(doc_id, (-length(t), doc_id)) AS keep_id FROM d GROUP BY k)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import chat_format, curve_pack, fuse_dedup, pfor_ids, shard_tree, winnow
+from groundstop.llm import chat_format, curve_pack, fuse_dedup, pfor_ids, shard_tree, trie_lm, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -43,6 +43,11 @@ def op7_curve_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curve_pack.pack(_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=1)
 
 
+def op8_trie_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents, learned from nine tenths of them."""
+    return trie_lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op9_pfor_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token-id files: doc_id, start, n_tokens, ids_crc32 as read back from the files."""
     return pfor_ids.write_and_check(_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
@@ -54,6 +59,7 @@ QUERIES = {
     "op4_chat_format": op4_chat_format,
     "op6_fuse_dedup": op6_fuse_dedup,
     "op7_curve_pack": op7_curve_pack,
+    "op8_trie_lm": op8_trie_lm,
     "op9_pfor_ids": op9_pfor_ids,
 }
 ORACLES: dict[str, str] = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import chat_format, curve_pack, fuse_dedup, pfor_ids, shard_tree, trie_lm, winnow
+from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfor_ids, shard_tree, trie_lm, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -53,6 +53,11 @@ def op9_pfor_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfor_ids.write_and_check(_table(spark, sf_dir, "documents"), BYTE_BPE, end_id=2)
 
 
+def op10_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose shingle sets have a Jaccard similarity of 0.75 or more."""
+    return count_rtree.jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_winnow": op2_winnow,
     "op3_shard_tree": op3_shard_tree,
@@ -61,6 +66,7 @@ QUERIES = {
     "op7_curve_pack": op7_curve_pack,
     "op8_trie_lm": op8_trie_lm,
     "op9_pfor_ids": op9_pfor_ids,
+    "op10_count_rtree": op10_count_rtree,
 }
 ORACLES: dict[str, str] = {
     "op2_winnow": r"""

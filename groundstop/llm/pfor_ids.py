@@ -197,7 +197,8 @@ def _opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[File, int, np.n
 
 
 def _with_start(files: DataFrame) -> DataFrame:
-    return files.join(part_starts(files.select("part", "n_ids"), "n_ids"), "part").select((F.col("part_start") + F.col("first_id")).alias("begin"), "file")
+    # One row for each task that wrote files, so the broadcast is bounded by the number of write tasks.
+    return files.join(F.broadcast(part_starts(files.select("part", "n_ids"), "n_ids")), "part").select((F.col("part_start") + F.col("first_id")).alias("begin"), "file")
 
 
 def write_and_check(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:

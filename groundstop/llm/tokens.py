@@ -1,8 +1,10 @@
 """Token ids of whole texts, encoded once per distinct piece.
 
 The byte-level vocabulary splits a text before merging; a single space (or
-line feed) between two visible characters always starts a new split, so a
-text may be cut there and the pieces encoded apart with the same result.
+line feed) between two visible characters always starts a new split, and so
+does a stop or comma after a letter, so a text may be cut there and the
+pieces encoded apart with the same result.  New pieces are encoded many at
+a time, joined by line feeds, and the ids are parted at the line feed's id.
 Texts of a chunk are cut at all such places, the distinct pieces are
 encoded with the tokenizers library, and the ids are put together with
 numpy.  Places near any byte that could belong to other Unicode white space
@@ -13,18 +15,25 @@ from __future__ import annotations
 
 import functools
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
 
 #: Pieces and ids a worker remembers before it starts afresh.
-MAX_PIECES, MAX_IDS = 400_000, 4_000_000
+MAX_PIECES, MAX_IDS = 800_000, 8_000_000
 
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True
 _AFTER = _VISIBLE.copy()
 _AFTER[0x80:] = True
 _AFTER[[0xC2, 0xE1, 0xE2, 0xE3]] = False  # lead bytes of Unicode white space
+_STOP = np.zeros(256, bool)
+_STOP[list(b".,;:!?")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")] = True
+#: A piece that line feeds may enclose: visible at both ends but for one space before.
+_PLAIN = re.compile(r" ?\S(?:[^\n]*\S)?")
 _HIGH = np.zeros(256, bool)
 _HIGH[0x80:] = True
 _LEAD3 = np.zeros(256, bool)
@@ -44,6 +53,9 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     gap = gap[~(edge[gap] | edge[gap + 1] | edge[gap - 1] | edge[gap - 2])]
     edge[gap] = True
     edge[gap[data[gap] == 0x0A] + 1] = True
+    if n:
+        stop = np.flatnonzero(_STOP[data[1:]] & _LETTER[data[:-1]]) + 1  # letter and stop in one row: no edge is lost or moved
+        edge[stop] = True
     return np.flatnonzero(edge[:n + 1])
 
 
@@ -56,6 +68,8 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.feed = feed[0] if len(feed) == 1 else None
         self._forget()
 
     def _forget(self) -> None:
@@ -66,21 +80,33 @@ class Encoder:
         self.used = 0
 
     def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            part = pieces[at:at + 20_000]
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
-            lens = np.fromiter(map(len, got), np.int64, len(got))
-            k, total = len(self.known), int(lens.sum())
-            while self.used + total > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            while k + len(part) > len(self.first):
-                self.first = np.concatenate([self.first, np.zeros_like(self.first)])
-                self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-            self.ids[self.used:self.used + total] = [i for g in got for i in g]
-            self.first[k:k + len(part)] = self.used + np.cumsum(lens) - lens
-            self.size[k:k + len(part)] = lens
-            self.used += total
-            self.known.update(zip(part, range(k, k + len(part)), strict=True))
+        plain = [p for p in pieces if _PLAIN.fullmatch(p)] if self.feed is not None else []
+        if len(plain) < len(pieces):
+            apart = set(plain)
+            rest = [p for p in pieces if p not in apart]
+            for at in range(0, len(rest), 10_000):
+                got = [e.ids for e in self.tokenizer.encode_batch_fast(rest[at:at + 10_000], add_special_tokens=False)]
+                self._keep(rest[at:at + 10_000], np.array([i for g in got for i in g], np.uint32), np.fromiter(map(len, got), np.int64, len(got)))
+        for at in range(0, len(plain), 1_000):
+            some = plain[at:at + 1_000]
+            ids = np.array(self.tokenizer.encode_batch_fast(["\n".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            feeds = np.flatnonzero(ids == self.feed)
+            self._keep(some, np.delete(ids, feeds), np.diff(np.concatenate([[-1], feeds, [len(ids)]])) - 1)
+
+    def _keep(self, part: list[str], ids: np.ndarray, lens: np.ndarray) -> None:
+        if len(lens) != len(part):
+            raise ValueError("pieces and encodings do not match")
+        k, total = len(self.known), len(ids)
+        while self.used + total > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while k + len(part) > len(self.first):
+            self.first = np.concatenate([self.first, np.zeros_like(self.first)])
+            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
+        self.ids[self.used:self.used + total] = ids
+        self.first[k:k + len(part)] = self.used + np.cumsum(lens) - lens
+        self.size[k:k + len(part)] = lens
+        self.used += total
+        self.known.update(zip(part, range(k, k + len(part)), strict=True))
 
     def encode(self, data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after the other, number of ids of each row)."""
@@ -89,11 +115,16 @@ class Encoder:
         at = cuts(data, off)
         pieces = pa.LargeStringArray.from_buffers(len(at) - 1, pa.py_buffer(at.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data)))
         coded = pieces.dictionary_encode()
-        names = coded.dictionary.to_pylist()
+        names = coded.dictionary.to_numpy(zero_copy_only=False)
         if len(self.known) + len(names) > MAX_PIECES or self.used > MAX_IDS:
             self._forget()
-        self._learn([p for p in names if p not in self.known])
-        slot = np.fromiter(map(self.known.__getitem__, names), np.int64, len(names))[coded.indices.to_numpy()]
+        found = np.array([-1 if i is None else i for i in map(self.known.get, names)], np.int64)
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            missing = names[new].tolist()
+            self._learn(missing)
+            found[new] = [self.known[p] for p in missing]
+        slot = found[coded.indices.to_numpy()]
         lens = self.size[slot]
         before = np.concatenate([[0], np.cumsum(lens)])
         ids = self.ids[np.arange(before[-1]) + np.repeat(self.first[slot] - before[:-1], lens)]

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfor_ids, shard_tree, trie_lm, winnow
+from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfor_ids, shard_tree, suffix_merge, trie_lm, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -33,6 +33,11 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_and_check(turns.union(own))
 
 
+def op5_suffix_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the bytes that earlier documents hold."""
+    return suffix_merge.repeats(_table(spark, sf_dir, "documents"))
+
+
 def op6_fuse_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact duplicates: half of the documents (by a hash of doc_id) are the snapshot, half the incoming batch."""
     return fuse_dedup.dedup(_table(spark, sf_dir, "documents"))
@@ -62,6 +67,7 @@ QUERIES = {
     "op2_winnow": op2_winnow,
     "op3_shard_tree": op3_shard_tree,
     "op4_chat_format": op4_chat_format,
+    "op5_suffix_merge": op5_suffix_merge,
     "op6_fuse_dedup": op6_fuse_dedup,
     "op7_curve_pack": op7_curve_pack,
     "op8_trie_lm": op8_trie_lm,

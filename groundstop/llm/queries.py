@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfor_ids, shard_tree, suffix_merge, trie_lm, winnow
+from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfor_ids, shard_tree, suffix_merge, toxicity, trie_lm, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -14,6 +14,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all documents, learned from the labels of those that are not held out."""
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
 def op2_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of every document that lie in a window of a benchmark item."""
     return winnow.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -64,6 +70,7 @@ def op10_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
     "op2_winnow": op2_winnow,
     "op3_shard_tree": op3_shard_tree,
     "op4_chat_format": op4_chat_format,

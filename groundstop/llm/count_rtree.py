@@ -319,6 +319,19 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         rows.where("digest IS NULL").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
 
 
+def keep_one(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: of every component the one with the least doc_id."""
+    row = F.monotonically_increasing_id()
+    parts = jaccard_components(docs.select(row.alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id")
+    several = parts.where("row != component_id")
+    several = several.union(several.select(F.col("component_id").alias("row"), "component_id").distinct())
+    named = docs.select(row.alias("row"), "doc_id").join(several, "row")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))["row"].alias("stays"))
+    gone = several.join(first, "component_id").where("row != stays").select(F.col("row").alias("_gone_row"))
+    numbered = docs.withColumn("_row_of_join", row)
+    return numbered.join(gone, F.col("_row_of_join") == F.col("_gone_row"), "left_anti").drop("_row_of_join")
+
+
 def _across(members: DataFrame, parts: DataFrame) -> DataFrame:
     """Links between the blocks of split groups that the blocks' own links leave in several components."""
     split = members.where("blocks > 1").join(parts.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))

@@ -26,7 +26,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -114,18 +113,16 @@ def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _digests(docs: DataFrame, digest_bytes: int) -> DataFrame:
     """(doc_id, row, points, digest, sha) of every row; ``row`` is the place in storage order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 40
         for batch in batches:
             for some in slices(batch):
                 data, off, points = normalised(some.column(1))
                 raw, cut = memoryview(data.tobytes()), off.tolist()
                 sha = [hashlib.sha256(raw[a:b]).digest() for a, b in zip(cut[:-1], cut[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
-                    [some.column(0), pa.array(np.arange(at, at + len(sha))), pa.array(points), pa.array([s[:digest_bytes] for s in sha], pa.binary()), pa.array([s.hex() for s in sha])],
+                    [some.column(0), some.column(2), pa.array(points), pa.array([s[:digest_bytes] for s in sha], pa.binary()), pa.array([s.hex() for s in sha], pa.string())],
                     ["doc_id", "row", "points", "digest", "sha"])
-                at += len(sha)
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, row long, points long, digest binary, sha string")
+    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")).mapInArrow(run, "doc_id long, row long, points long, digest binary, sha string")
 
 
 def _key64(digest: pa.ChunkedArray) -> np.ndarray:
@@ -158,6 +155,18 @@ def dedup(docs: DataFrame, incoming: str = "pmod(xxhash64(doc_id), 2) = 1", dige
     Rows for which the SQL condition ``incoming`` holds are the new batch, the
     others the snapshot.
     """
+    return _decisions(docs, incoming, digest_bytes, filter_keys).drop("row")
+
+
+def keep_one(docs: DataFrame, incoming: str = "pmod(xxhash64(doc_id), 2) = 1") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay."""
+    gone = _decisions(docs, incoming, DIGEST_BYTES, FILTER_KEYS).where("NOT kept").select(F.col("row").alias("_gone_row"))
+    numbered = docs.withColumn("_row_of_dedup", F.monotonically_increasing_id())
+    return numbered.join(gone, F.col("_row_of_dedup") == F.col("_gone_row"), "left_anti").drop("_row_of_dedup")
+
+
+def _decisions(docs: DataFrame, incoming: str, digest_bytes: int, filter_keys: int) -> DataFrame:
+    """What ``dedup`` returns, and the row's number (``monotonically_increasing_id`` over the stored table)."""
     spark = docs.sparkSession
     base = scratch_path(spark, "exact-dedup")
     _digests(docs, digest_bytes).withColumn("new", F.coalesce(F.expr(incoming), F.lit(False))).write.parquet(f"{base}/digests")
@@ -190,21 +199,19 @@ def dedup(docs: DataFrame, incoming: str = "pmod(xxhash64(doc_id), 2) = 1", dige
     groups = groups.join(mixed, "digest", "left").select(
         "digest", F.when(F.col("mixed"), F.col("normal")).alias("only"), "best", "group_size")
     settled = members.join(groups, (members["digest"] == groups["digest"]) & (F.col("only").isNull() | (F.col("only") == F.col("normal")))).select(
-        "doc_id", (-F.col("best.back")).alias("keep_id"), "group_size", (F.col("row") == -F.col("best.at")).alias("kept"), F.col("sha").alias("text_sha256"))
+        "doc_id", (-F.col("best.back")).alias("keep_id"), "group_size", (F.col("row") == -F.col("best.at")).alias("kept"), F.col("sha").alias("text_sha256"), "row")
     single = rows.join(repeated, "digest", "left_anti").select(
-        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"))
+        "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "row")
     return settled.union(single)
 
 
 def _normal_texts(docs: DataFrame) -> DataFrame:
     """(row, normal): the normalised bytes of every row, rows numbered as by ``_digests``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 40
         for batch in batches:
             for some in slices(batch):
                 data, off, _ = normalised(some.column(1))
                 raw, cut = data.tobytes(), off.tolist()
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(at, at + some.num_rows)), pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["row", "normal"])
-                at += some.num_rows
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["row", "normal"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "row long, normal binary")
+    return docs.select(F.monotonically_increasing_id().alias("row"), "text").mapInArrow(run, "row long, normal binary")

@@ -183,7 +183,7 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model, folds: int) -> Iter
         for some in slices(batch):
             bag = Bag(some.column(1))
             s = model.logits(bag)
-            score = -np.expm1(-np.bincount(bag.sentence_row, _softplus(s), bag.rows))
+            score = _document_scores(bag, s)
             bad = np.flatnonzero(s >= 0)
             points = np.concatenate([[0], np.cumsum((bag.data & 0xC0) != 0x80)])
             row = bag.sentence_row[bad]
@@ -196,6 +196,23 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model, folds: int) -> Iter
                 ["doc_id", "held_out", "score", "predicted", "offending_start", "offending_length"])
 
 
+def _document_scores(bag: Bag, logits: np.ndarray) -> np.ndarray:
+    return -np.expm1(-np.bincount(bag.sentence_row, _softplus(logits), bag.rows))
+
+
+def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose score is below the threshold."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for some in slices(batch):
+                bag = Bag(some.column(at))
+                yield some.filter(pa.array(_document_scores(bag, model.logits(bag)) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, model: Model, folds: int = 5) -> DataFrame:
     """Score every row of ``docs``; the offending sentences (probability 0.5 or more) are given in code points of the text."""
     return docs.select("doc_id", "text").mapInArrow(functools.partial(_scored, model=model, folds=folds), RESULT)

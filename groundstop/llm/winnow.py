@@ -148,3 +148,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("items_sha256", F.sha2(F.lit(""), 256)).alias("items_sha256"),
         F.col("spans").isNotNull().alias("contaminated"))
+
+
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
+    found, _ = hits(docs, benchmark)
+    dirty = found.select(F.col("doc_id").alias("_dirty_id"), F.col("version").alias("_dirty_version")).distinct()
+    return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col("_dirty_id")) & (F.xxhash64(docs["text"]) == F.col("_dirty_version")), "left_anti")

@@ -90,12 +90,15 @@ def _fingerprints(texts: DataFrame, keys: list[str], short: list[int]) -> DataFr
     kept = F.transform("places", lambda p: F.struct(p.alias("at"), F.lit(SPAN).alias("size"), F.get(F.col("hashes"), p).alias("h")))
     parts = [kept]
     for k in short:
-        hashes = _grams("tokens", k)
-        parts.append(F.transform(hashes, lambda h, i, k=k: F.struct(i.alias("at"), F.lit(k).alias("size"), h.alias("h"))))
+        parts.append(_every_place(_grams("tokens", k), k))
     found = F.concat(*parts) if len(parts) > 1 else kept
     return chosen.select(*keys, "n", F.inline(found))
 
 
+def _every_place(hashes: Column, k: int) -> Column:
+    return F.transform(hashes, lambda h, i: F.struct(i.alias("at"), F.lit(k).alias("size"), h.alias("h")))
+
+
 def _covered(spans: Column) -> Column:
     """Words covered by sorted (start, len) spans."""
     zero = F.struct(F.lit(0).alias("end"), F.lit(0).cast("long").alias("total"))

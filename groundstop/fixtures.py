@@ -49,34 +49,13 @@ def _when_delayed(value):
 _SPLIT_TS = "1999-01-01 00:00:00"
 
 
-def _fits_broadcast(df: DataFrame) -> bool:
-    """Spark's own size estimate of ``df`` against its broadcast threshold.
-
-    Without access to the plan statistics (e.g. a Spark Connect client) the
-    answer is False: the join order that is safe for large inputs.
-    """
-    try:
-        jconf = df.sparkSession._jsparkSession.sessionState().conf()
-        limit = jconf.autoBroadcastJoinThreshold()
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    except Exception:  # noqa: BLE001 - statistics not reachable from this client
-        return False
-    if limit < 0:
-        return False
-    size = int(size if isinstance(size, int) else size.toString())
-    return size <= limit
-
-
 @_memo
 def flights_full(t, shipped: str | None = None) -> DataFrame:
     """Modern-layout flights plus ``row_key`` and three helper columns.
 
-    Join order depends on the size of orders, checked the way Spark
-    checks a broadcast side.  Orders under the broadcast threshold: every
-    dimension is broadcast into one pipeline over the lines, no shuffle.
-    Larger orders: orders are joined to customers first, so that the
-    fact-sized line table is shuffled once on the order key by the
-    sort-merge join, instead of a second time on the customer key.
+    Orders are joined to customers first, so that the fact-sized line table
+    is shuffled at most once, on the order key; Spark picks each join's
+    strategy.
     ``shipped`` = ``"before"`` / ``"from"`` keeps lines shipped before /
     from 1999-01-01 with a range predicate on the raw column, which the
     parquet scan can use to skip row groups.
@@ -85,11 +64,8 @@ def flights_full(t, shipped: str | None = None) -> DataFrame:
     if shipped is not None:
         bound = F.lit(_SPLIT_TS).cast("timestamp_ntz")
         li = li.where(F.col("l_shipdate") < bound if shipped == "before" else F.col("l_shipdate") >= bound)
-    if _fits_broadcast(o.select("o_orderkey", "o_custkey")):
-        with_nation = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-    else:
-        order_nation = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey")
-        with_nation = li.join(order_nation, li.l_orderkey == order_nation.o_orderkey)
+    order_nation = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey")
+    with_nation = li.join(order_nation, li.l_orderkey == order_nation.o_orderkey)
     joined = with_nation.join(s, li.l_suppkey == s.s_suppkey).join(p, li.l_partkey == p.p_partkey)
     cancelled = F.when(
         (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09), F.lit(1.0)

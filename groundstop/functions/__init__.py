@@ -12,7 +12,6 @@ from groundstop.functions.scalars import (
     hour_padded_ref,
     hour_text,
     iso_week,
-    now_ms,
     number_text,
     rate_percent,
     route_key,
@@ -35,7 +34,6 @@ __all__ = [
     "hour_padded_ref",
     "hour_text",
     "iso_week",
-    "now_ms",
     "number_text",
     "rate_percent",
     "route_key",

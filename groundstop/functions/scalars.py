@@ -69,7 +69,8 @@ def route_key(origin: ColumnOrName, dest: ColumnOrName, sep: str = "<>") -> Colu
     on row order.
     """
     o, d = _c(origin), _c(dest)
-    return F.concat(F.least(o, d), F.lit(sep), F.greatest(o, d))
+    # least and greatest skip nulls; a route with an unknown end has no label.
+    return F.when(o.isNotNull() & d.isNotNull(), F.concat(F.least(o, d), F.lit(sep), F.greatest(o, d)))
 
 
 def directed_route(origin: ColumnOrName, dest: ColumnOrName) -> Column:
@@ -101,11 +102,6 @@ def epoch_ms_to_timestamp(ms: ColumnOrName) -> Column:
     return F.timestamp_add("MILLISECOND", _c(ms), F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
-def now_ms() -> Column:
-    """Current time in epoch milliseconds (evaluated once per query)."""
-    return F.unix_millis(F.current_timestamp())
-
-
-def rate_percent(part: ColumnOrName, total: ColumnOrName, digits: int = 6) -> Column:
-    """``part / total * 100`` as a double rounded to ``digits``."""
-    return F.round(_c(part).cast("double") / _c(total).cast("double") * F.lit(100.0), digits)
+def rate_percent(part: ColumnOrName, total: ColumnOrName) -> Column:
+    """``part / total * 100`` as a double."""
+    return _c(part).cast("double") / _c(total).cast("double") * F.lit(100.0)

@@ -66,31 +66,40 @@ def category_index(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES)
 
 
 def indicator_scale(df: DataFrame, is_train: Column, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
-    """Sample standard deviation, over the training rows, of every one-hot
+    """Population standard deviation, over the training rows, of every one-hot
     indicator and of the numeric features.
 
     The dictionary is every category of ``df`` (all rows, as the encoder is
     fitted); ``is_train`` marks the rows the scaler is fitted on.  For an
-    indicator that is 1 on ``k`` of ``n`` training rows the sample variance
-    is ``k (n - k) / (n (n - 1))``; ``k`` comes from one grouped pass over
-    exploded (column, category) pairs, so no wide vector is built.
+    indicator that is 1 on ``k`` of ``n`` training rows the variance is
+    ``k (n - k) / n^2``; ``k`` comes from one grouped pass over exploded
+    (column, category) pairs, so no wide vector is built, and the numeric
+    features' sums ride on the pairs of the first column, so the input is
+    read once.
     ``df`` must have no nulls in ``columns`` (as after ``features_label``).
     Output ``(feature, std)`` with ``feature`` = ``column=category`` or the
     numeric column name.
     """
-    pairs = category_pairs(df.withColumn("_train", is_train), columns, keep=["_train"])
+    pairs = category_pairs(df.withColumn("_train", is_train), columns, keep=["_train", *NUMERIC_FEATURES])
+    own = F.col("_train") & (F.col("column_name") == columns[0])
+    moments = [
+        F.sum(F.when(own, value)).alias(f"{name}_{c}")
+        for c in NUMERIC_FEATURES
+        for name, value in (("sum", F.col(c).cast("double")), ("squares", F.col(c).cast("double") * F.col(c)))
+    ]
     per_cat = pairs.groupBy("column_name", "category").agg(
-        F.count(F.when(F.col("_train"), 1)).cast("double").alias("k")
+        F.count(F.when(F.col("_train"), 1)).cast("double").alias("k"), *moments
     )
     # Training rows per column: each has exactly one category per column.
     n = F.sum("k").over(Window.partitionBy("column_name"))
     indicators = per_cat.select(
         F.concat_ws("=", "column_name", "category").alias("feature"),
-        F.round(F.sqrt(F.col("k") * (n - F.col("k")) / (n * (n - 1))), 6).alias("std"),
+        F.sqrt(F.col("k") * (n - F.col("k")) / (n * n)).alias("std"),
     )
-    train = df.where(is_train)
-    numeric = train.agg(*[F.stddev_samp(c).alias(c) for c in NUMERIC_FEATURES])
-    numeric_long = numeric.unpivot([], list(NUMERIC_FEATURES), "feature", "std").select(
-        "feature", F.round("std", 6).alias("std")
-    )
-    return indicators.unionByName(numeric_long)
+    first = per_cat.where(F.col("column_name") == columns[0])
+    mean = lambda c: F.sum(c) / F.sum("k")
+    numeric = first.agg(*[
+        F.sqrt(F.greatest(mean(f"squares_{c}") - mean(f"sum_{c}") * mean(f"sum_{c}"), F.lit(0.0))).alias(c)
+        for c in NUMERIC_FEATURES
+    ])
+    return indicators.unionByName(numeric.unpivot([], list(NUMERIC_FEATURES), "feature", "std"))

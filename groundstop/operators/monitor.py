@@ -77,10 +77,10 @@ def with_position(
     return out.drop("_pid", "_mid", "_offset", "_total")
 
 
-def progress(df: DataFrame, order: Sequence[str | Column], digits: int = 6) -> DataFrame:
+def progress(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """``position`` and ``progress`` = position / rows, in ``order``."""
     pos = with_position(df, order, total="_rows")
-    return pos.withColumn("progress", F.round(F.col("position") / F.col("_rows"), digits)).drop("_rows")
+    return pos.withColumn("progress", F.col("position") / F.col("_rows")).drop("_rows")
 
 
 def accuracy_by_block(
@@ -91,7 +91,6 @@ def accuracy_by_block(
     label: str = "final_label",
     prediction: str = "prediction",
     ts: str = "timestamp_ms",
-    digits: int = 6,
 ) -> DataFrame:
     """Accuracy of each full block of ``block_size`` rows in arrival order.
 
@@ -109,7 +108,7 @@ def accuracy_by_block(
         pos.groupBy(block.alias("block"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.round(F.avg(correct), digits).alias("accuracy"),
+            F.avg(correct).alias("accuracy"),
             F.min(ts).alias("start_ms"),
             F.max(ts).alias("end_ms"),
         )

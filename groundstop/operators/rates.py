@@ -34,12 +34,14 @@ def cancellation_rate(
     """Totals, cancellations and their percentage per group.
 
     Groups without a single cancellation are dropped (the inner-join
-    semantics of the two-aggregate form) unless ``keep_zero``.
+    semantics of the two-aggregate form) unless ``keep_zero``; so is a group
+    whose key is null, which no join would match.
     """
     agg = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias(total),
         F.sum(_cancelled_flag(flag)).cast("long").alias(part),
     )
+    agg = agg.na.drop(subset=agg.columns[:len(keys)])
     if not keep_zero:
         agg = agg.where(F.col(part) > 0)
     return agg.withColumn(percent, rate_percent(part, total))
@@ -92,6 +94,30 @@ def cancelled_by_direction(df: DataFrame, flag: str = "cancelled") -> DataFrame:
     )
 
 
+def all_rates(df: DataFrame, flag: str = "cancelled") -> DataFrame:
+    """Every rate in one pass: ``(kind, key, count_total, count_delays, delay_percent)``.
+
+    ``GROUPING SETS`` over carrier, year, ISO week, direction-free route and
+    direction; each scan task keeps one partial row per key.  Groups without
+    a cancellation or with a null key are left out, as in the single rates.
+    """
+    keys = {"carrier": "op_carrier", "year": "year", "week": "week", "route": "route", "direction": "combo"}
+    rows = df.select(
+        "op_carrier", F.year("fl_date").alias("year"), iso_week("fl_date").alias("week"),
+        route_key("origin", "dest").alias("route"), directed_route("origin", "dest").alias("combo"), _cancelled_flag(flag).alias("_flag"))
+    columns = [F.col(c) for c in keys.values()]
+    sets = rows.groupingSets([[c] for c in columns], *columns).agg(
+        *[F.grouping(c).alias(f"_not_{c}") for c in keys.values()],
+        F.count(F.lit(1)).alias("count_total"), F.sum("_flag").cast("long").alias("count_delays"))
+    kind = F.coalesce(*[F.when(F.col(f"_not_{c}") == 0, F.lit(k)) for k, c in keys.items()])
+    key = F.coalesce(*[F.when(F.col(f"_not_{c}") == 0, F.col(c).cast("string")) for c in keys.values()])
+    return (
+        sets.select(kind.alias("kind"), key.alias("key"), "count_total", "count_delays")
+        .where(F.col("key").isNotNull() & (F.col("count_delays") > 0))
+        .withColumn("delay_percent", rate_percent("count_delays", "count_total"))
+    )
+
+
 def top_k(df: DataFrame, measure: str, key: str, k: int = 10) -> DataFrame:
     """First ``k`` rows by ``measure`` descending, ties by ``key``.
 

@@ -34,7 +34,6 @@ def classification_report(
     label: str = "final_label",
     prediction: str = "prediction",
     target_names: Sequence[str] = TARGET_NAMES,
-    digits: int = 6,
 ) -> DataFrame:
     """Rows: one per class, ``accuracy``, ``macro avg``, ``weighted avg``.
 
@@ -60,9 +59,9 @@ def classification_report(
     def row(name, prec, rec, f1, support):
         return F.struct(
             F.lit(name).alias("class_name"),
-            F.round(prec, digits).alias("precision"),
-            F.round(rec, digits).alias("recall"),
-            F.round(f1, digits).alias("f1_score"),
+            prec.alias("precision"),
+            rec.alias("recall"),
+            f1.alias("f1_score"),
             support.cast("long").alias("support"),
         )
 

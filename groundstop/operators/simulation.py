@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundstop.functions import blank_to_null, flag_text, flight_id, hour_text, iso_week, yes_no
-from groundstop.functions.hashing import hash_order
 from groundstop.schemas import ROW_KEY
 
+# The simulation table's columns, in table order.
 SIMULATION_COLUMNS = [
     "fl_id", "fl_date", "op_carrier", "op_carrier_fl_num", "origin", "dest", "crs_dep_time",
     "crs_arr_time", "cancelled", "crs_elapsed_time", "distance", "hour", "week", "cancel",
@@ -60,26 +60,37 @@ def drop_incomplete(df: DataFrame) -> DataFrame:
     return df.na.drop(how="any")
 
 
-# Above this many rows a top-n merge would funnel n x tasks rows into one task.
-TOP_N_LIMIT = 100_000
+# Hex digits of the two histogram levels: 4096 buckets, each of 4096 parts.
+_COARSE, _FINE = 3, 3
 
 
 def sample_exact(df: DataFrame, n: int, key: str = ROW_KEY) -> DataFrame:
-    """Exactly ``min(n, rows)`` pseudo-random rows, the same ones on every run.
-
-    Rows are ranked by the md5 of the key (then the key).  For small ``n``
-    this is ``orderBy().limit(n)`` (TakeOrderedAndProject: each task keeps
-    only its first ``n`` rows).  For large ``n`` the rank is the global
-    position from a range sort (no single-task merge) and rows with
-    position <= n are kept.
+    """Exactly ``min(n, rows)`` pseudo-random rows, the same ones on every run (in no order).
+
+    The rows with the least md5 of the key (then the key) stay; a null key
+    counts as an empty one.  A histogram
+    of digest prefixes (partial counts in every task, 2^24 buckets at most)
+    gives the one bucket that the n-th row falls into.  Rows of lesser buckets
+    stay without a sort; only that bucket's rows, a 2^24th of all, are ranked.
+    The same plan serves every ``n``.
     """
-    if n <= TOP_N_LIMIT:
-        return df.orderBy(*hash_order(key)).limit(n)
-    from groundstop.operators.monitor import with_position
-
-    ranked = df.withColumn("_h", F.md5(F.col(key).cast("string")))
-    pos = with_position(ranked, ["_h", key], name="_pos")
-    return pos.where(F.col("_pos") <= n).drop("_h", "_pos")
+    hashed = df.withColumn("_h", F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))))
+    hashed = hashed.withColumn("_b", F.substring("_h", 1, _COARSE + _FINE))
+    parts = hashed.groupBy("_b").agg(F.count(F.lit(1)).alias("_n")).withColumn("_top", F.substring("_b", 1, _COARSE))
+    tops = parts.groupBy("_top").agg(F.sum("_n").alias("_m"))  # 4096 rows at most
+    until = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    tops = tops.select("_top", F.coalesce(F.sum("_m").over(until(Window.orderBy("_top"))), F.lit(0)).alias("_before"))
+    inner = F.coalesce(F.sum("_n").over(until(Window.partitionBy("_top").orderBy("_b"))), F.lit(0))
+    edge = (
+        parts.withColumn("_inner", inner).join(tops, "_top")
+        .withColumn("_before", F.col("_before") + F.col("_inner"))
+        .where((F.col("_before") < n) & (F.col("_before") + F.col("_n") >= n))
+        .select("_b", (F.lit(n) - F.col("_before")).alias("_left"))
+    )  # one row, or none when there are fewer than n rows
+    bound, left = F.coalesce(edge.select("_b").scalar(), F.lit("g")), F.coalesce(edge.select("_left").scalar(), F.lit(0))
+    below = hashed.where(F.col("_b") < bound) if n > 0 else hashed.limit(0)
+    ranked = hashed.where(F.col("_b") == bound).withColumn("_rank", F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
+    return below.drop("_h", "_b").unionByName(ranked.where(F.col("_rank") <= left).drop("_h", "_b", "_rank"))
 
 
 def simulation_sample(sim: DataFrame, n: int = 10_000, key: str = ROW_KEY) -> DataFrame:

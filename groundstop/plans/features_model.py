@@ -51,11 +51,11 @@ JOIN ci d ON d.column_name = 'dest' AND d.category = fl.dest"""
 
 _SCALE_SQL = """
 SELECT concat_ws('=', ci.column_name, ci.category) AS feature,
-  round(sqrt(coalesce(cnt.k, 0) * (tot.n - coalesce(cnt.k, 0)) / (tot.n * (tot.n - 1))), 6) AS std
+  round(sqrt(coalesce(cnt.k, 0) * (tot.n - coalesce(cnt.k, 0)) / (tot.n * tot.n)), 6) AS std
 FROM ci LEFT JOIN cnt ON ci.column_name = cnt.column_name AND ci.category = cnt.category
 JOIN tot ON ci.column_name = tot.column_name
-UNION ALL SELECT 'week', round(stddev_samp(week), 6) FROM tr
-UNION ALL SELECT 'hour', round(stddev_samp(hour), 6) FROM tr"""
+UNION ALL SELECT 'week', round(stddev_pop(week), 6) FROM tr
+UNION ALL SELECT 'hour', round(stddev_pop(hour), 6) FROM tr"""
 
 _SCALE_CTES = _FEATURE_CTES + [
     ("ci", _CI_SQL),
@@ -141,7 +141,8 @@ def onehot_positions(spark, sf_dir):
 
 @query("feature_scale", with_views(["flights"], _SCALE_SQL, extra=_SCALE_CTES))
 def feature_scale(spark, sf_dir):
-    return features.indicator_scale(_features(spark, sf_dir), sampling.split_flag())
+    scale = features.indicator_scale(_features(spark, sf_dir), sampling.split_flag())
+    return scale.withColumn("std", F.round("std", 6))
 
 
 # --- model -------------------------------------------------------------------

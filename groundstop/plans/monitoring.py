@@ -143,12 +143,13 @@ def confusion_matrix(spark, sf_dir):
 
 @query("class_report", with_views(["scored", "late_labels"], _REPORT_SQL, extra=_REPORT_CTES), bench=True)
 def class_report(spark, sf_dir):
-    return report.classification_report(_labelled(spark, sf_dir))
+    r = report.classification_report(_labelled(spark, sf_dir))
+    return r.withColumns({c: F.round(c, 6) for c in ("precision", "recall", "f1_score")})
 
 
 @query("accuracy_by_block", with_views(["scored", "late_labels"], "SELECT * FROM blocks", extra=_MON_CTES), bench=True)
 def accuracy_by_block(spark, sf_dir):
-    return monitor.accuracy_by_block(_labelled(spark, sf_dir))
+    return monitor.accuracy_by_block(_labelled(spark, sf_dir)).withColumn("accuracy", F.round("accuracy", 6))
 
 
 @query(
@@ -161,7 +162,7 @@ def accuracy_by_block(spark, sf_dir):
 )
 def progress_fraction(spark, sf_dir):
     s = fx.scored(_t(spark, sf_dir)).select("uuid", "timestamp_ms")
-    return monitor.progress(s, ["timestamp_ms", "uuid"]).select("uuid", "position", "progress")
+    return monitor.progress(s, ["timestamp_ms", "uuid"]).select("uuid", "position", F.round("progress", 6).alias("progress"))
 
 
 @query("metrics_table", with_views(["scored", "scored_requests", "late_labels"], _METRICS_SQL, extra=_MON_CTES), bench=True)

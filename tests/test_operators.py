@@ -100,11 +100,21 @@ def test_sampling_layout_independent_and_balanced(spark, sf_dir):
 
 def test_exact_n_sample(spark, sf_dir):
     sim = simulation.simulation_frame(fx.flights(load_tables(spark, sf_dir)))
-    a = [r.row_key for r in simulation.sample_exact(sim.repartition(3), 100).collect()]
-    b = [r.row_key for r in simulation.sample_exact(sim.coalesce(1), 100).collect()]
+    a = sorted(r.row_key for r in simulation.sample_exact(sim.repartition(3), 100).collect())
+    b = sorted(r.row_key for r in simulation.sample_exact(sim.coalesce(1), 100).collect())
     assert len(a) == 100 and a == b
 
 
+@pytest.mark.parametrize("n", [0, 1, 7, 59, 60, 61, 10**9])
+def test_exact_n_is_exact_for_every_n(spark, n):
+    import hashlib
+
+    rows = [(f"k{i % 50}",) for i in range(60)]
+    df = spark.createDataFrame(rows, "row_key string")
+    expected = sorted((r[0] for r in rows), key=lambda k: (hashlib.md5(k.encode()).hexdigest(), k))[:n]
+    assert sorted(r.row_key for r in simulation.sample_exact(df, n).collect()) == sorted(expected)
+
+
 def test_ingest_identity_through_csv(spark, sf_dir):
     """CSV round trip of both raw layouts, ingest, compare with the flights table."""
     t = load_tables(spark, sf_dir)
@@ -119,14 +129,6 @@ def test_ingest_identity_through_csv(spark, sf_dir):
     assert expected.exceptAll(unified).count() == 0
 
 
-def test_exact_n_large_path_matches_small_path(spark, sf_dir, monkeypatch):
-    sim = simulation.simulation_frame(fx.flights(load_tables(spark, sf_dir)))
-    small = {r.row_key for r in simulation.sample_exact(sim, 500).collect()}
-    monkeypatch.setattr(simulation, "TOP_N_LIMIT", 10)
-    large = {r.row_key for r in simulation.sample_exact(sim, 500).collect()}
-    assert small == large and len(small) == 500
-
-
 def test_random_split_option(spark, sf_dir):
     fl = fx.flights(load_tables(spark, sf_dir))
     train, test = sampling.train_test_split(fl, method="random")

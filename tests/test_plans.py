@@ -53,7 +53,7 @@ def test_no_join_is_forced_to_broadcast(spark, sf_dir):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_both_join_orders_give_the_same_flights(spark, sf_dir):
+def test_broadcast_and_merge_joins_give_the_same_flights(spark, sf_dir):
     from groundstop.sources.testdata import Tables
 
     small = fx.flights(Tables(spark, sf_dir))

@@ -17,17 +17,21 @@ fully qualified (``db.table``); paths are shared storage.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from groundstop.operators import features, ingest, model, monitor, nested, profile, rates, report, sampling, scoring
+from groundstop.operators import features, ingest, model, monitor, profile, rates, report, sampling, scoring, simulation
 from groundstop.schemas import ROW_KEY
+from groundstop.session import scratch_path, scratch_scope
 from groundstop.sources import (
+    append_table,
     create_if_absent,
+    ensure_database,
     read_legacy_csv,
     read_modern_csv,
     read_training_csv,
     save_bucketed,
+    save_table,
     write_csv,
 )
 from groundstop.sources.tables import replace_table
@@ -54,6 +58,7 @@ def ingest_job(
     )
     if partition_by_year:
         flights = flights.withColumn("year", F.year("fl_date"))
+        ensure_database(spark, table)
         if spark.catalog.tableExists(table):
             return False
         flights.write.format("parquet").partitionBy("year").mode("ignore").saveAsTable(table)
@@ -62,15 +67,31 @@ def ingest_job(
 
 
 def analysis_job(flights: DataFrame, k: int = 10) -> dict[str, DataFrame]:
-    """The exploratory results, as lazy DataFrames (show / write them as needed)."""
-    by_carrier = rates.rate_by_carrier(flights)
-    by_route = rates.rate_by_route(flights)
-    directed = rates.cancelled_by_direction(flights)
+    """The exploratory results, as DataFrames (show / write them as needed).
+
+    All rates come from one pass over the flights, stored as a small table
+    (one row per carrier, year, week, route and direction) that the results
+    read; the column profile is a second, pruned pass.
+    """
+    spark = flights.sparkSession
+    path = scratch_path(spark, "rates")
+    rates.all_rates(flights).write.parquet(path)
+    stored = spark.read.parquet(path)
+
+    def one(kind: str, key, total: str, part: str, percent: str) -> DataFrame:
+        return stored.where(F.col("kind") == kind).select(
+            key, F.col("count_total").alias(total), F.col("count_delays").alias(part), F.col("delay_percent").alias(percent))
+
+    by_carrier = one("carrier", F.col("key").alias("op_carrier"), "count_total", "count_delays", "delay_percent")
+    by_year = one("year", F.col("key").cast("int").alias("year"), "count_total", "cancel_total", "delay_percent")
+    by_week = one("week", F.col("key").cast("int").alias("week"), "count_total", "cancel_total", "delay_percent")
+    by_route = one("route", F.col("key").alias("route"), "count_all", "count", "cancelled_percent")
+    directed = stored.where("kind = 'direction'").select(F.col("key").alias("combo"), F.col("count_delays").alias("count"))
     return {
         "rate_by_carrier": by_carrier.orderBy(F.col("delay_percent").desc()),
         "top_carriers": rates.top_k(by_carrier, "delay_percent", "op_carrier", k),
-        "rate_by_year": rates.rate_by_year(flights).orderBy(F.col("year").desc()),
-        "rate_by_week": rates.rate_by_week(flights).orderBy(F.col("week").desc()),
+        "rate_by_year": by_year.orderBy(F.col("year").desc()),
+        "rate_by_week": by_week.orderBy(F.col("week").desc()),
         "top_routes": rates.top_k(by_route, "cancelled_percent", "route", k),
         "top_directed_routes": rates.top_k(directed, "count", "combo", k),
         "unused_columns": profile.unused_columns(flights.where(F.col("cancelled") == 1)),
@@ -95,47 +116,87 @@ def train_job(
         fitted = model.fit_model(fl, train, max_iter=max_iter, max_depth=max_depth, step_size=step_size)
         model.save_model(fitted, model_path)
         scored = model.score(fitted, test, [ROW_KEY, "cancelled"])
-        out = report.classification_report(scored, label="cancelled", prediction="prediction")
-        out = out.persist()
-        out.count()
+        rows = report.classification_report(scored, label="cancelled", prediction="prediction").collect()  # five rows
     finally:
         fl.unpersist()
-    return out
+    return spark.createDataFrame(rows, "class_name string, precision double, recall double, f1_score double, support long")
 
 
 def score_job(spark: SparkSession, model_path: str, requests: DataFrame, feature: str = "feature") -> DataFrame:
     """Score request texts ``"carrier,origin,dest,week,hour"``: prediction and probability.
 
-    Every request comes back.  One whose week is not an ISO week (1-53) or
-    whose hour is not 0-24 gets ``valid = false`` and null results instead
+    Every request comes back.  One with a missing or unreadable part, a week
+    that is not an ISO week (1-53), an hour that is not 0-24 or a category
+    the model has not seen gets ``valid = false`` and null results instead
     of a score.
     """
     keep = [c for c in requests.columns if c != feature]
-    parsed = scoring.parse_requests(requests, feature, keep=keep).withColumn("valid", scoring.request_valid())
-    fitted = model.load_model(model_path)
-    good = model.score(fitted, parsed.where("valid"), keep + ["valid"])
-    bad = parsed.where(~F.col("valid")).select(
-        *keep, "valid",
-        F.lit(None).cast("int").alias("prediction"),
-        F.lit(None).cast("double").alias("p_cancel"),
-        F.lit(None).cast("string").alias("proba"),
-    )
-    return good.unionByName(bad)
+    parsed = scoring.parse_requests(requests, feature, keep=keep).withColumn("_valid", scoring.request_valid())
+    scored = model.score(model.load_model(model_path), parsed, [*keep, "_valid"])
+    return _only_valid(scored, scored["_valid"]).drop("_valid")
+
+
+def _only_valid(scored: DataFrame, also: Column) -> DataFrame:
+    """``valid`` is ``valid and also``; results of other rows are null."""
+    valid = F.col("valid") & also
+    return scored.withColumns({c: F.when(valid, F.col(c)) for c in ("prediction", "p_cancel", "proba")} | {"valid": valid})
 
 
 def monitor_job(
     scored_requests: DataFrame, labels: DataFrame, metrics_table: str, deployment: str, block_size: int = 100
 ) -> DataFrame:
-    """Accuracy per full block of predictions and the flat metrics table (replaced in one write)."""
-    rows = monitor.with_late_labels(scored_requests, labels).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        blocks = monitor.accuracy_by_block(rows.where(F.col("final_label").isNotNull()), block_size=block_size)
-        records = monitor.prediction_records(rows, deployment).unionByName(monitor.block_records(blocks, deployment))
-        flat = nested.flatten(records)
-        replace_table(flat, metrics_table)
-    finally:
-        rows.unpersist()
-    return rows.sparkSession.table(metrics_table)
+    """Publish the flat, cleaned metrics table: a record per prediction and per full block.
+
+    The label join is computed once, into a narrow stored table that both
+    the prediction records and the blocks read; scratch is removed after
+    the table is published.
+    """
+    spark = scored_requests.sparkSession
+    with scratch_scope(spark):
+        path = scratch_path(spark, "labelled")
+        monitor.with_late_labels(scored_requests, labels).select(
+            "uuid", "timestamp_ms", "feature", "p_cancel", "prediction", "final_label").write.parquet(path)
+        replace_table(monitor.metrics_frame(spark.read.parquet(path), deployment, block_size), metrics_table)
+    return spark.table(metrics_table)
+
+
+def prototype_job(source: DataFrame, table: str, airports: list[str], year_slices: list[tuple[int, int | None]]) -> str:
+    """Load the prototype table (ORC): the first airport and year range replaces, the others append."""
+    first = True
+    for airport in airports:
+        for low, high in year_slices:
+            part = ingest.prototype_slice(source, airport, low, high)
+            if first:
+                save_table(part, table, "orc")
+                first = False
+            else:
+                append_table(part, table, "orc")
+    return table
+
+
+def simulation_job(flights: DataFrame, table: str) -> str:
+    """Publish the all-text simulation table."""
+    return replace_table(simulation.simulation_frame(flights), table)
+
+
+def score_and_monitor_job(
+    spark: SparkSession, simulation_rows: DataFrame, model_path: str, log_table: str, labels: DataFrame, metrics_table: str,
+    deployment: str, *, n: int = 10_000, buckets: int = 16, started_ms: int = 0, key: str = ROW_KEY,
+) -> DataFrame:
+    """Sample, clean, score, log, attach late labels and publish the metrics table.
+
+    ``labels`` holds ``(uuid, final_label)``.  A logged prediction's time is
+    ``started_ms`` plus its place in the order of the keys; requests that
+    cannot be scored are not logged.
+    """
+    with scratch_scope(spark):
+        sample = simulation.simulation_sample(simulation_rows, n, key)
+        requests = scoring.request_frame(sample).select(F.col(key).alias("uuid"), "feature")
+        scored = score_job(spark, model_path, requests.withColumn("text", F.col("feature"))).withColumnRenamed("text", "feature")
+        timed = monitor.with_position(scored.where("valid").select("uuid", "feature", "prediction", "p_cancel", "proba"), ["uuid"])
+        timed = timed.select("uuid", (F.lit(started_ms) + F.col("position")).cast("long").alias("timestamp_ms"), "feature", "prediction", "p_cancel", "proba")
+        log_predictions(timed, log_table, buckets)
+    return monitor_job(spark.table(log_table), labels, metrics_table, deployment)
 
 
 def log_predictions(scored_requests: DataFrame, table: str, buckets: int, key: str = "uuid") -> str:

@@ -1,6 +1,6 @@
 """Boosted-tree cancellation classifier as a ``pyspark.ml`` pipeline.
 
-Stages: ``StringIndexer`` (alphabetical, unseen category = error) ->
+Stages: ``StringIndexer`` (alphabetical; scoring marks unseen categories) ->
 ``OneHotEncoder(dropLast=False)`` (keeps every category) ->
 ``VectorAssembler`` (one-hot blocks, then WEEK and HOUR passed through) ->
 ``StandardScaler(withMean=False)`` -> ``GBTClassifier``.
@@ -54,15 +54,16 @@ def fit_model(
     sample: DataFrame,
     train: DataFrame,
     *,
-    max_iter: int = 10,
-    max_depth: int = 4,
+    max_iter: int = 100,
+    max_depth: int = 6,
     step_size: float = 0.3,
+    max_bins: int = 64,
     seed: int = 42,
 ) -> PipelineModel:
     """Encoder on ``sample``; scaler + GBT on ``train``; one ``PipelineModel``.
 
-    The defaults are small for tests; the single-machine boosted-tree
-    defaults correspond to ``max_iter=100, max_depth=6, step_size=0.3``.
+    The defaults are those of the usual boosted-tree classifier: 100 rounds
+    of trees of depth 6, and bins enough for every ISO week.
     """
     encoder = fit_encoder(sample)
     encoded = encoder.transform(train).withColumn("label", F.col(LABEL).cast("double"))
@@ -71,7 +72,7 @@ def fit_model(
             StandardScaler(inputCol="raw_features", outputCol="features", withMean=False, withStd=True),
             GBTClassifier(
                 featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth,
-                stepSize=step_size, seed=seed,
+                stepSize=step_size, maxBins=max_bins, seed=seed,
             ),
         ]
     ).fit(encoded)
@@ -84,20 +85,40 @@ def p_cancel(probability: str = "probability") -> Column:
 
 
 def score(model: PipelineModel, requests: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """``keep`` columns + ``prediction`` (int), ``p_cancel`` and ``proba`` text.
+    """``keep`` columns + ``valid``, ``prediction`` (int), ``p_cancel`` and ``proba`` text.
 
     ``proba`` is the winning class's probability rounded to 2 places, as the
     scoring response reports it; ``p_cancel`` is class 1's and is what a
-    threshold should be applied to.
+    threshold should be applied to.  A row with a category that the model
+    has not seen, or with a null feature, comes back with ``valid = false``
+    and null results; it fails no other row.
     """
     keep = keep or []
-    scored = model.transform(requests)
+    indexer, *rest = model.stages
+    indexer = indexer.copy()
+    indexer.setHandleInvalid("keep")  # unseen and null become one index past the last
+    indexed = indexer.transform(requests)
+    known = F.lit(True)
+    for c, labels in zip(_IDX, indexer.labelsArray, strict=True):
+        known = known & (F.col(c) < len(labels))
+    for c in NUMERIC_FEATURES:
+        known = known & F.col(c).isNotNull()
+    indexed = indexed.withColumn("_known", known)
+    stand_in = {c: F.when(F.col("_known"), F.col(c)).otherwise(F.lit(0.0)) for c in _IDX}
+    stand_in |= {c: F.when(F.col("_known"), F.col(c)).otherwise(F.lit(0)) for c in NUMERIC_FEATURES}
+    plain = [c for c in keep if c not in NUMERIC_FEATURES]
+    kept = {f"_keep_{c}": F.col(c) for c in keep if c in NUMERIC_FEATURES}
+    scored = PipelineModel(stages=rest).transform(indexed.withColumns(kept).withColumns(stand_in))
     prob = vector_to_array(F.col("probability"))
+    result = {
+        "prediction": F.col("prediction").cast("int"),
+        "p_cancel": prob.getItem(1),
+        "proba": F.round(F.greatest(prob.getItem(0), prob.getItem(1)), 2).cast("string"),
+    }
     return scored.select(
-        *keep,
-        F.col("prediction").cast("int").alias("prediction"),
-        prob.getItem(1).alias("p_cancel"),
-        F.round(F.greatest(prob.getItem(0), prob.getItem(1)), 2).cast("string").alias("proba"),
+        *[F.col(c) if c in plain else F.col(f"_keep_{c}").alias(c) for c in keep],
+        F.col("_known").alias("valid"),
+        *[F.when(F.col("_known"), v).alias(name) for name, v in result.items()],
     )
 
 

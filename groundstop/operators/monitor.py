@@ -4,8 +4,9 @@ Global position (``with_position``) is the scalable replacement of a loop
 over rows in arrival order.  A ``row_number()`` window without a
 partition would pull every row into one task; instead:
 
-1. range-partition on the order key (AQE sizes the partitions; merged
-   partitions stay contiguous ranges) and sort within partitions,
+1. store the input (its plan runs once), range-partition it on the order key
+   (AQE sizes the partitions; merged partitions stay contiguous ranges) and
+   sort within partitions,
 2. tag each row with its partition id and in-partition ordinal
    (``monotonically_increasing_id`` = partition << 33 | ordinal),
 3. freeze the tags by writing the rows as a parquet table below the shared
@@ -24,7 +25,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from groundstop.session import scratch_path
+from groundstop.functions import epoch_ms_to_timestamp
+from groundstop.operators.nested import flatten
+from groundstop.session import remove_scratch, scratch_path
 
 _ORDINAL_MASK = (1 << 33) - 1
 
@@ -55,12 +58,16 @@ def with_position(
     """
     spark = df.sparkSession
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    source = scratch_path(spark, "unordered")  # range partitioning samples its input: compute that once
+    df.write.parquet(source)
+    df = spark.read.parquet(source)
     ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
     tagged = ranged.sortWithinPartitions(*cols).select(
         "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
     )
     path = scratch_path(spark, "positions")
     tagged.write.parquet(path)
+    remove_scratch(spark, source)
     frozen = spark.read.parquet(path)
     counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -151,3 +158,24 @@ def block_records(blocks: DataFrame, deployment: str) -> DataFrame:
         ).alias("metrics"),
         F.lit(deployment).alias("modelDeploymentCrn"),
     )
+
+
+def metrics_frame(rows: DataFrame, deployment: str, block_size: int = 100) -> DataFrame:
+    """Flat, cleaned metric records, per prediction and per full block (``rows`` from ``with_late_labels``).
+
+    Epoch milliseconds become timestamps with their difference, a missing
+    accuracy is -1, values get their published types.
+    """
+    blocks = accuracy_by_block(rows.where(F.col("final_label").isNotNull()), block_size=block_size)
+    flat = flatten(prediction_records(rows, deployment).unionByName(block_records(blocks, deployment)))
+    return flat.select(
+        "record_id",
+        epoch_ms_to_timestamp("startTimeStampMs").alias("start_ts"),
+        epoch_ms_to_timestamp("endTimeStampMs").alias("end_ts"),
+        (F.col("endTimeStampMs") - F.col("startTimeStampMs")).alias("processing_time_ms"),
+        F.coalesce(F.col("metrics_accuracy"), F.lit(-1.0)).alias("metrics_accuracy"),
+        F.col("metrics_input_data_feature").cast("string").alias("metrics_input_data_feature"),
+        F.col("metrics_proba").cast("double").alias("metrics_proba"),
+        F.col("metrics_final_label").cast("boolean").alias("metrics_final_label"),
+        F.col("modelDeploymentCrn").alias("model_deployment_crn"),
+    )

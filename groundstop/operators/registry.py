@@ -41,10 +41,11 @@ def pick_model(
 def model_status(ids: DataFrame, registry: DataFrame, key: str = "id") -> DataFrame:
     """Deployment status and available replicas for every requested id.
 
-    An equi-join; Spark broadcasts the registry only when its measured
-    size is under the broadcast threshold and sort-merges otherwise.
+    An id without a record keeps its row, with null status.  An equi-join;
+    Spark broadcasts the registry only when its measured size is under the
+    broadcast threshold and sort-merges otherwise.
     """
-    return ids.join(registry, key).select(
+    return ids.join(registry, key, "left").select(
         key,
         F.col("latestModelDeployment.status").alias("status"),
         F.col("latestModelDeployment.replicationStatus.numReplicasAvailable").alias("replica_status"),

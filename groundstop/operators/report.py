@@ -78,3 +78,13 @@ def classification_report(
             weighted(F.col("f0"), F.col("f1")), n),
     )
     return m.select(F.inline(rows))
+
+
+def sideways(df: DataFrame, order: Sequence[Column], fields: Sequence[str], rows: int) -> DataFrame:
+    """The first ``rows`` rows in ``order`` turned sideways: one row per field, columns ``row_1`` to ``row_n`` as text."""
+    kept = F.collect_list(F.struct(*[F.col(c).cast("string").alias(c) for c in fields]))
+    few = df.orderBy(*order).limit(rows).coalesce(1).agg(kept.alias("rows"))
+    lines = F.array(*[
+        F.struct(F.lit(c).alias("field"), *[F.get(F.col("rows"), F.lit(i))[c].alias(f"row_{i + 1}") for i in range(rows)]) for c in fields
+    ])
+    return few.select(F.inline(lines))

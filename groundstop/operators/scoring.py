@@ -16,34 +16,64 @@ REQUEST_FIELDS = list(CATEGORICAL_FEATURES) + list(NUMERIC_FEATURES)  # carrier,
 
 
 def request_frame(sim: DataFrame, drop: tuple[str, ...] = ("fl_id", "cancel")) -> DataFrame:
-    """Drop the id and the label, add the comma-joined feature text."""
-    return sim.drop(*drop).withColumn("feature", F.concat_ws(",", *[F.col(c) for c in REQUEST_FIELDS]))
+    """Drop the id and the label, add the comma-joined feature text.
+
+    A null value leaves its place empty, so the other fields keep theirs.
+    """
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in REQUEST_FIELDS]
+    return sim.drop(*drop).withColumn("feature", F.concat_ws(",", *fields))
 
 
 def parse_requests(df: DataFrame, feature: str = "feature", keep: list[str] | None = None) -> DataFrame:
     """Split the feature text and type its parts (week and hour as int).
 
-    Under ANSI mode a part that is not a number fails the job rather than
-    scoring a null.
+    A missing, empty or unreadable part is null; so is every part of a text
+    with more or fewer parts.  No request fails the job: ``request_valid``
+    tells which can be scored.
     """
     keep = [ROW_KEY] if keep is None and ROW_KEY in df.columns else (keep or [])
-    parts = F.split(F.col(feature), ",")
-    typed = [
-        F.element_at(parts, i + 1).cast("int" if name in NUMERIC_FEATURES else "string").alias(name)
-        for i, name in enumerate(REQUEST_FIELDS)
-    ]
+    parts = F.split(F.col(feature), ",", -1)
+    whole = F.size(parts) == len(REQUEST_FIELDS)
+    typed = []
+    for i, name in enumerate(REQUEST_FIELDS):
+        part = F.when(whole, F.nullif(F.trim(F.get(parts, F.lit(i))), F.lit("")))
+        typed.append((part.try_cast("int") if name in NUMERIC_FEATURES else part).alias(name))
     return df.select(*keep, *typed)
 
 
+def parse_records(df: DataFrame, record_json: str = "record_json", keep: list[str] | None = None) -> DataFrame:
+    """Rows of batch records ``{"data": {"rows": [[carrier, origin, dest, week, hour], ...]}}``.
+
+    One output row per record row, with ``row_no`` its place in the record.
+    """
+    rows = F.from_json(F.col(record_json), "data struct<rows array<array<string>>>")["data"]["rows"]
+    flat = df.select(*(keep or []), F.posexplode(rows).alias("row_no", "_row"))
+    text = F.concat_ws(",", F.transform("_row", lambda x: F.coalesce(x, F.lit(""))))
+    return parse_requests(flat.withColumn("_feature", text), "_feature", keep=[*(keep or []), "row_no"])
+
+
+def reply_records(scored: DataFrame, key: str, order: str = "row_no") -> DataFrame:
+    """Batch replies ``{"colnames": [...], "coltypes": [...], "rows": [[prediction, proba], ...]}``, one per record."""
+    row = F.struct(F.col(order).alias("at"), F.array(F.col("prediction").cast("string"), F.col("proba")).alias("row"))
+    rows = F.transform(F.sort_array(F.collect_list(row)), lambda r: r["row"])
+    reply = F.struct(
+        F.array(F.lit("prediction"), F.lit("proba")).alias("colnames"),
+        F.array(F.lit("INT"), F.lit("STRING")).alias("coltypes"), rows.alias("rows"))
+    return scored.groupBy(key).agg(F.to_json(reply).alias("reply_json"))
+
+
 # ISO weeks are 1-53 and departure hours 0-24.
 WEEK_RANGE = (1, 53)
 HOUR_RANGE = (0, 24)
 
 
 def request_valid(week: str = "week", hour: str = "hour"):
-    """True when the parsed week and hour are in range (a week list of 0-51 would not be)."""
+    """True when every part is there and week and hour are in range (a week list of 0-51 would not be)."""
     in_range = F.col(week).between(*WEEK_RANGE) & F.col(hour).between(*HOUR_RANGE)
-    return F.coalesce(in_range, F.lit(False))
+    named = F.lit(True)
+    for c in CATEGORICAL_FEATURES:
+        named = named & F.col(c).isNotNull()
+    return F.coalesce(in_range & named, F.lit(False))
 
 
 def to_request_json(feature: str = "feature"):

@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
-from pyspark.ml.functions import vector_to_array
+import contextlib
+
 from pyspark.sql import functions as F
 
-from groundstop import fixtures as fx
-from groundstop.operators import features, model, sampling, scoring, simulation
+from groundstop import fixtures as fx, jobs
+from groundstop.operators import features, model, report, sampling, scoring, simulation
+from groundstop.plans.ingest_io import SIM_BLANK_SQL, SIM_TEXT_COLS, clean_sql, simulation_with_blank_hours
 from groundstop.plans.registry import query
 from groundstop.plans.views import with_views
-from groundstop.schemas import TRAINING_COLUMNS
+from groundstop.schemas import TARGET_NAMES, TRAINING_COLUMNS
 from groundstop.session import scratch_path
 from groundstop.sources import load_tables, read_training_csv, write_csv
 
@@ -119,24 +120,14 @@ def category_index(spark, sf_dir):
 def onehot_positions(spark, sf_dir):
     fl = _features(spark, sf_dir)
     enc = model.fit_encoder(fl)
-    width = model.onehot_width(enc)
-    arr = vector_to_array(F.col("raw_features"))
-    hot = F.filter(
-        F.transform(F.slice(arr, 1, width), lambda x, i: F.when(x == 1.0, i).otherwise(F.lit(-1))),
-        lambda i: i >= 0,
-    )
-    return (
-        enc.transform(fl)
-        .select("row_key", hot.alias("hot"), arr.getItem(width).alias("w"), arr.getItem(width + 1).alias("h"))
-        .select(
-            "row_key",
-            F.col("hot").getItem(0).cast("int").alias("pos_carrier"),
-            F.col("hot").getItem(1).cast("int").alias("pos_origin"),
-            F.col("hot").getItem(2).cast("int").alias("pos_dest"),
-            F.col("w").cast("int").alias("week"),
-            F.col("h").cast("int").alias("hour"),
-        )
-    )
+    at, start = {}, 0
+    for name, labels in zip(("carrier", "origin", "dest"), enc.stages[0].labelsArray, strict=True):
+        at[name] = start  # slots of the columns before
+        start += len(labels)
+    indexed = enc.stages[0].transform(fl)
+    position = lambda c, name: (F.col(c) + at[name]).cast("int").alias(f"pos_{name}")
+    return indexed.select(
+        "row_key", position("op_carrier_idx", "carrier"), position("origin_idx", "origin"), position("dest_idx", "dest"), "week", "hour")
 
 
 @query("feature_scale", with_views(["flights"], _SCALE_SQL, extra=_SCALE_CTES))
@@ -148,39 +139,52 @@ def feature_scale(spark, sf_dir):
 # --- model -------------------------------------------------------------------
 
 
-def _fit(spark, sf_dir):
-    """Fit on the sample of ``sf_dir``; the sample is persisted while the trees are grown."""
-    fl = _features(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        train, test = sampling.train_test_split(fl)
-        fitted = model.fit_model(fl, train)
-    finally:
-        fl.unpersist()
-    return fitted, test
+# Rounds, depth and bins of the registered fits: the classifier's usual defaults.
+FIT = {"max_iter": 100, "max_depth": 6, "max_bins": 64}
+
+# A label that a right model must learn: flights of the later carriers, or departing after noon.
+_RULE = "CASE WHEN op_carrier >= 'Brand#4' OR hour >= 12 THEN 1 ELSE 0 END"
+
+
+@contextlib.contextmanager
+def _fitted(spark, sf_dir, label=None):
+    """(model, sample, test part), fitted on the stored training sample of ``sf_dir``."""
+    path = scratch_path(spark, "model_sample")
+    fl = _features(spark, sf_dir)
+    (fl.withColumn("cancelled", F.expr(label).cast("double")) if label else fl).write.parquet(path)
+    fl = spark.read.parquet(path)
+    train, test = sampling.train_test_split(fl)
+    yield model.fit_model(fl, train, **FIT), fl, test
 
 
 @query(
     "model_train_eval",
     with_views(
         ["flights"],
-        "SELECT CAST(count(*) AS BIGINT) AS n_test, CAST(count(*) AS BIGINT) AS n_prob_valid, "
-        f"CAST(count(*) AS BIGINT) AS n_pred_valid {_TEST_ROWS}",
+        f"SELECT CAST({_RULE} AS INT) AS label, CAST(count(*) AS BIGINT) AS n, CAST(count(*) AS BIGINT) AS n_prob_valid, "
+        f"true AS recall_above_95, true AS precision_above_95 {_TEST_ROWS} GROUP BY 1",
         extra=_FEATURE_CTES,
     ),
 )
 def model_train_eval(spark, sf_dir):
-    """Invariants of the test-set predictions (scores themselves are engine-specific)."""
-    fitted, test = _fit(spark, sf_dir)
-    out = fitted.transform(test)
-    prob = vector_to_array(F.col("probability"))
-    p0, p1 = prob.getItem(0), prob.getItem(1)
-    prob_ok = (p1 >= 0) & (p1 <= 1) & (F.abs(p0 + p1 - 1) < 1e-9)
-    pred_ok = F.col("prediction").isin(0.0, 1.0)
-    return out.agg(
-        F.count(F.lit(1)).alias("n_test"),
-        F.count(F.when(prob_ok, 1)).alias("n_prob_valid"),
-        F.count(F.when(pred_ok, 1)).alias("n_pred_valid"),
-    )
+    """The report on the test part of a fit on a learnable label: a row per class.
+
+    Scores are engine-specific, so precision and recall are compared with a
+    bound that a constant or broken model cannot meet.
+    """
+    with _fitted(spark, sf_dir, _RULE) as (fitted, _, test):
+        scored = model.score(fitted, test, ["row_key", "cancelled"])
+        # The scored test part is stored, as the report and the counts both read it.
+        path = scratch_path(spark, "model_scored")
+        scored.write.parquet(path)
+    scored = spark.read.parquet(path)
+    names = F.when(F.col("class_name") == TARGET_NAMES[0], 0).when(F.col("class_name") == TARGET_NAMES[1], 1)
+    classes = report.classification_report(scored, label="cancelled").select(names.alias("label"), "recall", "precision").where("label IS NOT NULL")
+    prob_ok = F.col("valid") & F.col("p_cancel").between(0.0, 1.0) & ((F.col("p_cancel") >= 0.5) == (F.col("prediction") == 1))
+    counts = scored.groupBy(F.col("cancelled").cast("int").alias("label")).agg(
+        F.count(F.lit(1)).alias("n"), F.count(F.when(prob_ok, 1)).alias("n_prob_valid"))
+    return counts.join(classes, "label").select(
+        "label", "n", "n_prob_valid", (F.col("recall") > 0.95).alias("recall_above_95"), (F.col("precision") > 0.95).alias("precision_above_95"))
 
 
 @query(
@@ -193,22 +197,55 @@ def model_train_eval(spark, sf_dir):
 )
 def model_roundtrip(spark, sf_dir):
     """Save, load, score again: every test prediction must be equal."""
-    fitted, test = _fit(spark, sf_dir)
-    reloaded = model.load_model(model.save_model(fitted, scratch_path(spark, "model")))
-    a = model.score(fitted, test, ["row_key"])
-    b = model.score(reloaded, test, ["row_key"]).select(
-        "row_key", F.col("prediction").alias("prediction_2"), F.col("p_cancel").alias("p_cancel_2")
-    )
+    with _fitted(spark, sf_dir) as (fitted, _, test):
+        reloaded = model.load_model(model.save_model(fitted, scratch_path(spark, "model")))
+        a = model.score(fitted, test, ["row_key"])
+        b = model.score(reloaded, test, ["row_key"]).select(
+            "row_key", F.col("prediction").alias("prediction_2"), F.col("p_cancel").alias("p_cancel_2")
+        )
     same = (F.col("prediction") == F.col("prediction_2")) & (F.col("p_cancel") == F.col("p_cancel_2"))
     return a.join(b, "row_key").agg(
         F.count(F.lit(1)).alias("n"), F.count(F.when(same, 1)).alias("n_equal")
     )
 
 
-@query("score_batch")
+# Requests as they come: some blank, short, unreadable or of a carrier that no model knows.
+_BAD_SQL = f"""
+SELECT row_key, op_carrier, origin, dest,
+  CASE WHEN l = 1 THEN 'short' WHEN l = 2 THEN 'text' WHEN l = 3 THEN 'unseen' WHEN l = 4 THEN 'null' ELSE 'good' END AS kind
+FROM (SELECT *, ascii(substring(md5(row_key), 1, 1)) - 48 AS l FROM cleaned WHERE {" AND ".join(f"{c} IS NOT NULL" for c in SIM_TEXT_COLS)})"""
+
+
+@query(
+    "score_batch",
+    with_views(
+        ["flights"],
+        "SELECT row_key, v AS valid, v AS prediction_ok, v AS probability_ok FROM (SELECT row_key, "
+        "kind = 'good' AND op_carrier IN (SELECT op_carrier FROM fl) AND origin IN (SELECT origin FROM fl) "
+        "AND dest IN (SELECT dest FROM fl) AS v FROM bad) q",
+        extra=[*_FEATURE_CTES, ("sim_blank", SIM_BLANK_SQL), ("cleaned", clean_sql()), ("bad", _BAD_SQL)],
+    ),
+)
 def score_batch(spark, sf_dir):
-    """Score every flight's request text with the fitted pipeline (rows-only check)."""
-    fitted, _ = _fit(spark, sf_dir)
-    sim = simulation.simulation_frame(fx.flights(load_tables(spark, sf_dir)))
-    requests = scoring.parse_requests(scoring.request_frame(sim))
-    return model.score(fitted, requests, ["row_key"])
+    """Clean and score every flight's request text; some of the texts cannot be scored.
+
+    Every request comes back; the bad ones (too short, unreadable, a null
+    field, an unseen carrier) are not valid and have no score.
+    """
+    with _fitted(spark, sf_dir) as (fitted, _, _):
+        path = model.save_model(fitted, scratch_path(spark, "model"))
+    clean = simulation.drop_incomplete(simulation.clean_values(simulation_with_blank_hours(spark, sf_dir)))
+    requests = scoring.request_frame(clean).select("row_key", "feature")
+    digit = F.ascii(F.substring(F.md5("row_key"), 1, 1)) - 48
+    parts = F.split("feature", ",")
+    broken = (
+        F.when(digit == 1, F.substring_index("feature", ",", 3))
+        .when(digit == 2, F.concat(F.substring_index("feature", ",", 3), F.lit(",soon,late")))
+        .when(digit == 3, F.concat(F.lit("Nobody"), F.expr("substring(feature, length(split(feature, ',')[0]) + 1)")))
+        .when(digit == 4, F.concat_ws(",", parts[0], F.lit(""), parts[2], parts[3], parts[4]))
+        .otherwise(F.col("feature"))
+    )
+    scored = jobs.score_job(spark, path, requests.withColumn("feature", broken))
+    ok = lambda c: F.coalesce(c, F.lit(False))
+    return scored.select(
+        "row_key", "valid", ok(F.col("prediction").isin(0, 1)).alias("prediction_ok"), ok(F.col("p_cancel").between(0.0, 1.0)).alias("probability_ok"))

@@ -15,17 +15,19 @@ from groundstop.session import scratch_path, scratch_table
 from groundstop.sources import (
     append_table,
     create_if_absent,
+    describe_formatted,
     describe_table,
     load_tables,
     read_legacy_csv,
     read_modern_csv,
     save_table,
     scan_table,
+    show_databases,
     write_csv,
 )
 
 
-# --- oracle text -------------------------------------------------------------
+# --- oracle text (fixed values: source and target columns, label formats) --------
 
 # Legacy rows as the unified table holds them (times and flight number as integer text).
 _LEGACY_NORM_SQL = """
@@ -56,15 +58,15 @@ SELECT row_key,
   CASE WHEN cancelled = 1 THEN 'YES' ELSE 'NO' END AS cancel
 FROM flights"""
 
-_SIM_BLANK_SQL = _SIM_SQL.replace(
+SIM_BLANK_SQL = _SIM_SQL.replace(
     "left(lpad(CAST(CAST(crs_dep_time AS INT) AS VARCHAR), 4, '0'), 2) AS hour",
     "CASE WHEN diverted = 1 THEN ' ' ELSE left(lpad(CAST(CAST(crs_dep_time AS INT) AS VARCHAR), 4, '0'), 2) END AS hour",
 )
 
-_SIM_TEXT_COLS = ["row_key"] + simulation.SIMULATION_COLUMNS
+SIM_TEXT_COLS = ["row_key"] + simulation.SIMULATION_COLUMNS
 
 
-def _clean_sql() -> str:
+def clean_sql() -> str:
     def col(c):
         v = c
         if c == "cancel":
@@ -73,7 +75,7 @@ def _clean_sql() -> str:
             v = "CASE cancelled WHEN '1' THEN 'Yes' WHEN '0' THEN 'No' ELSE cancelled END"
         return f"CASE WHEN regexp_matches({v}, '^\\s$') THEN NULL ELSE {v} END AS {c}"
 
-    return "SELECT " + ",\n  ".join(col(c) for c in _SIM_TEXT_COLS) + "\nFROM sim_blank"
+    return "SELECT " + ",\n  ".join(col(c) for c in SIM_TEXT_COLS) + "\nFROM sim_blank"
 
 
 _DUCK_TYPE = "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'DATE' THEN 'date' ELSE lower(column_type) END"
@@ -192,11 +194,21 @@ def sink_orc_append(spark, sf_dir):
 
 @query(
     "catalog_describe",
-    with_views(["flights"], f"SELECT column_name AS col_name, {_DUCK_TYPE} AS data_type FROM (DESCRIBE SELECT * FROM flights)"),
+    with_views(
+        ["flights"],
+        f"SELECT column_name AS col_name, {_DUCK_TYPE} AS data_type FROM (DESCRIBE SELECT * FROM flights) "
+        "UNION ALL VALUES ('# Provider', 'parquet'), ('# Type', 'MANAGED'), ('# Databases', '1')",
+    ),
 )
 def catalog_describe(spark, sf_dir):
-    table = save_table(fx.flights(_t(spark, sf_dir)), scratch_table(spark, "flights_desc"))
-    return describe_table(spark, table).select("col_name", "data_type")
+    """Columns of the flights table, two of its properties and its database; the table is made from the schema alone."""
+    empty = spark.createDataFrame([], fx.flights(_t(spark, sf_dir)).schema)
+    table = save_table(empty, scratch_table(spark, "flights_desc"))
+    properties = describe_formatted(spark, table).where(F.col("col_name").isin("Provider", "Type")).select(
+        F.concat(F.lit("# "), F.col("col_name")).alias("col_name"), "data_type")
+    databases = show_databases(spark).where(F.col("namespace") == table.rpartition(".")[0]).agg(
+        F.lit("# Databases").alias("col_name"), F.count(F.lit(1)).cast("string").alias("data_type"))
+    return describe_table(spark, table).select("col_name", "data_type").union(properties).union(databases)
 
 
 @query("simulation_table", with_views(["flights"], _SIM_SQL))
@@ -255,7 +267,7 @@ def q_flight_id(spark, sf_dir):
 # --- simulation-set cleaning ------------------------------------------------------
 
 
-def _simulation_with_blank_hours(spark, sf_dir):
+def simulation_with_blank_hours(spark, sf_dir):
     """Simulation rows whose hour is one blank on diverted flights, so that
     the blank-to-null rule has work to do."""
     f = fx.flights(_t(spark, sf_dir))
@@ -272,21 +284,21 @@ def class_balance(spark, sf_dir):
     return sim.groupBy("cancel").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("clean_values", with_views(["flights"], _clean_sql(), extra=[("sim_blank", _SIM_BLANK_SQL)]))
+@query("clean_values", with_views(["flights"], clean_sql(), extra=[("sim_blank", SIM_BLANK_SQL)]))
 def clean_values(spark, sf_dir):
-    return simulation.clean_values(_simulation_with_blank_hours(spark, sf_dir))
+    return simulation.clean_values(simulation_with_blank_hours(spark, sf_dir))
 
 
 @query(
     "clean_dropna",
     with_views(
         ["flights"],
-        "SELECT * FROM cleaned WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _SIM_TEXT_COLS),
-        extra=[("sim_blank", _SIM_BLANK_SQL), ("cleaned", _clean_sql())],
+        "SELECT * FROM cleaned WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in SIM_TEXT_COLS),
+        extra=[("sim_blank", SIM_BLANK_SQL), ("cleaned", clean_sql())],
     ),
 )
 def clean_dropna(spark, sf_dir):
-    return simulation.drop_incomplete(simulation.clean_values(_simulation_with_blank_hours(spark, sf_dir)))
+    return simulation.drop_incomplete(simulation.clean_values(simulation_with_blank_hours(spark, sf_dir)))
 
 
 @query("sample_exact_n", with_views(["flights"], "SELECT * FROM sim ORDER BY md5(row_key), row_key LIMIT 1000",

@@ -3,11 +3,10 @@ accuracy per block, metric records, prediction log, model registry."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from groundstop import fixtures as fx
-from groundstop.functions import epoch_ms_to_timestamp, hash_sample
+from groundstop import fixtures as fx, jobs
+from groundstop.functions import hash_sample
 from groundstop.operators import features, monitor, nested, registry, report, scoring, simulation
 from groundstop.plans.features_model import _TS_SQL
 from groundstop.plans.ingest_io import _SIM_SQL
@@ -18,6 +17,9 @@ from groundstop.sources import load_tables, read_registry_json, replace_table, s
 
 DEPLOYMENT = "deployment-crn-1"
 
+# Buckets of the registered prediction log; a production log takes about its size / 256 MB.
+LOG_BUCKETS = 8
+
 # --- oracle text -------------------------------------------------------------
 
 _LAB = ("lab", "SELECT s.uuid, s.timestamp_ms, s.p_cancel, s.prediction, l.final_label "
@@ -88,28 +90,16 @@ def _labelled(spark, sf_dir):
     return monitor.attach_labels(fx.scored(t), fx.late_labels(t))
 
 
-def _metric_rows(spark, sf_dir):
-    """Every scored request with its label (null while pending): one left join."""
+def _published(spark, sf_dir) -> str:
+    """The published metrics table of the folder's scored log."""
     t = _t(spark, sf_dir)
-    return monitor.with_late_labels(fx.scored(t, with_feature=True), fx.late_labels(t))
-
-
-def _metrics_frame(rows):
-    """Nested metric records (per prediction and per full block) -> flat, cleaned table rows."""
-    blocks = monitor.accuracy_by_block(rows.where(F.col("final_label").isNotNull()))
-    records = monitor.prediction_records(rows, DEPLOYMENT).unionByName(monitor.block_records(blocks, DEPLOYMENT))
-    flat = nested.flatten(records)
-    return flat.select(
-        "record_id",
-        epoch_ms_to_timestamp("startTimeStampMs").alias("start_ts"),
-        epoch_ms_to_timestamp("endTimeStampMs").alias("end_ts"),
-        (F.col("endTimeStampMs") - F.col("startTimeStampMs")).alias("processing_time_ms"),
-        F.coalesce(F.col("metrics_accuracy"), F.lit(-1.0)).alias("metrics_accuracy"),
-        F.col("metrics_input_data_feature").cast("string").alias("metrics_input_data_feature"),
-        F.col("metrics_proba").cast("double").alias("metrics_proba"),
-        F.col("metrics_final_label").cast("boolean").alias("metrics_final_label"),
-        F.col("modelDeploymentCrn").alias("model_deployment_crn"),
-    )
+    table = scratch_table(spark, "model_metrics")
+    jobs.monitor_job(fx.scored(t, with_feature=True), fx.late_labels(t), table, DEPLOYMENT)
+    return table
+
+
+def _metrics_for_check(spark, table):
+    return spark.table(table).withColumn("metrics_accuracy", F.round("metrics_accuracy", 6))
 
 
 # --- delayed labels, reports, blocks -------------------------------------------
@@ -167,23 +157,28 @@ def progress_fraction(spark, sf_dir):
 
 @query("metrics_table", with_views(["scored", "scored_requests", "late_labels"], _METRICS_SQL, extra=_MON_CTES), bench=True)
 def metrics_table(spark, sf_dir):
-    """Publish the flat metrics log: one write replacing the table (no drop-then-create gap)."""
-    rows = _metric_rows(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)  # read by two branches
-    try:
-        table = replace_table(_metrics_frame(rows), scratch_table(spark, "model_metrics"))
-    finally:
-        rows.unpersist()
-    return spark.table(table)
+    """Publish the flat metrics log; the table it replaces stays until the new one is written."""
+    return _metrics_for_check(spark, _published(spark, sf_dir))
+
+
+_TAIL_FIELDS = ["record_id", "model_deployment_crn", "metrics_input_data_feature", "processing_time_ms"]
 
 
 @query(
     "metrics_tail",
-    with_views(["scored", "scored_requests", "late_labels"],
-               f"SELECT * FROM ({_METRICS_SQL}) m ORDER BY end_ts DESC, record_id DESC LIMIT 5", extra=_MON_CTES),
+    with_views(
+        ["scored", "scored_requests", "late_labels"],
+        "SELECT field, " + ", ".join(f"max(CASE WHEN n = {i} THEN v END) AS row_{i}" for i in range(1, 6)) + " FROM ("
+        + " UNION ALL ".join(f"SELECT n, '{c}' AS field, CAST({c} AS VARCHAR) AS v FROM tail" for c in _TAIL_FIELDS)
+        + ") u GROUP BY field",
+        extra=[*_MON_CTES, ("tail", f"SELECT *, row_number() OVER (ORDER BY end_ts DESC, record_id DESC) AS n FROM ({_METRICS_SQL}) m "
+                                    "ORDER BY end_ts DESC, record_id DESC LIMIT 5")],
+    ),
 )
 def metrics_tail(spark, sf_dir):
-    metrics = _metrics_frame(_metric_rows(spark, sf_dir))
-    return metrics.orderBy(F.col("end_ts").desc(), F.col("record_id").desc()).limit(5)
+    """The last five published records, turned sideways: a row per field, a column per record."""
+    last = spark.table(_published(spark, sf_dir)).orderBy(F.col("end_ts").desc(), F.col("record_id").desc()).limit(5)
+    return report.sideways(last.select(*_TAIL_FIELDS, "end_ts"), [F.col("end_ts").desc(), F.col("record_id").desc()], _TAIL_FIELDS, 5)
 
 
 @query(
@@ -276,10 +271,9 @@ def prediction_log(spark, sf_dir):
     s = fx.scored(_t(spark, sf_dir), with_feature=True)
     rows = s.select("uuid", "timestamp_ms", "feature", *scoring.response_columns())
     table = scratch_table(spark, "prediction_log")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     first = hash_sample("uuid", 0.5)
-    save_bucketed(rows.where(first), table, "uuid", buckets)
-    save_bucketed(rows.where(~first), table, "uuid", buckets)
+    save_bucketed(rows.where(first), table, "uuid", LOG_BUCKETS)
+    save_bucketed(rows.where(~first), table, "uuid", LOG_BUCKETS)
     return spark.table(table)
 
 
@@ -337,12 +331,14 @@ def registry_pick(spark, sf_dir):
     "registry_status",
     with_views(
         ["registry_flat"],
-        "SELECT r.id, r.deployment_status AS status, r.replicas_available AS replica_status "
-        "FROM (SELECT DISTINCT CAST(l_suppkey AS VARCHAR) AS id FROM lineitem WHERE l_returnflag = 'R') i "
-        "JOIN registry_flat r ON r.id = i.id",
+        "SELECT i.id, r.deployment_status AS status, r.replicas_available AS replica_status "
+        "FROM (SELECT DISTINCT CAST(CASE WHEN l_linenumber = 1 THEN l_suppkey ELSE -l_suppkey END AS VARCHAR) AS id "
+        "FROM lineitem WHERE l_returnflag = 'R') i LEFT JOIN registry_flat r ON r.id = i.id",
     ),
 )
 def registry_status(spark, sf_dir):
+    """Status of requested ids, of which half are in no registry record."""
     li = _t(spark, sf_dir)["lineitem"]
-    ids = li.where(F.col("l_returnflag") == "R").select(F.col("l_suppkey").cast("string").alias("id")).distinct()
+    asked = F.when(F.col("l_linenumber") == 1, F.col("l_suppkey")).otherwise(-F.col("l_suppkey"))
+    ids = li.where(F.col("l_returnflag") == "R").select(asked.cast("string").alias("id")).distinct()
     return registry.model_status(ids, _registry(spark, sf_dir))

@@ -7,6 +7,7 @@ the session it is given and only fills gaps when running in local mode
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
@@ -46,10 +47,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+_OPEN_SCOPES: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder below the shared checkpoint folder."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/scratch/{name}-{uuid.uuid4().hex[:12]}"
+    if _OPEN_SCOPES:
+        _OPEN_SCOPES[-1].append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder through the file system it lies on."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession):
+    """Scratch folders handed out inside are removed at the end; results must be published by then."""
+    _OPEN_SCOPES.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN_SCOPES.pop():
+            remove_scratch(spark, path)
 
 
 def scratch_table(spark: SparkSession, name: str) -> str:

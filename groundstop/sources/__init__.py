@@ -15,6 +15,9 @@ from groundstop.sources.tables import (
     save_bucketed,
     save_table,
     scan_table,
+    describe_formatted,
+    ensure_database,
+    show_databases,
     show_tables,
 )
 from groundstop.sources.testdata import load_tables
@@ -32,6 +35,9 @@ __all__ = [
     "save_bucketed",
     "save_table",
     "scan_table",
+    "describe_formatted",
+    "ensure_database",
+    "show_databases",
     "show_tables",
     "write_csv",
 ]

@@ -1,18 +1,22 @@
-"""Catalog tables: save, create-if-absent, append, atomic replace, describe, scan."""
+"""Catalog tables: save, create-if-absent, append, safe replace, describe, scan."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
-def _ensure_database(spark: SparkSession, table: str) -> None:
-    if "." in table:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {table.split('.')[0]}")
+def ensure_database(spark: SparkSession, table: str) -> None:
+    """Create the database (or catalog namespace) that a dotted table name lies in."""
+    namespace, _, _ = table.rpartition(".")
+    if namespace:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {namespace}")
 
 
 def save_table(df: DataFrame, table: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> str:
     """Save as a managed table, replacing any previous content."""
-    _ensure_database(df.sparkSession, table)
+    ensure_database(df.sparkSession, table)
     writer = df.write.format(fmt).mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
@@ -27,10 +31,13 @@ def save_bucketed(
 
     Two tables bucketed on their join key with the same bucket count join
     without a shuffle (the sort-merge join reads bucket i of both sides in
-    one task).  Choose ``buckets`` so a bucket holds a few hundred MB.
+    one task).  Choose ``buckets`` so a bucket holds a few hundred MB.  Rows
+    are first dealt to the buckets, so a write leaves one file per bucket at
+    most instead of one per task and bucket.
     """
-    _ensure_database(df.sparkSession, table)
-    df.write.format(fmt).mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+    ensure_database(df.sparkSession, table)
+    dealt = df.repartition(buckets, key)
+    dealt.write.format(fmt).mode(mode).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     return table
 
 
@@ -42,7 +49,7 @@ def create_if_absent(df: DataFrame, table: str, fmt: str = "parquet") -> bool:
     a table created in between.
     """
     spark = df.sparkSession
-    _ensure_database(spark, table)
+    ensure_database(spark, table)
     if spark.catalog.tableExists(table):
         return False
     df.write.format(fmt).mode("ignore").saveAsTable(table)
@@ -51,14 +58,37 @@ def create_if_absent(df: DataFrame, table: str, fmt: str = "parquet") -> bool:
 
 def append_table(df: DataFrame, table: str, fmt: str = "orc") -> str:
     """Append a slice; creates the table on first use."""
-    _ensure_database(df.sparkSession, table)
+    ensure_database(df.sparkSession, table)
     df.write.format(fmt).mode("append").saveAsTable(table)
     return table
 
 
 def replace_table(df: DataFrame, table: str, fmt: str = "parquet") -> str:
-    """Replace the table's content in one write (no drop-then-create gap)."""
-    return save_table(df, table, fmt)
+    """Replace the table's content and schema; the old table stays until the new one is written.
+
+    The rows go to a table of another name first (``df`` may read the old
+    one).  Only after that write has succeeded are the two exchanged by
+    renaming, and the old one is put back if that fails.
+    """
+    spark, mark = df.sparkSession, uuid.uuid4().hex[:10]
+    fresh, old = f"{table}__new_{mark}", f"{table}__old_{mark}"
+    try:
+        save_table(df, fresh, fmt)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {fresh}")
+        raise
+    existed = spark.catalog.tableExists(table)
+    if existed:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    try:
+        spark.sql(f"ALTER TABLE {fresh} RENAME TO {table}")
+    except Exception:
+        if existed:
+            spark.sql(f"ALTER TABLE {old} RENAME TO {table}")
+        raise
+    if existed:
+        spark.sql(f"DROP TABLE {old}")
+    return table
 
 
 def scan_table(spark: SparkSession, table: str) -> DataFrame:
@@ -71,6 +101,16 @@ def show_tables(spark: SparkSession, database: str) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}")
 
 
+def show_databases(spark: SparkSession) -> DataFrame:
+    """Databases of the current catalog (``SHOW DATABASES``)."""
+    return spark.sql("SHOW DATABASES")
+
+
+def describe_formatted(spark: SparkSession, table: str) -> DataFrame:
+    """Columns and table properties (``DESCRIBE FORMATTED``)."""
+    return spark.sql(f"DESCRIBE FORMATTED {table}")
+
+
 def describe_table(spark: SparkSession, table: str) -> DataFrame:
     """Column names and types of a catalog table (``DESCRIBE TABLE``)."""
     return spark.sql(f"DESCRIBE TABLE {table}").where("col_name NOT LIKE '#%' AND col_name <> ''")

@@ -32,11 +32,13 @@ def test_pipeline_end_to_end(spark, sf_dir):
         F.col("row_key").alias("rid"),
         F.concat_ws(",", "op_carrier", "origin", "dest", "week", "hour").alias("feature"),
     )
-    bad = spark.createDataFrame([("bad", "Brand#1,N01,N02,0,9")], "rid string, feature string")
-    scored = jobs.score_job(spark, model_path, requests.unionByName(bad)).collect()
-    assert len(scored) == sample.count() + 1
+    bad = [("week", "Brand#11,N01,N02,0,9"), ("text", "Brand#11,N01,N02,soon,9"), ("short", "Brand#11,N01"), ("long", "Brand#11,N01,N02,1,9,9"),
+           ("null", None), ("blank", "Brand#11,,N02,1,9"), ("unseen", "Nobody,N01,N02,1,9")]
+    scored = jobs.score_job(spark, model_path, requests.unionByName(spark.createDataFrame(bad, "rid string, feature string"))).collect()
+    assert len(scored) == sample.count() + len(bad)
     invalid = [r for r in scored if not r.valid]
-    assert [r.rid for r in invalid] == ["bad"] and invalid[0].prediction is None
+    assert sorted(r.rid for r in invalid) == sorted(b[0] for b in bad)
+    assert all(r.prediction is None and r.p_cancel is None and r.proba is None for r in invalid)
     assert all(r.prediction in (0, 1) and 0.0 <= r.p_cancel <= 1.0 for r in scored if r.valid)
 
 
@@ -56,8 +58,70 @@ def test_monitor_job(spark, sf_dir):
     t = load_tables(spark, sf_dir)
     out = jobs.monitor_job(fx.scored(t, with_feature=True), fx.late_labels(t), scratch_table(spark, "job_metrics"),
                            "dep-1")
-    assert out.where(F.col("metrics_accuracy").isNotNull()).count() == 50
+    assert out.where("metrics_accuracy >= 0").count() == 50
     assert out.count() == 6000 + 50
+    assert out.where("metrics_accuracy IS NULL OR processing_time_ms IS NULL OR start_ts IS NULL").count() == 0
+
+
+def test_monitor_job_leaves_no_scratch_and_equals_the_key(spark, sf_dir):
+    import os
+
+    from groundstop.plans import QUERIES
+    from groundstop.plans.monitoring import DEPLOYMENT
+    from groundstop.session import checkpoint_dir
+
+    base = checkpoint_dir(spark).removeprefix("file:") + "/scratch"
+    t = load_tables(spark, sf_dir)
+    key = QUERIES["metrics_table"](spark, sf_dir)
+    before = set(os.listdir(base))
+    out = jobs.monitor_job(fx.scored(t, with_feature=True), fx.late_labels(t), scratch_table(spark, "job_metrics"), DEPLOYMENT)
+    assert set(os.listdir(base)) <= before
+    out = out.withColumn("metrics_accuracy", F.round("metrics_accuracy", 6))
+    assert out.exceptAll(key).count() == 0 and key.exceptAll(out).count() == 0
+
+
+def test_score_and_monitor(spark, sf_dir):
+    t = load_tables(spark, sf_dir)
+    flights = fx.flights(t)
+    sample, model_path = jobs.sample_job(flights, scratch_path(spark, "sm_sample")), scratch_path(spark, "sm_model")
+    jobs.train_job(spark, sample, model_path, max_iter=2, max_depth=2)
+    sim = jobs.simulation_job(flights, scratch_table(spark, "sm_sim"))
+    log, metrics = scratch_table(spark, "sm_log"), scratch_table(spark, "sm_metrics")
+    out = jobs.score_and_monitor_job(spark, spark.table(sim), model_path, log, fx.late_labels(t), metrics, "dep", n=1000, buckets=4)
+    logged = spark.table(log)
+    n, labelled = logged.count(), logged.join(fx.late_labels(t), "uuid").count()
+    assert 0 < n <= 1000
+    assert [r.timestamp_ms for r in logged.orderBy("uuid").collect()] == list(range(1, n + 1))
+    assert out.count() == n + labelled // 100
+
+
+def test_prototype_job_loads_every_slice(spark, sf_dir):
+    raw = fx.flights_raw_1(load_tables(spark, sf_dir))
+    table = jobs.prototype_job(raw, scratch_table(spark, "proto"), ["N01", "N02"], [(1997, None), (1995, 1997)])
+    assert spark.table(table).count() == raw.where("origin IN ('N01', 'N02') AND year >= 1995").count()
+
+
+def test_by_year_ingest_into_a_new_database(spark, sf_dir):
+    import uuid
+
+    t = load_tables(spark, sf_dir)
+    legacy = write_csv(fx.flights_raw_1(t), scratch_path(spark, "nd_set_1"))
+    modern = write_csv(fx.flights_raw_2(t), scratch_path(spark, "nd_set_2"), null_value="NA")
+    table = f"new_db_{uuid.uuid4().hex[:8]}.flights"
+    assert jobs.ingest_job(spark, legacy, modern, table, partition_by_year=True, with_key=True)
+    assert spark.table(table).count() == 6000
+
+
+def test_analysis_reads_the_flights_twice(spark, sf_dir):
+    """One pass for all rates (stored), one for the column profile."""
+    from groundstop.operators import rates
+
+    flights = fx.flights(load_tables(spark, sf_dir))
+    got = jobs.analysis_job(flights)
+    for name, expected in (("rate_by_carrier", rates.rate_by_carrier(flights)), ("rate_by_year", rates.rate_by_year(flights)), ("rate_by_week", rates.rate_by_week(flights))):
+        assert got[name].exceptAll(expected).count() == 0 and expected.exceptAll(got[name]).count() == 0
+        assert "lineitem" not in " ".join(got[name].inputFiles())
+    assert "lineitem" in " ".join(got["unused_columns"].inputFiles())
 
 
 def test_real_layouts_without_key(spark, sf_dir):

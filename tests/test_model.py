@@ -53,11 +53,15 @@ def test_scaler_matches_indicator_scale(fitted):
         assert ours[name] == pytest.approx(std * ((n - 1) / n) ** 0.5, abs=1e-9)
 
 
-def test_unseen_category_fails(spark, fitted):
-    m, _, _, _ = fitted
-    bad = spark.createDataFrame([("ZZ", "N01", "N02", 1, 9)], "op_carrier string, origin string, dest string, week int, hour int")
-    with pytest.raises(Exception):
-        model.score(m, bad).collect()
+def test_unseen_and_null_values_fail_no_other_row(spark, fitted):
+    m, fl, _, _ = fitted
+    carrier, origin, dest = (m.stages[0].labelsArray[i][0] for i in range(3))
+    rows = [(1, "ZZ", origin, dest, 1, 9), (2, carrier, None, dest, 1, 9), (3, carrier, origin, dest, None, 9), (4, carrier, origin, dest, 1, 9)]
+    df = spark.createDataFrame(rows, "id int, op_carrier string, origin string, dest string, week int, hour int")
+    got = {r.id: r for r in model.score(m, df, ["id", "week"]).collect()}
+    assert [got[i].valid for i in (1, 2, 3, 4)] == [False, False, False, True]
+    assert all(got[i].prediction is None and got[i].p_cancel is None and got[i].proba is None for i in (1, 2, 3))
+    assert got[4].prediction in (0, 1) and got[3].week is None and got[1].week == 1
 
 
 def test_onehot_keeps_every_category(fitted):

@@ -223,3 +223,67 @@ def test_simulation_sample_chain(spark, sf_dir):
     assert 0 < len(rows) <= 1000
     assert {r.cancel for r in rows} <= {"Yes", "No"} and {r.cancelled for r in rows} <= {"Yes", "No"}
     assert all(r.hour is not None and r.hour.strip() for r in rows)
+
+
+def test_failed_replace_keeps_the_old_table(spark):
+    from groundstop.session import scratch_table
+    from groundstop.sources import replace_table, save_table
+
+    table = save_table(spark.range(10), scratch_table(spark, "safe"))
+    broken = spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id"))
+    with pytest.raises(Exception):
+        replace_table(broken, table)
+    assert spark.table(table).count() == 10
+    replace_table(spark.table(table).where("id < 4").withColumn("more", F.lit(1)), table)  # reads what it replaces
+    assert spark.table(table).columns == ["id", "more"] and spark.table(table).count() == 4
+    database = table.rpartition(".")[0]
+    left = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect() if "__new_" in r.tableName or "__old_" in r.tableName]
+    assert left == []
+
+
+def test_bucketed_write_leaves_a_file_per_bucket_at_most(spark):
+    from groundstop.session import scratch_table
+    from groundstop.sources import save_bucketed
+
+    table = save_bucketed(spark.range(10_000, numPartitions=16), scratch_table(spark, "bucketed"), "id", 8)
+    assert len(spark.table(table).inputFiles()) <= 8
+
+
+def test_null_airport_carrier_and_date_make_no_group(spark):
+    rows = [("A", "2001-01-02", "X", None, 1.0), (None, "2001-01-02", None, "X", 1.0), ("A", None, "X", "Y", 1.0), ("A", "2001-01-02", "Y", "X", 0.0)]
+    df = spark.createDataFrame(rows, "op_carrier string, d string, origin string, dest string, cancelled double").withColumn("fl_date", F.col("d").cast("date"))
+    assert [tuple(r) for r in rates.rate_by_route(df).collect()] == [("X<>Y", 2, 1, 50.0)]
+    assert [r.op_carrier for r in rates.rate_by_carrier(df).collect()] == ["A"]
+    assert rates.rate_by_carrier(df).exceptAll(rates.rate_join_form(df)).count() == 0
+    assert [r.year for r in rates.rate_by_year(df).collect()] == [2001]
+    got = {(r.kind, r.key): (r.count_total, r.count_delays) for r in rates.all_rates(df).collect()}
+    assert got == {("carrier", "A"): (3, 2), ("year", "2001"): (3, 2), ("week", "1"): (3, 2), ("route", "X<>Y"): (2, 1), ("direction", "XY"): (1, 1)}
+
+
+def test_fraction_one_keeps_every_row(spark):
+    df = spark.createDataFrame([(f"k{i}", 0.0) for i in range(50)], "row_key string, cancelled double")
+    assert sampling.undersample(df, 1.0).count() == 50
+    train, test = sampling.train_test_split(df, 1.0)
+    assert (train.count(), test.count()) == (50, 0)
+
+
+def test_request_texts_keep_their_places(spark):
+    from groundstop.operators import scoring
+
+    df = spark.createDataFrame([("UA", None, "BOS", "1", "16")], "op_carrier string, origin string, dest string, week string, hour string")
+    text = scoring.request_frame(df)
+    assert text.first().feature == "UA,,BOS,1,16"
+    parsed = scoring.parse_requests(text.select("feature")).withColumn("valid", scoring.request_valid()).first()
+    assert (parsed.op_carrier, parsed.origin, parsed.dest, parsed.week, parsed.hour, parsed.valid) == ("UA", None, "BOS", 1, 16, False)
+
+
+def test_batch_records(spark):
+    from groundstop.operators import scoring
+
+    record = '{"data": {"rows": [["UA", "BOS", "SFO", "1", "16"], ["UA", null, "SFO", "x", "16"], ["UA"]]}}'
+    df = spark.createDataFrame([(7, record), (8, "not json"), (9, None)], "id int, record_json string")
+    rows = sorted(scoring.parse_records(df, keep=["id"]).collect(), key=lambda r: r.row_no)
+    assert [(r.id, r.row_no, r.op_carrier, r.week) for r in rows] == [(7, 0, "UA", 1), (7, 1, "UA", None), (7, 2, None, None)]
+    scored = spark.createDataFrame([(7, 1, None, None), (7, 0, 1, "0.8")], "id int, row_no int, prediction int, proba string")
+    assert scoring.reply_records(scored, "id").first().reply_json == (
+        '{"colnames":["prediction","proba"],"coltypes":["INT","STRING"],"rows":[["1","0.8"],[null,null]]}')

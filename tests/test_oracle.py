@@ -7,11 +7,8 @@ from groundstop.plans import ORACLES, QUERIES
 from tools.oracle_check import canon
 
 
-
-def test_every_query_has_an_oracle_or_is_rows_only():
-    rows_only = set(QUERIES) - set(ORACLES)
-    assert rows_only == {"score_batch"}
-    assert set(ORACLES) <= set(QUERIES)
+def test_every_query_has_an_oracle():
+    assert set(ORACLES) == set(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -32,12 +29,3 @@ def test_matches_oracle(spark, duck, sf_dir, key):
     assert sorted(s_cols) == sorted(d_cols)
     assert len(s_rows) == len(d_rows)
     assert canon(s_cols, s_rows) == canon(d_cols, d_rows)
-
-
-def test_score_batch_rows(spark, sf_dir):
-    df = QUERIES["score_batch"](spark, sf_dir)
-    n_flights = QUERIES["count_all"](spark, sf_dir).first()["n"]
-    rows = df.collect()
-    assert len(rows) == n_flights
-    assert all(0.0 <= r["p_cancel"] <= 1.0 for r in rows)
-    assert {r["prediction"] for r in rows} <= {0, 1}

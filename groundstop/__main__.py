@@ -4,7 +4,10 @@
     python -m groundstop analyse --table DB.T --out PATH
     python -m groundstop sample  --table DB.T --out PATH [--fraction 0.03]
     python -m groundstop train   --sample PATH --model PATH [--max-iter 100 --max-depth 6]
+    python -m groundstop prototype --table DB.T --out DB.P --airports A,B --slices 1997-,1995-1997
+    python -m groundstop simulate  --table DB.T --out DB.S
     python -m groundstop score   --model PATH --requests PATH --out PATH
+    python -m groundstop monitor --scored DB.T --labels DB.T --out DB.M --deployment NAME [--block 100]
 
 The session comes from ``SparkSession.builder.getOrCreate()``: master,
 resources and ``spark.checkpoint.dir`` are the cluster's.  Results are
@@ -50,9 +53,32 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--model", required=True)
     p.add_argument("--requests", required=True)
     p.add_argument("--out", required=True)
+
+    p = sub.add_parser("prototype", help="airport and year slices of raw legacy rows -> ORC table")
+    p.add_argument("--table", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--airports", required=True, help="comma-separated codes")
+    p.add_argument("--slices", required=True, help="comma-separated from-to years, to excluded or empty")
+
+    p = sub.add_parser("simulate", help="flights table -> all-text simulation table")
+    p.add_argument("--table", required=True)
+    p.add_argument("--out", required=True)
+
+    p = sub.add_parser("monitor", help="scored log and late labels -> published metrics table")
+    p.add_argument("--scored", required=True)
+    p.add_argument("--labels", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--deployment", required=True)
+    p.add_argument("--block", type=int, default=100)
     return ap
 
 
+def _slices(text: str) -> list[tuple[int, int | None]]:
+    """``"1997-,1995-1997"`` -> [(1997, None), (1995, 1997)]."""
+    pairs = [part.split("-") for part in text.split(",")]
+    return [(int(low), int(high) if high else None) for low, high in pairs]
+
+
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     a = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"groundstop-{a.stage}").getOrCreate()
@@ -69,6 +95,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         report.show(truncate=False)  # five rows
     elif a.stage == "score":
         jobs.score_job(spark, a.model, spark.read.parquet(a.requests)).write.mode("overwrite").parquet(a.out)
+    elif a.stage == "prototype":
+        jobs.prototype_job(spark.table(a.table), a.out, a.airports.split(","), _slices(a.slices))
+    elif a.stage == "simulate":
+        jobs.simulation_job(spark.table(a.table), a.out)
+    elif a.stage == "monitor":
+        jobs.monitor_job(spark.table(a.scored), spark.table(a.labels), a.out, a.deployment, a.block)
     return 0
 
 

@@ -211,14 +211,37 @@ def late_labels(t) -> DataFrame:
 
 @_memo
 def registry_flat(t) -> DataFrame:
-    """Flat base columns of the model registry (one record per supplier)."""
-    s = t["supplier"]
-    return s.select(
-        F.col("s_suppkey").cast("string").alias("id"),
-        F.col("s_name").alias("name"),
+    """Flat base columns of the model registry and of the models' deployment status (one record per supplier)."""
+    key, nation = F.col("s_suppkey").cast("string"), F.col("s_nationkey").cast("string")
+    creator = (F.col("s_suppkey") % 7).cast("int")
+    text = lambda prefix, c: F.concat(F.lit(prefix), c)
+    return t["supplier"].select(
+        key.alias("id"),
         F.col("s_nationkey").cast("int").alias("project_id"),
-        F.concat(F.lit("proj-"), F.col("s_nationkey").cast("string")).alias("project_slug"),
-        F.concat(F.lit("user-"), (F.col("s_suppkey") % 7).cast("string")).alias("creator_username"),
+        text("Project ", nation).alias("project_name"),
+        text("proj-", nation).alias("project_slug"),
+        text("crn:project:", nation).alias("project_crn"),
+        F.lit("engine").alias("project_engine"),
+        (F.col("s_nationkey") + 100).cast("int").alias("owner_id"),
+        text("owner-", nation).alias("owner_username"),
+        F.lit("user").alias("owner_type"),
+        text("crn:model:", key).alias("crn"),
+        creator.alias("creator_id"),
+        text("user-", creator.cast("string")).alias("creator_username"),
+        F.lit("user").alias("creator_type"),
+        F.col("s_name").alias("name"),
+        F.lower("s_name").alias("description"),
+        F.when(F.col("s_suppkey") % 2 == 0, F.lit("private")).otherwise(F.lit("public")).alias("visibility"),
+        text("key-", key).alias("access_key"),
+        (F.col("s_acctbal") > 0).alias("auth_enabled"),
+        (F.col("s_suppkey") % 4 * 1000 + 1000).cast("int").alias("cpu_millicores"),
+        F.lit(2048).alias("memory_mb"),
+        F.lit("fixed").alias("policy_type"),
+        (F.col("s_suppkey") % 3 + 1).cast("int").alias("num_replicas"),
+        text("/models/", key).alias("html_url"),
+        F.lit("2020-01-01").alias("created_at"),
+        F.lit("2020-02-02").alias("updated_at"),
+        F.lit(None).cast("string").alias("namespace"),
         F.when(F.col("s_acctbal") > 0, F.lit("deployed")).otherwise(F.lit("stopped")).alias("deployment_status"),
         (F.col("s_suppkey") % 3).cast("int").alias("replicas_available"),
     )

@@ -2,23 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+# Flat column behind every leaf of the registry record.
+_LEAVES = {
+    "id": "id", "projectId": "project_id",
+    "project": {"id": "project_id", "name": "project_name", "slug": "project_slug", "crn": "project_crn", "default_project_engine_type": "project_engine"},
+    "projectOwner": {"id": "owner_id", "username": "owner_username", "type": "owner_type"},
+    "crn": "crn", "creatorId": "creator_id",
+    "creator": {"id": "creator_id", "username": "creator_username", "type": "creator_type"},
+    "name": "name", "description": "description", "visibility": "visibility", "accessKey": "access_key", "authEnabled": "auth_enabled",
+    "defaultResources": {"cpuMillicores": "cpu_millicores", "memoryMb": "memory_mb"},
+    "defaultReplicationPolicy": {"type": "policy_type", "numReplicas": "num_replicas"},
+    "htmlUrl": "html_url", "createdAt": "created_at", "updatedAt": "updated_at", "namespace": "namespace",
+}
+
+
+def _nested(name: str, leaf: str | dict[str, str]) -> Column:
+    if isinstance(leaf, str):
+        return F.col(leaf).alias(name)
+    return F.struct(*[_nested(n, c) for n, c in leaf.items()]).alias(name)
+
+
 def nest_registry(flat: DataFrame) -> DataFrame:
-    """Pack flat registry columns into the nested record layout (explicit structs, no maps)."""
-    return flat.select(
-        "id",
-        "name",
-        F.col("project_id").alias("projectId"),
-        F.struct(F.col("project_id").alias("id"), F.col("project_slug").alias("slug")).alias("project"),
-        F.struct(F.col("creator_username").alias("username")).alias("creator"),
-        F.struct(
-            F.col("deployment_status").alias("status"),
-            F.struct(F.col("replicas_available").alias("numReplicasAvailable")).alias("replicationStatus"),
-        ).alias("latestModelDeployment"),
-    )
+    """Pack flat registry columns into the 18-field nested record (explicit structs, no maps)."""
+    return flat.select(*[_nested(n, leaf) for n, leaf in _LEAVES.items()])
+
+
+def nest_status(flat: DataFrame) -> DataFrame:
+    """Deployment status records as the status reply nests them."""
+    return flat.select("id", F.struct(
+        F.col("crn").alias("crn"), F.col("deployment_status").alias("status"),
+        F.struct(F.col("replicas_available").alias("numReplicasAvailable")).alias("replicationStatus"),
+    ).alias("latestModelDeployment"))
 
 
 def pick_model(
@@ -38,14 +56,14 @@ def pick_model(
     return registry.where(cond).orderBy("id").limit(1)
 
 
-def model_status(ids: DataFrame, registry: DataFrame, key: str = "id") -> DataFrame:
+def model_status(ids: DataFrame, statuses: DataFrame, key: str = "id") -> DataFrame:
     """Deployment status and available replicas for every requested id.
 
     An id without a record keeps its row, with null status.  An equi-join;
-    Spark broadcasts the registry only when its measured size is under the
+    Spark broadcasts the records only when its measured size is under the
     broadcast threshold and sort-merges otherwise.
     """
-    return ids.join(registry, key, "left").select(
+    return ids.join(statuses, key, "left").select(
         key,
         F.col("latestModelDeployment.status").alias("status"),
         F.col("latestModelDeployment.replicationStatus.numReplicasAvailable").alias("replica_status"),

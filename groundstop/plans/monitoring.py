@@ -280,13 +280,33 @@ def prediction_log(spark, sf_dir):
 # --- model registry ------------------------------------------------------------
 
 _REG_JSON = (
-    "to_json(struct_pack(id := id, name := name, projectId := project_id, "
-    "project := struct_pack(id := project_id, slug := project_slug), "
-    "creator := struct_pack(username := creator_username), "
-    "latestModelDeployment := struct_pack(status := deployment_status, "
-    "replicationStatus := struct_pack(numReplicasAvailable := replicas_available))))"
+    "to_json(struct_pack(id := id, projectId := project_id, "
+    "project := struct_pack(id := project_id, name := project_name, slug := project_slug, crn := project_crn, "
+    "default_project_engine_type := project_engine), "
+    "projectOwner := struct_pack(id := owner_id, username := owner_username, type := owner_type), "
+    "crn := crn, creatorId := creator_id, "
+    "creator := struct_pack(id := creator_id, username := creator_username, type := creator_type), "
+    "name := name, description := description, visibility := visibility, accessKey := access_key, authEnabled := auth_enabled, "
+    "defaultResources := struct_pack(cpuMillicores := cpu_millicores, memoryMb := memory_mb), "
+    "defaultReplicationPolicy := struct_pack(type := policy_type, numReplicas := num_replicas), "
+    "htmlUrl := html_url, createdAt := created_at, updatedAt := updated_at, namespace := namespace))"
 )
 
+_REG_FLAT = {
+    "id": "id", "projectId": "project_id", "project_id": "project_id", "project_name": "project_name", "project_slug": "project_slug",
+    "project_crn": "project_crn", "project_default_project_engine_type": "project_engine", "projectOwner_id": "owner_id",
+    "projectOwner_username": "owner_username", "projectOwner_type": "owner_type", "crn": "crn", "creatorId": "creator_id",
+    "creator_id": "creator_id", "creator_username": "creator_username", "creator_type": "creator_type", "name": "name",
+    "description": "description", "visibility": "visibility", "accessKey": "access_key", "authEnabled": "auth_enabled",
+    "defaultResources_cpuMillicores": "cpu_millicores", "defaultResources_memoryMb": "memory_mb",
+    "defaultReplicationPolicy_type": "policy_type", "defaultReplicationPolicy_numReplicas": "num_replicas",
+    "htmlUrl": "html_url", "createdAt": "created_at", "updatedAt": "updated_at", "namespace": "namespace",
+}
+
+
+def _record_json(df):
+    return F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("record_json")
+
 
 def _registry(spark, sf_dir):
     return registry.nest_registry(fx.registry_flat(_t(spark, sf_dir)))
@@ -294,21 +314,16 @@ def _registry(spark, sf_dir):
 
 @query("registry_nested", with_views(["registry_flat"], f"SELECT id, {_REG_JSON} AS record_json FROM registry_flat"))
 def registry_nested(spark, sf_dir):
-    """Registry records written as JSON lines and read back with the explicit nested schema."""
+    """Registry records written as JSON lines, read back with the explicit nested schema and published as a table."""
     path = scratch_path(spark, "models_json")
     _registry(spark, sf_dir).write.mode("overwrite").json(path)
-    reg = read_registry_json(spark, path)
-    return reg.select("id", F.to_json(F.struct(*reg.columns)).alias("record_json"))
+    reg = spark.table(replace_table(read_registry_json(spark, path), scratch_table(spark, "models")))
+    return reg.select("id", _record_json(reg))
 
 
 @query(
     "registry_flatten",
-    with_views(
-        ["registry_flat"],
-        'SELECT id, name, project_id AS "projectId", project_id, project_slug, creator_username, '
-        'deployment_status AS "latestModelDeployment_status", '
-        'replicas_available AS "latestModelDeployment_replicationStatus_numReplicasAvailable" FROM registry_flat',
-    ),
+    with_views(["registry_flat"], "SELECT " + ", ".join(f'{c} AS "{name}"' for name, c in _REG_FLAT.items()) + " FROM registry_flat"),
 )
 def registry_flatten(spark, sf_dir):
     return nested.flatten(_registry(spark, sf_dir))
@@ -324,7 +339,7 @@ def registry_flatten(spark, sf_dir):
 )
 def registry_pick(spark, sf_dir):
     hit = registry.pick_model(_registry(spark, sf_dir), name="Supplier#000000003", creator="user-3")
-    return hit.select("id", F.to_json(F.struct(*hit.columns)).alias("record_json"))
+    return hit.select("id", _record_json(hit))
 
 
 @query(
@@ -341,4 +356,4 @@ def registry_status(spark, sf_dir):
     li = _t(spark, sf_dir)["lineitem"]
     asked = F.when(F.col("l_linenumber") == 1, F.col("l_suppkey")).otherwise(-F.col("l_suppkey"))
     ids = li.where(F.col("l_returnflag") == "R").select(asked.cast("string").alias("id")).distinct()
-    return registry.model_status(ids, _registry(spark, sf_dir))
+    return registry.model_status(ids, registry.nest_status(fx.registry_flat(_t(spark, sf_dir))))

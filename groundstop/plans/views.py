@@ -91,9 +91,19 @@ FROM flights_full""",
 SELECT row_key AS uuid, CASE WHEN cancelled = 1 THEN 1 ELSE 0 END AS final_label
 FROM flights_full WHERE line_no <> 7""",
     "registry_flat": """
-SELECT CAST(s_suppkey AS VARCHAR(20)) AS id, s_name AS name,
-  CAST(s_nationkey AS INT) AS project_id, concat('proj-', CAST(s_nationkey AS VARCHAR(20))) AS project_slug,
-  concat('user-', CAST(s_suppkey % 7 AS VARCHAR(20))) AS creator_username,
+SELECT CAST(s_suppkey AS VARCHAR(20)) AS id, CAST(s_nationkey AS INT) AS project_id,
+  concat('Project ', CAST(s_nationkey AS VARCHAR(20))) AS project_name,
+  concat('proj-', CAST(s_nationkey AS VARCHAR(20))) AS project_slug,
+  concat('crn:project:', CAST(s_nationkey AS VARCHAR(20))) AS project_crn, 'engine' AS project_engine,
+  CAST(s_nationkey + 100 AS INT) AS owner_id, concat('owner-', CAST(s_nationkey AS VARCHAR(20))) AS owner_username,
+  'user' AS owner_type, concat('crn:model:', CAST(s_suppkey AS VARCHAR(20))) AS crn,
+  CAST(s_suppkey % 7 AS INT) AS creator_id, concat('user-', CAST(s_suppkey % 7 AS VARCHAR(20))) AS creator_username,
+  'user' AS creator_type, s_name AS name, lower(s_name) AS description,
+  CASE WHEN s_suppkey % 2 = 0 THEN 'private' ELSE 'public' END AS visibility,
+  concat('key-', CAST(s_suppkey AS VARCHAR(20))) AS access_key, s_acctbal > 0 AS auth_enabled,
+  CAST(s_suppkey % 4 * 1000 + 1000 AS INT) AS cpu_millicores, CAST(2048 AS INT) AS memory_mb, 'fixed' AS policy_type,
+  CAST(s_suppkey % 3 + 1 AS INT) AS num_replicas, concat('/models/', CAST(s_suppkey AS VARCHAR(20))) AS html_url,
+  '2020-01-01' AS created_at, '2020-02-02' AS updated_at, CAST(NULL AS VARCHAR(20)) AS namespace,
   CASE WHEN s_acctbal > 0 THEN 'deployed' ELSE 'stopped' END AS deployment_status,
   CAST(s_suppkey % 3 AS INT) AS replicas_available
 FROM supplier""",

@@ -119,20 +119,17 @@ LEGACY_SCHEMA = flat_schema(LEGACY_DDL)
 MODERN_SCHEMA = flat_schema(MODERN_DDL)
 TRAINING_SCHEMA = flat_schema(TRAINING_DDL)
 
-# --- fixed values: model registry record (nested, explicit structs) ---------
-REGISTRY_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("name", T.StringType()),
-    T.StructField("projectId", T.IntegerType()),
-    T.StructField("project", T.StructType([
-        T.StructField("id", T.IntegerType()),
-        T.StructField("slug", T.StringType()),
-    ])),
-    T.StructField("creator", T.StructType([T.StructField("username", T.StringType())])),
-    T.StructField("latestModelDeployment", T.StructType([
-        T.StructField("status", T.StringType()),
-        T.StructField("replicationStatus", T.StructType([
-            T.StructField("numReplicasAvailable", T.IntegerType()),
-        ])),
-    ])),
-])
+# --- fixed values: model registry record (18 fields, five of them structs), in file order ---
+REGISTRY_DDL = (
+    "id string, projectId int, "
+    "project struct<id: int, name: string, slug: string, crn: string, default_project_engine_type: string>, "
+    "projectOwner struct<id: int, username: string, type: string>, "
+    "crn string, creatorId int, creator struct<id: int, username: string, type: string>, "
+    "name string, description string, visibility string, accessKey string, authEnabled boolean, "
+    "defaultResources struct<cpuMillicores: int, memoryMb: int>, "
+    "defaultReplicationPolicy struct<type: string, numReplicas: int>, "
+    "htmlUrl string, createdAt string, updatedAt string, namespace string"
+)
+
+# --- fixed values: deployment status of a model, as the status reply nests it ---
+STATUS_DDL = "id string, latestModelDeployment struct<crn: string, status: string, replicationStatus: struct<numReplicasAvailable: int>>"

@@ -10,7 +10,7 @@ from groundstop.schemas import (
     LEGACY_SCHEMA,
     MODERN_DDL,
     MODERN_SCHEMA,
-    REGISTRY_SCHEMA,
+    REGISTRY_DDL,
     TRAINING_SCHEMA,
     with_row_key,
 )
@@ -60,4 +60,4 @@ def write_csv(df: DataFrame, path: str, null_value: str | None = None, mode: str
 
 def read_registry_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
     """Nested registry records (JSON lines) with an explicit nested schema: structs, no maps."""
-    return spark.read.schema(schema or REGISTRY_SCHEMA).json(path)
+    return spark.read.schema(schema or REGISTRY_DDL).json(path)

@@ -161,6 +161,18 @@ def test_command_line_stages(spark, sf_dir):
     assert main(["score", "--model", model_path, "--requests", req_path, "--out", scored_path], spark) == 0
     assert spark.read.parquet(scored_path).count() == requests.count()
 
+    from groundstop.sources import save_table
+
+    raw, log, labels = (save_table(df, scratch_table(spark, n)) for df, n in (
+        (fx.flights_raw_1(t), "cli_raw"), (fx.scored(t, with_feature=True), "cli_log"), (fx.late_labels(t), "cli_labels")))
+    proto, sim, metrics = (scratch_table(spark, n) for n in ("cli_proto", "cli_sim", "cli_metrics"))
+    assert main(["prototype", "--table", raw, "--out", proto, "--airports", "N01,N02", "--slices", "1997-,1995-1997"], spark) == 0
+    assert spark.table(proto).count() == spark.table(raw).where("origin IN ('N01', 'N02') AND year >= 1995").count()
+    assert main(["simulate", "--table", table, "--out", sim], spark) == 0
+    assert spark.table(sim).count() == 6000
+    assert main(["monitor", "--scored", log, "--labels", labels, "--out", metrics, "--deployment", "d"], spark) == 0
+    assert spark.table(metrics).count() == 6000 + 50
+
 
 def test_bucketed_log_and_labels_join_without_shuffle(spark, sf_dir):
     t = load_tables(spark, sf_dir)

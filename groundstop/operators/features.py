@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from groundstop.functions import content_key, hour_of_departure, iso_week
 from groundstop.operators.sampling import undersample
-from groundstop.schemas import CATEGORICAL_FEATURES, LABEL, NUMERIC_FEATURES, ROW_KEY, TRAINING_COLUMNS
+from groundstop.schemas import CATEGORICAL_FEATURES, FLIGHT_KEY, LABEL, NUMERIC_FEATURES, ROW_KEY, TRAINING_COLUMNS
 
 
 def with_hour_week(df: DataFrame) -> DataFrame:
@@ -20,11 +20,12 @@ def with_hour_week(df: DataFrame) -> DataFrame:
 def training_sample(flights: DataFrame, fraction: float = 0.03, method: str = "hash") -> DataFrame:
     """All cancelled flights plus ``fraction`` of the others: row key + 12 columns.
 
-    Input without a row key gets one from the row's content, so the hash
-    sample and the later split stay repeatable.
+    Input without a row key gets one from the columns that name a flight,
+    so the hash sample and the later split stay repeatable and the scan
+    reads no further columns for it.
     """
     if ROW_KEY not in flights.columns:
-        flights = flights.withColumn(ROW_KEY, content_key(flights.columns))
+        flights = flights.withColumn(ROW_KEY, content_key(FLIGHT_KEY))
     sample = undersample(flights, fraction, method=method)
     return with_hour_week(sample).select(ROW_KEY, *TRAINING_COLUMNS)
 

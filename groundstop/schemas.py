@@ -94,6 +94,9 @@ NUMERIC_FEATURES = ["week", "hour"]
 LABEL = "cancelled"
 TARGET_NAMES = ["Not-cancelled", "Cancelled"]
 
+# Columns that together name a flight.
+FLIGHT_KEY = ["fl_date", "op_carrier", "op_carrier_fl_num", "origin", "dest", "crs_dep_time"]
+
 # Row key carried through every fixture-derived table (the raw data has none).
 ROW_KEY = "row_key"
 

@@ -9,7 +9,6 @@ data: each query still reads its columns from the files.
 from __future__ import annotations
 
 import threading
-import weakref
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,8 +17,6 @@ TABLES = (
     "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-# session -> {folder -> Tables}; dropped with the session.
-_CACHE: "weakref.WeakKeyDictionary[SparkSession, dict[str, Tables]]" = weakref.WeakKeyDictionary()
 _LOCK = threading.Lock()
 
 
@@ -49,7 +46,8 @@ class Tables(dict):
 def load_tables(spark: SparkSession, sf_dir: str) -> Tables:
     key = sf_dir.rstrip("/")
     with _LOCK:
-        per_session = _CACHE.setdefault(spark, {})
+        # Kept on the session itself, so it goes with the session.
+        per_session = spark.__dict__.setdefault("_groundstop_tables", {})
         if key not in per_session:
             per_session[key] = Tables(spark, key)
         return per_session[key]

@@ -44,7 +44,8 @@ CHOICE = SPAN - GRAM + 1
 LEFT = CHOICE - 1
 #: Bytes of a record: suffix, what stands left of it, offsets of its first and last window; padded to words.
 RECORD, PADDED = SPAN + LEFT + 2, 80
-KEY_BYTES = 6
+#: Bytes of a 26-gram's hash that travel, besides the shard's number; a chance match only keeps an anchor that is dropped later.
+KEY_BYTES = 4
 NO_ID = np.iinfo(np.int64).max
 
 _CODE32 = (BYTE_CODE >> np.uint64(32)).astype(np.uint32)
@@ -352,7 +353,7 @@ def covered(chunk: pa.RecordBatch, own: bytes, got: dict[int, bytes]) -> np.ndar
     ids = _ids(chunk.column(0))
     by_number = np.argsort(number, kind="stable")
     first = np.searchsorted(number[by_number], np.arange(int(cut[-1]) + 1))
-    change = np.zeros(len(data) + 1, np.int64)
+    starts, ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for shard in sorted(got):
         place, near, far, earlier = exchange.unpack_arrays(got[shard], "<u4", "u1", "u1", "<i8")
         c = place.astype(np.int64) + cut[shard]
@@ -361,8 +362,10 @@ def covered(chunk: pa.RecordBatch, own: bytes, got: dict[int, bytes]) -> np.ndar
         hit = by_number[np.arange(len(answer)) + np.repeat(first[c] - (np.cumsum(per) - per), per)]
         mine = earlier[answer] < ids[rows[hit]]
         hit, answer = hit[mine], answer[mine]
-        change += np.bincount(at[hit] - far[answer], minlength=len(change))
-        change -= np.bincount(at[hit] - near[answer] + SPAN, minlength=len(change))
+        starts.append(at[hit] - far[answer])
+        ends.append(at[hit] - near[answer] + SPAN)
+    size = len(data) + 1
+    change = np.bincount(np.concatenate(starts), minlength=size) - np.bincount(np.concatenate(ends), minlength=size)
     return np.cumsum(change[:-1]) > 0
 
 

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 _UPPER_TO_LOWER = np.arange(256, dtype=np.uint8)
 _UPPER_TO_LOWER[ord("A"):ord("Z") + 1] += 32

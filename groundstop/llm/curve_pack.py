@@ -76,15 +76,17 @@ def curve_places(ids: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """(doc_id, row, place, n, ids): ids as little-endian uint32 bytes; ``row`` tells rows apart."""
+    """(doc_id, row, place, n, ids): ids as little-endian bytes, two each if all of a chunk fit, else four; ``row`` tells rows apart."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 40
         for batch in batches:
             for some in slices(batch, "text", 4 << 20):
                 ids, counts = with_end(*encoder(tokenizer).encode(*text_buffer(some.column(1))), end_id)
-                off = np.concatenate([[0], np.cumsum(counts)]) * 4
-                raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(ids.astype("<u4"))]).cast(pa.binary())
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(np.arange(at, at + len(counts))), pa.array(curve_places(ids, counts)), pa.array(counts), raw], ["doc_id", "row", "place", "n", "ids"])
+                places = curve_places(ids, counts)
+                ids = ids.astype("<u2" if ids.max() < 1 << 16 else "<u4")
+                off = np.concatenate([[0], np.cumsum(counts)]) * ids.itemsize
+                raw = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(counts), [None, pa.py_buffer(off.astype(np.int64)), pa.py_buffer(ids)]).cast(pa.binary())
+                yield pa.RecordBatch.from_arrays([some.column(0), pa.array(np.arange(at, at + len(counts))), pa.array(places), pa.array(counts), raw], ["doc_id", "row", "place", "n", "ids"])
                 at += len(counts)
 
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, row long, place long, n long, ids binary")
@@ -123,11 +125,11 @@ def pieces(encoded: DataFrame, sequence: int = SEQUENCE, with_ids: bool = False)
             low = np.maximum(begin[doc], seq * sequence)
             start = low - begin[doc]
             length = np.minimum(begin[doc] + n[doc], (seq + 1) * sequence) - low
-            raws = [memoryview(b.as_buffer()) for b in batch.column(3)]
-            spans = [raws[d][4 * a:4 * (a + k)] for d, a, k in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
+            raws = [np.frombuffer(b.as_buffer(), f"<u{len(b.as_buffer()) // k}") for b, k in zip(batch.column(3), n.tolist(), strict=True)]
+            spans = [raws[d][a:a + k].astype("<u4").tobytes() for d, a, k in zip(doc.tolist(), start.tolist(), length.tolist(), strict=True)]
             columns = [batch.column(0).take(pa.array(doc)), pa.array(start), pa.array(length), pa.array([zlib.crc32(s) for s in spans], pa.int64()), pa.array(n[doc]), pa.array(seq), pa.array(low - seq * sequence)]
             if with_ids:
-                columns.append(pa.array([s.tobytes() for s in spans], pa.binary()))
+                columns.append(pa.array(spans, pa.binary()))
             yield pa.RecordBatch.from_arrays(columns, names)
 
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] + ["ids"] * with_ids

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Pieces and ids a worker remembers before it starts afresh.
-MAX_PIECES, MAX_IDS = 800_000, 8_000_000
+MAX_PIECES, MAX_IDS = 500_000, 5_000_000
 
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True

@@ -48,7 +48,8 @@ SHINGLE = 5
 GROUPS, LEAF, FANOUT = 64, 16, 16
 #: Classes that one task searches, and classes in every block of a larger group, about.
 BLOCK, PIVOTS = 4096, 32
-KEY_BYTES = 6
+#: Bytes of a shingle's hash that travel, besides the shard's number; a chance match only makes a shingle seem less rare, alike everywhere.
+KEY_BYTES = 4
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 

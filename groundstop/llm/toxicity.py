@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from groundstop.llm.chunks import lower_ascii, mix, slices, span_hashes, text_buffer, words
 
-SAMPLE, SAMPLE_TEXT_BYTES = 8_000, 1 << 20
+SAMPLE, SAMPLE_TEXT_BYTES = 6_000, 1 << 20
 PREFIXES = (4, 5, 6, 7, 8, 10)
 LEAST_TOXIC, LEAST_SCORE = 3, 4.0
 ROUNDS, RATE, SHRINK, START_BIAS = 120, 0.15, 2e-5, -5.0
@@ -78,16 +78,21 @@ def _softplus(x: np.ndarray) -> np.ndarray:
 
 def telling_features(features: np.ndarray, word: np.ndarray, row: np.ndarray, toxic: np.ndarray) -> np.ndarray:
     """Sorted hashes of the features that toxic documents hold far more often than by chance."""
-    every, number = np.unique(features, return_inverse=True)
-    number = number.reshape(features.shape)
     pairs = np.unique(row.astype(np.int64) * len(features) + word)  # distinct (document, word)
-    held = np.unique((pairs // len(features))[:, None] * len(every) + number[pairs % len(features)])
-    document, feature = held // len(every), held % len(every)
-    total = np.bincount(feature, minlength=len(every))
-    bad = np.bincount(feature, toxic[document], len(every))
-    rate = toxic.mean()
-    score = (bad - total * rate) / np.sqrt(np.maximum(total, 1) * rate * (1 - rate) + 1e-12)
-    return every[(bad >= LEAST_TOXIC) & (score >= LEAST_SCORE)]
+    document, held = pairs // len(features), pairs % len(features)
+    del pairs
+    rate, kept = toxic.mean(), [np.zeros(0, np.uint64)]
+    for j in range(features.shape[1]):
+        # A word no longer than the prefix has its whole-word feature once more: counted in the first column.
+        own = np.ones(len(features), bool) if j == 0 else features[:, j] != features[:, 0]
+        every, number = np.unique(features[:, j], return_inverse=True)
+        mine = own[held]
+        seen = np.unique(document[mine] * len(every) + number[held[mine]])
+        total = np.bincount(seen % len(every), minlength=len(every))
+        bad = np.bincount(seen % len(every), toxic[seen // len(every)], len(every))
+        score = (bad - total * rate) / np.sqrt(np.maximum(total, 1) * rate * (1 - rate) + 1e-12)
+        kept.append(every[(bad >= LEAST_TOXIC) & (score >= LEAST_SCORE)])
+    return np.unique(np.concatenate(kept))
 
 
 def numbered(features: np.ndarray, kept: np.ndarray) -> np.ndarray:
@@ -138,9 +143,11 @@ def _fit_table(table: pa.Table, rounds: int) -> pa.Table:
             done += bag.rows
     every, first = np.unique(np.concatenate(hashes), return_index=True)
     features, word = np.concatenate(features)[first], np.searchsorted(every, np.concatenate(word_hash))
+    del hashes, word_hash, every, first
     sentence, sentence_row, toxic = np.concatenate(sentence), np.concatenate(sentence_row), np.concatenate(toxic)
     kept = telling_features(features, word, sentence_row[sentence], toxic)
-    weight, bias = fit(numbered(features, kept), len(kept), word, sentence, sentence_row, toxic, rounds)
+    features = numbered(features, kept)
+    weight, bias = fit(features, len(kept), word, sentence, sentence_row, toxic, rounds)
     return pa.table({"feature": pa.array([kept.astype("<u8").tobytes()], pa.binary()), "weight": pa.array([weight.astype("<f8").tobytes()], pa.binary()), "bias": [bias]})
 
 

@@ -33,6 +33,8 @@ from groundstop.session import scratch_path
 
 #: Bytes of text for which one shard is planned.
 SHARD_BYTES = 8 << 20
+#: Compression level of the texts that move to their answers.
+TEXT_LEVEL = 5
 
 
 def stored(docs: DataFrame) -> DataFrame:
@@ -125,7 +127,7 @@ def finish(docs: DataFrame, columns: list[str], answers: DataFrame, work: Callab
     def packed(batches):
         for number, some in _runs(batches, limit):
             sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+            with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=TEXT_LEVEL))) as writer:
                 writer.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in some.columns], schema=some.schema))
             yield _messages([(number, -1, sink.getvalue().to_pybytes())])
 

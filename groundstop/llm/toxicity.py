@@ -10,7 +10,13 @@ A word's weight is the sum of the weights of its features: the whole word and
 its first 4 to 10 bytes (as such, and as the start of a longer word), so
 inflected forms share weight.  Only features that the labels set apart take
 part: held by at least ``LEAST_TOXIC`` toxic documents of the sample, and by
-``LEAST_SCORE`` standard deviations more of them than by chance.
+``LEAST_SCORE`` standard deviations more of them than by chance.  A sentence
+without any of them has probability 0, in the fit and in the scores.
+
+What little the other harmless sentences have would still add up in a long
+text, so a score is the noisy-or of the ``PASSAGE`` consecutive sentences in
+which it is greatest: that of the whole text if it has no more, and whatever
+the length, one offending sentence is enough.
 
 The fit uses at most ``SAMPLE`` labelled documents, the first in the order
 of a hash of their doc_id, of at most ``SAMPLE_TEXT_BYTES`` bytes each, on
@@ -19,7 +25,7 @@ one executor; scores are computed for whole texts of all rows.
 Cases: a null or empty text (and one without words) has no sentence and
 scores 0; rows that repeat a doc_id are scored each; of several labels for a
 doc_id the worst counts, null labels and ids teach nothing; a null doc_id is
-not held out; without labels the score is that of the starting bias.
+not held out; without labels no word tells and every score is 0.
 """
 
 from __future__ import annotations
@@ -40,6 +46,8 @@ SAMPLE, SAMPLE_TEXT_BYTES = 6_000, 1 << 20
 PREFIXES = (4, 5, 6, 7, 8, 10)
 LEAST_TOXIC, LEAST_SCORE = 3, 4.0
 ROUNDS, RATE, SHRINK, START_BIAS = 120, 0.15, 2e-5, -5.0
+#: Consecutive sentences whose probabilities may add up to a score.
+PASSAGE = 256
 
 #: Bytes that part words: all but ASCII letters and digits and bytes of other scripts.
 _GAP = np.ones(256, bool)
@@ -109,8 +117,10 @@ def fit(features: np.ndarray, size: int, word: np.ndarray, sentence: np.ndarray,
     weight, bias = np.zeros(size + 1), START_BIAS
     m, v, mb, vb = np.zeros_like(weight), np.zeros_like(weight), 0.0, 0.0
     flat, width, docs = features.ravel(), features.shape[1], len(toxic)
+    neutral = np.bincount(sentence, (features < size).any(axis=1)[word], len(sentence_row)) == 0
     for t in range(1, rounds + 1):
         s = bias + np.bincount(sentence, weight[features].sum(axis=1)[word], len(sentence_row))
+        s[neutral] = -np.inf
         chance = 0.5 * (1 + np.tanh(s / 2))
         q = np.bincount(sentence_row, _softplus(s), docs)
         slope = np.where(toxic, -1 / np.expm1(np.clip(q, 1e-6, 50)), 1.0) / max(1, docs)
@@ -164,9 +174,11 @@ class Model:
     bias: float
 
     def logits(self, bag: Bag) -> np.ndarray:
-        """Logit of every sentence of a chunk."""
-        by_word = np.append(self.weight, 0.0)[numbered(bag.features, self.feature)].sum(axis=1)
-        return self.bias + np.bincount(bag.sentence, by_word[bag.word], len(bag.sentence_row))
+        """Logit of every sentence of a chunk; minus infinity where no word tells."""
+        number = numbered(bag.features, self.feature)
+        by_word = np.append(self.weight, 0.0)[number].sum(axis=1)
+        telling = np.bincount(bag.sentence, (number < len(self.feature)).any(axis=1)[bag.word], len(bag.sentence_row)) > 0
+        return np.where(telling, self.bias + np.bincount(bag.sentence, by_word[bag.word], len(bag.sentence_row)), -np.inf)
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
@@ -204,7 +216,13 @@ def _scored(batches: Iterator[pa.RecordBatch], model: Model, folds: int) -> Iter
 
 
 def _document_scores(bag: Bag, logits: np.ndarray) -> np.ndarray:
-    return -np.expm1(-np.bincount(bag.sentence_row, _softplus(logits), bag.rows))
+    mass = _softplus(logits)
+    total = np.bincount(bag.sentence_row, mass, bag.rows)
+    first = np.searchsorted(bag.sentence_row, np.arange(bag.rows + 1))
+    for row in np.flatnonzero(np.diff(first) > PASSAGE).tolist():
+        up_to = np.concatenate([[0.0], np.cumsum(mass[first[row]:first[row + 1]])])
+        total[row] = (up_to[PASSAGE:] - up_to[:-PASSAGE]).max()
+    return -np.expm1(-total)
 
 
 def keep_clean(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -79,6 +80,29 @@ def test_toxicity_learns_and_locates(spark):
         (r.text or "") for r in docs.collect() if "fool" not in (r.text or ""))
 
 
+def test_toxicity_of_long_texts(spark):
+    rows, labels = toxic_corpus()
+    marks = spark.createDataFrame([(i, q, int(t or i % 37 == 1)) for i, q, t in labels], "doc_id long, quality int, toxic int")  # some labelled toxic that are not
+    model = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string"), marks)
+    clean = "the tree is green word1. we walk home word2. " * 70_000
+    half = len(clean) // 2
+    docs = spark.createDataFrame([(1, clean), (2, clean[:half] + "you nasty fool. " + clean[half:])], "doc_id long, text string")
+    got = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    assert len(clean) > 3_000_000 and got[1].score < 0.5 and got[1].offending_start == []
+    assert got[2].score >= 0.5 and len(got[2].offending_start) == 1
+    assert [r.doc_id for r in toxicity.keep_clean(docs, model).collect()] == [1]
+
+
+def test_toxicity_adds_up_within_a_passage_only():
+    told = toxicity.Bag(pa.array(["mild"])).features[0, :1]
+    model = toxicity.Model(told, np.array([1 / 7]), -5.0)  # a word has 7 features, all the same for a short one; its sentence: 0.018
+    each = 1 / (1 + math.exp(4))
+    sparse, dense = ("so mild. " + "and on. " * 299) * 1_000, "so mild. " * 200
+    bag = toxicity.Bag(pa.array([sparse, dense, "on. " * 9_000 + dense, ""]))
+    score = toxicity._document_scores(bag, model.logits(bag))
+    assert np.allclose(score, [each, 1 - (1 - each) ** 200, 1 - (1 - each) ** 200, 0])
+
+
 def test_toxicity_without_labels_or_rows(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.train(docs, none)

@@ -93,6 +93,23 @@ def test_toxicity_of_long_texts(spark):
     assert [r.doc_id for r in toxicity.keep_clean(docs, model).collect()] == [1]
 
 
+def test_toxicity_fit_takes_long_texts_within_its_bytes(spark, monkeypatch):
+    good = "the tree is green word1. we walk home word2. "
+    texts = [good * 25_000 + "you %s fool. " % ["nasty", "rotten"][i % 2] * (i % 3 == 0) + good for i in range(30)]  # 1.1 MB each
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(list(enumerate(texts)), 6), "doc_id long, text string")
+    marks = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(30)], "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs, marks)
+    assert all(r.predicted == int(r.doc_id % 3 == 0) for r in toxicity.score(docs, model).collect())
+    # A text's arrays have its telling sentences only, equal ones once.
+    bag = toxicity.Bag(pa.array([texts[0], texts[0] + texts[0], texts[1]]))
+    (a, b, c) = toxicity.telling_sentences(bag, model.feature)
+    assert a[0].tolist() == [1] and b[0].tolist() == [2] and a[2].tolist() == b[2].tolist() and len(a[2]) == a[1][0] and len(c[2]) == 0
+    assert toxicity.fitting([(1, 5), (2, 7), (3, 3), (4, 2), (5, 1)], 10) == [1, 3, 4]
+    room = sum(x.nbytes for x in a)
+    monkeypatch.setattr(toxicity, "FIT_BYTES", 3 * room)  # three toxic documents or so
+    assert any(r.predicted for r in toxicity.score(docs, toxicity.train(docs, marks)).collect())
+
+
 def test_toxicity_adds_up_within_a_passage_only():
     told = toxicity.Bag(pa.array(["mild"])).features[0, :1]
     model = toxicity.Model(told, np.array([1 / 7]), -5.0)  # a word has 7 features, all the same for a short one; its sentence: 0.018

@@ -18,7 +18,8 @@ so the points are first dealt to the trees of groups that can hold links:
    share one of them fall into one group (star edges, connected components).
 3. Each group's tree is searched component by component: what is already
    connected is not compared again, so a group of near copies costs about
-   one search each and no pairs are listed.  Groups larger than a block are
+   one search each and no pairs are listed.  Groups larger than a block, in
+   classes or in the bytes of their sets, are
    split, with some pivots in every block; only if a split group is left in
    several components, blocks are compared with each other.
 
@@ -48,6 +49,8 @@ SHINGLE = 5
 GROUPS, LEAF, FANOUT = 64, 16, 16
 #: Classes that one task searches, and classes in every block of a larger group, about.
 BLOCK, PIVOTS = 4096, 32
+#: Bytes of the sets that one task searches, about; two blocks that are compared have twice as many.
+BLOCK_BYTES = 64 << 20
 #: Bytes of a shingle's hash that travel, besides the shard's number; a chance match only makes a shingle seem less rare, alike everywhere.
 KEY_BYTES = 4
 
@@ -199,9 +202,9 @@ class CountTree:
         self.sets = sets
         m = len(sets)
         self.size = np.array([len(s) for s in sets], np.int64)
-        owner = np.repeat(np.arange(m), self.size)
-        group = (np.concatenate(sets) % np.uint64(GROUPS)).astype(np.int64)
-        self.points = np.bincount(owner * GROUPS + group, minlength=m * GROUPS).reshape(m, GROUPS).astype(np.int32)
+        self.points = np.empty((m, GROUPS), np.int32)
+        for i, one in enumerate(sets):
+            self.points[i] = np.bincount((one % np.uint64(GROUPS)).astype(np.int64), minlength=GROUPS)
         self.order = np.lexsort((self.points[:, 0], self.size))
         self.slot = np.empty(m, np.int64)
         self.slot[self.order] = np.arange(m)
@@ -275,11 +278,31 @@ def _search(table: pa.Table) -> pa.Table:
     table = table.combine_chunks()
     cid, first = np.unique(table["cid"].to_numpy(), return_index=True)
     label = table["label"].to_numpy()[first]
-    sets = [np.frombuffer(table["shingles"][int(i)].as_py(), "<u8") for i in first]
+    sets = [np.frombuffer(table["shingles"][int(i)].as_buffer(), "<u8") for i in first]
     links = spanning_links(sets, label)
     return pa.table({"a": pa.array([int(cid[i]) for i, _ in links], pa.int64()), "b": pa.array([int(cid[j]) for _, j in links], pa.int64())})
 
 
+def _sizes(groups: DataFrame, classes: DataFrame, block: int) -> DataFrame:
+    """(grp, n, blocks, pivots): a group's classes, the blocks that they and the bytes of their sets fill, and how many of them go into every block."""
+    sizes = groups.join(classes.select("cid", "n_shingles"), "cid").groupBy("grp").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("total"))
+    filled = F.greatest(F.ceil(F.col("n") / F.lit(block)), F.least("n", F.ceil(F.col("total") * 8 / F.lit(BLOCK_BYTES)))).cast("long")
+    # Pivots fill half a block at most.
+    return sizes.select("grp", "n", filled.alias("blocks")).withColumn("pivots", F.least(F.lit(PIVOTS), F.ceil(F.col("n") / F.col("blocks") / 2)))
+
+
+def _members(groups: DataFrame, sizes: DataFrame, classes: DataFrame) -> DataFrame:
+    return groups.join(sizes, "grp").join(classes.select("cid", "shingles"), "cid").select(
+        "grp", "blocks", "cid", "shingles", F.pmod(F.xxhash64("cid"), "blocks").alias("block"),
+        ((F.col("blocks") > 1) & (F.pmod(F.xxhash64("cid", F.lit(1)), "n") < F.col("pivots"))).alias("pivot"))
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Every class in its block, pivots in all blocks of their group."""
+    return members.select("grp", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))).alias("block"),
+                          "cid", F.col("cid").alias("label"), "shingles")
+
+
 def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     spark = docs.sparkSession
@@ -293,18 +316,14 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     answers = exchange.answer(exchange.send(docs, columns, _ask(bits)), _rarity)
     rows = keep("rows", exchange.finish(docs, columns, answers, _sets, "doc_id long, n_shingles long, digest binary, shingles binary, rare binary"))
     live = rows.where("digest IS NOT NULL")
-    sets = live.where("shingles IS NOT NULL").groupBy("digest").agg(F.max("shingles").alias("shingles"), F.max("rare").alias("rare"))
+    sets = live.where("shingles IS NOT NULL").groupBy("digest").agg(F.max("shingles").alias("shingles"), F.max("rare").alias("rare"), F.max("n_shingles").alias("n_shingles"))
     classes = keep("classes", sets.withColumn("cid", F.monotonically_increasing_id()))
     stars = classes.select("cid", "rare").mapInArrow(_rare_messages(bits), "shard long, blob binary").groupBy("shard").applyInArrow(_stars, "a long, b long")
     groups = keep("groups", connected(stars).select(F.col("node").alias("cid"), F.col("label").alias("grp")))
 
-    blocks = F.ceil(F.col("n") / F.lit(block))
-    sizes = groups.groupBy("grp").agg(F.count(F.lit(1)).alias("n")).select("grp", "n", blocks.cast("long").alias("blocks"))
-    members = keep("members", groups.join(sizes, "grp").join(classes.select("cid", "shingles"), "cid").select(
-        "grp", "blocks", "cid", "shingles", F.pmod(F.xxhash64("cid"), "blocks").alias("block"),
-        ((F.col("blocks") > 1) & (F.pmod(F.xxhash64("cid", F.lit(1)), "n") < PIVOTS)).alias("pivot")))
-    dealt = members.select("grp", F.explode(F.when(F.col("pivot"), F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).otherwise(F.array("block"))).alias("block"),
-                           "cid", F.col("cid").alias("label"), "shingles")
+    sizes = _sizes(groups, classes, block)
+    members = keep("members", _members(groups, sizes, classes))
+    dealt = _dealt(members)
     links = keep("links", dealt.groupBy("grp", "block").applyInArrow(_search, "a long, b long"))
     parts = keep("parts", connected(links))
     if sizes.where("blocks > 1").limit(1).count():

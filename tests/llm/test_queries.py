@@ -396,6 +396,22 @@ def test_jaccard_components(docs, rows, no_docs, block, monkeypatch):
         assert count_rtree.jaccard_components(no_docs).count() == 0
 
 
+def test_jaccard_blocks_are_bounded_in_bytes(spark, docs, rows, monkeypatch):
+    classes = spark.createDataFrame([(i, bytes(800), 100) for i in range(600)], "cid long, shingles binary, n_shingles long")
+    groups = spark.createDataFrame([(i, int(i >= 590)) for i in range(600)], "cid long, grp long")
+    monkeypatch.setattr(count_rtree, "BLOCK_BYTES", 40_000)  # 50 sets
+    members = count_rtree._members(groups, count_rtree._sizes(groups, classes, 4096), classes)
+    dealt = count_rtree._dealt(members).selectExpr("grp", "block", "cid", "length(shingles) AS n").collect()
+    held = defaultdict(int)
+    for r in dealt:
+        held[r.grp, r.block] += r.n
+    assert {r.cid for r in dealt} == set(range(600)) and len({b for g, b in held if g == 0}) == 12 and [b for g, b in held if g == 1] == [0]
+    assert max(held.values()) <= 3 * 40_000
+    monkeypatch.setattr(count_rtree, "BLOCK_BYTES", 2_000)
+    got = count_rtree.jaccard_components(docs).collect()
+    assert sorted((repr(r.doc_id), r.n_shingles, repr(r.component_id)) for r in got) == brute_components(rows)[0]
+
+
 # --- registration
 
 

@@ -201,9 +201,8 @@ def sink_orc_append(spark, sf_dir):
     ),
 )
 def catalog_describe(spark, sf_dir):
-    """Columns of the flights table, two of its properties and its database; the table is made from the schema alone."""
-    empty = spark.createDataFrame([], fx.flights(_t(spark, sf_dir)).schema)
-    table = save_table(empty, scratch_table(spark, "flights_desc"))
+    """Columns of the saved flights table, two of its properties and its database."""
+    table = save_table(fx.flights(_t(spark, sf_dir)), scratch_table(spark, "flights_desc"))
     properties = describe_formatted(spark, table).where(F.col("col_name").isin("Provider", "Type")).select(
         F.concat(F.lit("# "), F.col("col_name")).alias("col_name"), "data_type")
     databases = show_databases(spark).where(F.col("namespace") == table.rpartition(".")[0]).agg(

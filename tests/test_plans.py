@@ -65,3 +65,13 @@ def test_broadcast_and_merge_joins_give_the_same_flights(spark, sf_dir):
         assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_catalog_describe_describes_a_table_of_the_flights(spark, sf_dir):
+    from groundstop.plans.ingest_io import catalog_describe
+
+    rows = catalog_describe(spark, sf_dir).collect()
+    flights = fx.flights(load_tables(spark, sf_dir))
+    assert [r.col_name for r in rows][:len(flights.columns)] == flights.columns
+    tables = [t.name for t in spark.catalog.listTables("groundstop_scratch") if t.name.startswith("flights_desc_")]
+    assert tables and all(spark.table(f"groundstop_scratch.{t}").count() == flights.count() for t in tables)

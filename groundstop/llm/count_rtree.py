@@ -306,15 +306,15 @@ def _dealt(members: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs``."""
     spark = docs.sparkSession
-    columns, base = ["doc_id", "text"], scratch_path(spark, "jaccard")
+    base = scratch_path(spark, "jaccard")
 
     def keep(name: str, df: DataFrame) -> DataFrame:
         df.write.parquet(f"{base}/{name}")
         return spark.read.parquet(f"{base}/{name}")
 
-    bits = exchange.shard_bits(docs)
-    answers = exchange.answer(exchange.send(docs, columns, _ask(bits)), _rarity)
-    rows = keep("rows", exchange.finish(docs, columns, answers, _sets, "doc_id long, n_shingles long, digest binary, shingles binary, rare binary"))
+    bits, chunks = exchange.shard_bits(docs), exchange.packed(docs, ["doc_id", "text"])
+    answers = exchange.answer(exchange.send(chunks, _ask(bits)), _rarity)
+    rows = keep("rows", exchange.finish(chunks, answers, _sets, "doc_id long, n_shingles long, digest binary, shingles binary, rare binary"))
     live = rows.where("digest IS NOT NULL")
     sets = live.where("shingles IS NOT NULL").groupBy("digest").agg(F.max("shingles").alias("shingles"), F.max("rare").alias("rare"), F.max("n_shingles").alias("n_shingles"))
     classes = keep("classes", sets.withColumn("cid", F.monotonically_increasing_id()))
@@ -341,15 +341,14 @@ def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay: of every component the one with the least doc_id."""
-    row = F.monotonically_increasing_id()
-    parts = jaccard_components(docs.select(row.alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias("row"), "component_id")
-    several = parts.where("row != component_id")
-    several = several.union(several.select(F.col("component_id").alias("row"), "component_id").distinct())
-    named = docs.select(row.alias("row"), "doc_id").join(several, "row")
-    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "row"))["row"].alias("stays"))
-    gone = several.join(first, "component_id").where("row != stays").select(F.col("row").alias("_gone_row"))
-    numbered = docs.withColumn("_row_of_join", row)
-    return numbered.join(gone, F.col("_row_of_join") == F.col("_gone_row"), "left_anti").drop("_row_of_join")
+    rows, row = exchange.numbered(docs)
+    parts = jaccard_components(rows.select(F.col(row).alias("doc_id"), "text")).where("n_shingles > 0").select(F.col("doc_id").alias(row), "component_id")
+    several = parts.where(F.col(row) != F.col("component_id"))
+    several = several.union(several.select(F.col("component_id").alias(row), "component_id").distinct())
+    named = rows.select(row, "doc_id").join(several, row)
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", row))[row].alias("stays"))
+    gone = several.join(first, "component_id").where(F.col(row) != F.col("stays")).select(row)
+    return rows.join(gone, row, "left_anti").drop(row)
 
 
 def _across(members: DataFrame, parts: DataFrame) -> DataFrame:

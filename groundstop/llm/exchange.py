@@ -1,24 +1,26 @@
 """Questions from chunks of documents to shards of a distributed table, and answers back.
 
-Three stages.  ``send`` walks the documents and lets every chunk (a *run*)
-send one sorted, distinct, packed message to each shard of a key space.
+Four stages.  ``packed`` cuts the documents into chunks (*runs*) and stores
+every chunk, compressed, as one row with its number.  ``send`` lets every
+run send one sorted, distinct, packed message to each shard of a key space.
 ``answer`` brings a shard's messages together; a shard sees each key at most
 once per run however often it occurs, so hot keys arrive pre-aggregated.
-``finish`` walks the documents again, brings each run's texts (compressed)
-together with its answers, and goes on with whole texts.
+``finish`` brings each run together with its answers and goes on with whole
+texts.
+
+A run's number is stored with its texts and read back everywhere, so nothing
+depends on how a later scan is split, on the number of executors, or on a
+task that runs again.
 
 Rows that move are packed byte strings, so hundreds of millions of keys cost
 neither a row each nor a place on the driver.  The number of shards grows
-with the corpus (``shard_count``), so a shard's messages stay near the size
+with the corpus (``shard_bits``), so a shard's messages stay near the size
 of a chunk.
-
-Both walks must cut the same runs: ``docs`` must give the same partitions and
-row order each time, as a table read from files does.  Pass anything else
-through ``stored`` first.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -37,11 +39,11 @@ SHARD_BYTES = 8 << 20
 TEXT_LEVEL = 5
 
 
-def stored(docs: DataFrame) -> DataFrame:
-    """A stored copy of ``docs`` below the checkpoint folder."""
-    out = scratch_path(docs.sparkSession, "documents")
-    docs.write.parquet(out)
-    return docs.sparkSession.read.parquet(out)
+def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
+    """A stored copy of ``docs`` with a row number, and the name of its column (one that ``docs`` does not have)."""
+    out, row = scratch_path(docs.sparkSession, "numbered"), f"row_{uuid.uuid4().hex}"
+    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(out)
+    return docs.sparkSession.read.parquet(out), row
 
 
 def shard_bits(docs: DataFrame, shard_bytes: int = SHARD_BYTES) -> int:
@@ -85,14 +87,6 @@ def from_low_bytes(raw: np.ndarray, width: int) -> np.ndarray:
     return out.view("<u8").ravel()
 
 
-def _runs(batches: Iterator[pa.RecordBatch], limit: int) -> Iterator[tuple[int, pa.RecordBatch]]:
-    run = TaskContext.get().partitionId() << 32
-    for batch in batches:
-        for some in slices(batch, "text", limit):
-            yield run, some
-            run += 1
-
-
 MESSAGES = "run long, shard long, blob binary"
 
 
@@ -101,13 +95,39 @@ def _messages(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(run, pa.int64()), pa.array(shard, pa.int64()), pa.array(blob, pa.binary())], ["run", "shard", "blob"])
 
 
-def send(docs: DataFrame, columns: list[str], make: Callable[[pa.RecordBatch], Iterator[tuple[int, bytes]]], limit: int = CHUNK_BYTES) -> DataFrame:
-    """Messages (run, shard, blob) that ``make`` yields for every chunk of ``docs``."""
+#: Shard number of a run's own chunk.
+CHUNK = -1
+
+
+def packed(docs: DataFrame, columns: list[str], limit: int = CHUNK_BYTES) -> DataFrame:
+    """Stored chunks (run, shard, blob) of ``docs``; a chunk has the named columns, ``text`` among them."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for some in slices(batch, "text", limit):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=TEXT_LEVEL))) as writer:
+                    writer.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in some.columns], schema=some.schema))
+                yield _messages([(number, CHUNK, sink.getvalue().to_pybytes())])
+                number += 1
+
+    out = scratch_path(docs.sparkSession, "chunks")
+    docs.select(*columns).mapInArrow(run, MESSAGES).write.option("compression", "uncompressed").parquet(out)
+    return docs.sparkSession.read.parquet(out)
+
+
+def _opened(blob: pa.Scalar) -> pa.RecordBatch:
+    return pa.ipc.open_stream(blob.as_buffer()).read_next_batch()
+
+
+def send(chunks: DataFrame, make: Callable[[pa.RecordBatch], Iterator[tuple[int, bytes]]]) -> DataFrame:
+    """Messages (run, shard, blob) that ``make`` yields for every chunk."""
     def run(batches):
-        for number, some in _runs(batches, limit):
-            yield _messages([(number, shard, blob) for shard, blob in make(some)])
+        for batch in batches:
+            for number, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                yield _messages([(number, shard, b) for shard, b in make(_opened(blob))])
 
-    return docs.select(*columns).mapInArrow(run, MESSAGES)
+    return chunks.select("run", "blob").mapInArrow(run, MESSAGES)
 
 
 def answer(messages: DataFrame, reply: Callable[[int, list[int], list[bytes]], Iterator[tuple[int, bytes]]]) -> DataFrame:
@@ -122,19 +142,15 @@ def answer(messages: DataFrame, reply: Callable[[int, list[int], list[bytes]], I
     return messages.groupBy("shard").applyInArrow(run, MESSAGES)
 
 
-def finish(docs: DataFrame, columns: list[str], answers: DataFrame, work: Callable[[int, pa.RecordBatch, dict[int, bytes]], list[pa.RecordBatch]], schema: str, limit: int = CHUNK_BYTES) -> DataFrame:
+def finish(chunks: DataFrame, answers: DataFrame, work: Callable[[int, pa.RecordBatch, dict[int, bytes]], list[pa.RecordBatch]], schema: str) -> DataFrame:
     """Rows that ``work(run, chunk, answers by shard)`` makes of every chunk and its answers."""
-    def packed(batches):
-        for number, some in _runs(batches, limit):
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=TEXT_LEVEL))) as writer:
-                writer.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in some.columns], schema=some.schema))
-            yield _messages([(number, -1, sink.getvalue().to_pybytes())])
-
     def run(table: pa.Table) -> pa.Table:
-        got = dict(zip(table["shard"].to_pylist(), table["blob"].to_pylist(), strict=True))
-        chunk = pa.ipc.open_stream(got.pop(-1)).read_next_batch()
+        chunk, got = None, {}
+        for shard, blob in zip(table["shard"].to_pylist(), table["blob"], strict=True):
+            if shard == CHUNK:
+                chunk = _opened(blob)
+            else:
+                got[shard] = blob.as_py()
         return pa.Table.from_batches(work(table["run"][0].as_py(), chunk, got))
 
-    texts = docs.select(*columns).mapInArrow(packed, MESSAGES)
-    return texts.union(answers.select("run", "shard", "blob")).groupBy("run").applyInArrow(run, schema)
+    return chunks.union(answers.select("run", "shard", "blob")).groupBy("run").applyInArrow(run, schema)

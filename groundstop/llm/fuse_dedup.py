@@ -14,8 +14,8 @@ doc_id, stays.
 
 Cases: a null text is an empty one, and empty texts are equal to each other;
 a null doc_id is larger than any other; of rows that tie in all of this
-exactly one is kept (the first in storage order); an empty table gives no
-rows.
+exactly one is kept (the first in the stored table of repeated rows); an
+empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from groundstop.llm import exchange
 from groundstop.llm.chunks import SPACE, mix, slices, text_buffer
 from groundstop.session import scratch_path
 
@@ -36,6 +37,8 @@ from groundstop.session import scratch_path
 FILTER_KEYS = 50_000
 #: Digest bytes kept (32: all of SHA-256; tests shorten it to force collisions).
 DIGEST_BYTES = 32
+#: Repeated digests are broadcast up to this many bytes (counted first); beyond it the texts are shuffled to them.
+BROADCAST_BYTES = 32 << 20
 
 
 class FuseFilter:
@@ -110,19 +113,24 @@ def normalised(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data[keep], kept[off], np.diff(points[off])
 
 
-def _digests(docs: DataFrame, digest_bytes: int) -> DataFrame:
-    """(doc_id, row, points, digest, sha) of every row; ``row`` is the place in storage order."""
+def _scan(docs: DataFrame, digest_bytes: int, row: str | None, texts: bool) -> DataFrame:
+    """(doc_id, points, digest, sha, row) of every row, and with ``texts`` its normalised bytes; ``row`` is the named column, or null."""
+    kinds = "doc_id long, points long, digest binary, sha string, row long" + (", normal binary" if texts else "")
+    names = [k.split(" ")[0] for k in kinds.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for some in slices(batch):
                 data, off, points = normalised(some.column(1))
-                raw, cut = memoryview(data.tobytes()), off.tolist()
-                sha = [hashlib.sha256(raw[a:b]).digest() for a, b in zip(cut[:-1], cut[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [some.column(0), some.column(2), pa.array(points), pa.array([s[:digest_bytes] for s in sha], pa.binary()), pa.array([s.hex() for s in sha], pa.string())],
-                    ["doc_id", "row", "points", "digest", "sha"])
+                raw, cut = data.tobytes(), off.tolist()
+                view = memoryview(raw)
+                sha = [hashlib.sha256(view[a:b]).digest() for a, b in zip(cut[:-1], cut[1:], strict=True)]
+                columns = [some.column(0), pa.array(points), pa.array([s[:digest_bytes] for s in sha], pa.binary()), pa.array([s.hex() for s in sha], pa.string()), some.column(2)]
+                if texts:
+                    columns.append(pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names)
 
-    return docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row")).mapInArrow(run, "doc_id long, row long, points long, digest binary, sha string")
+    return docs.select("doc_id", "text", (F.col(row) if row else F.lit(None)).cast("long").alias("row")).mapInArrow(run, kinds)
 
 
 def _key64(digest: pa.ChunkedArray) -> np.ndarray:
@@ -160,16 +168,16 @@ def dedup(docs: DataFrame, incoming: str = "pmod(xxhash64(doc_id), 2) = 1", dige
 
 def keep_one(docs: DataFrame, incoming: str = "pmod(xxhash64(doc_id), 2) = 1") -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay."""
-    gone = _decisions(docs, incoming, DIGEST_BYTES, FILTER_KEYS).where("NOT kept").select(F.col("row").alias("_gone_row"))
-    numbered = docs.withColumn("_row_of_dedup", F.monotonically_increasing_id())
-    return numbered.join(gone, F.col("_row_of_dedup") == F.col("_gone_row"), "left_anti").drop("_row_of_dedup")
+    rows, row = exchange.numbered(docs)
+    gone = _decisions(rows, incoming, DIGEST_BYTES, FILTER_KEYS, row).where("NOT kept").select(F.col("row").alias(row))
+    return rows.join(gone, row, "left_anti").drop(row)
 
 
-def _decisions(docs: DataFrame, incoming: str, digest_bytes: int, filter_keys: int) -> DataFrame:
-    """What ``dedup`` returns, and the row's number (``monotonically_increasing_id`` over the stored table)."""
+def _decisions(docs: DataFrame, incoming: str, digest_bytes: int, filter_keys: int, row: str | None = None) -> DataFrame:
+    """What ``dedup`` returns, and the value of the column ``row``."""
     spark = docs.sparkSession
     base = scratch_path(spark, "exact-dedup")
-    _digests(docs, digest_bytes).withColumn("new", F.coalesce(F.expr(incoming), F.lit(False))).write.parquet(f"{base}/digests")
+    _scan(docs, digest_bytes, row, False).withColumn("new", F.coalesce(F.expr(incoming), F.lit(False))).write.parquet(f"{base}/digests")
     rows = spark.read.parquet(f"{base}/digests")
     buckets = max(1, rows.count() // filter_keys)
     bucket = F.pmod(F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long"), F.lit(buckets)).alias("bucket")
@@ -187,31 +195,19 @@ def _decisions(docs: DataFrame, incoming: str, digest_bytes: int, filter_keys: i
         .distinct())
     repeated.write.parquet(f"{base}/repeated")
     repeated = spark.read.parquet(f"{base}/repeated")
+    if repeated.count() * (digest_bytes + 32) <= BROADCAST_BYTES:  # then only the texts that repeat move
+        repeated = F.broadcast(repeated)
 
     # Byte check: texts of the rows whose digests repeat, grouped by the bytes themselves.
-    members = rows.join(repeated, "digest", "left_semi")
-    bytes_of = _normal_texts(docs)
-    members.join(bytes_of, "row").write.parquet(f"{base}/members")
+    members = _scan(docs, digest_bytes, row, True).join(repeated, "digest", "left_semi")
+    members.withColumn("at", F.monotonically_increasing_id()).write.parquet(f"{base}/members")
     members = spark.read.parquet(f"{base}/members")
-    best = F.max(F.struct("points", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("back"), (-F.col("row")).alias("at")))
+    best = F.max(F.struct("points", F.col("doc_id").isNotNull().alias("known"), (-F.col("doc_id")).alias("back"), (-F.col("at")).alias("at")))
     groups = members.groupBy("digest", "normal").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
-    mixed = groups.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("digest", F.lit(True).alias("mixed"))
-    groups = groups.join(mixed, "digest", "left").select(
-        "digest", F.when(F.col("mixed"), F.col("normal")).alias("only"), "best", "group_size")
-    settled = members.join(groups, (members["digest"] == groups["digest"]) & (F.col("only").isNull() | (F.col("only") == F.col("normal")))).select(
-        "doc_id", (-F.col("best.back")).alias("keep_id"), "group_size", (F.col("row") == -F.col("best.at")).alias("kept"), F.col("sha").alias("text_sha256"), "row")
+    groups.select("digest", F.sha2("normal", 512).alias("print"), "best", "group_size").write.parquet(f"{base}/groups")
+    groups = spark.read.parquet(f"{base}/groups")
+    settled = members.select("doc_id", "digest", F.sha2("normal", 512).alias("print"), "sha", "row", "at").join(groups, ["digest", "print"]).select(
+        "doc_id", (-F.col("best.back")).alias("keep_id"), "group_size", (F.col("at") == -F.col("best.at")).alias("kept"), F.col("sha").alias("text_sha256"), "row")
     single = rows.join(repeated, "digest", "left_anti").select(
         "doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), F.lit(True).alias("kept"), F.col("sha").alias("text_sha256"), "row")
     return settled.union(single)
-
-
-def _normal_texts(docs: DataFrame) -> DataFrame:
-    """(row, normal): the normalised bytes of every row, rows numbered as by ``_digests``."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for some in slices(batch):
-                data, off, _ = normalised(some.column(1))
-                raw, cut = data.tobytes(), off.tolist()
-                yield pa.RecordBatch.from_arrays([some.column(0), pa.array([raw[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["row", "normal"])
-
-    return docs.select(F.monotonically_increasing_id().alias("row"), "text").mapInArrow(run, "row long, normal binary")

@@ -386,20 +386,20 @@ def _result(run: int, chunk: pa.RecordBatch, got: dict[int, bytes]) -> list[pa.R
     return [pa.RecordBatch.from_arrays([chunk.column(0), pa.array(np.diff(off)), pa.array(removed), pa.array(total(start)), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])]
 
 
-def _answers(docs: DataFrame) -> DataFrame:
-    """Stored occurrences of every run and the shards' answers to it: (run, shard, blob)."""
-    spark, columns, base = docs.sparkSession, ["doc_id", "text"], scratch_path(docs.sparkSession, "suffix-runs")
-    bits = exchange.shard_bits(docs)
-    flags = exchange.answer(exchange.send(docs, columns, _ask(bits)), _repeated)
-    exchange.finish(docs, columns, flags, _runs(bits), exchange.MESSAGES).write.parquet(f"{base}/runs")
+def _answers(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Stored chunks; stored occurrences of every run and the shards' answers to it: (run, shard, blob)."""
+    spark, base = docs.sparkSession, scratch_path(docs.sparkSession, "suffix-runs")
+    bits, chunks = exchange.shard_bits(docs), exchange.packed(docs, ["doc_id", "text"])
+    flags = exchange.answer(exchange.send(chunks, _ask(bits)), _repeated)
+    exchange.finish(chunks, flags, _runs(bits), exchange.MESSAGES).write.parquet(f"{base}/runs")
     runs = spark.read.parquet(f"{base}/runs")
     exchange.answer(runs.where("shard >= 0"), _reply).write.parquet(f"{base}/answers")
-    return runs.where(f"shard = {OWN}").union(spark.read.parquet(f"{base}/answers"))
+    return chunks, runs.where(f"shard = {OWN}").union(spark.read.parquet(f"{base}/answers"))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) for every row of ``docs``."""
-    return exchange.finish(docs, ["doc_id", "text"], _answers(docs), _result, RESULT)
+    return exchange.finish(*_answers(docs), _result, RESULT)
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
@@ -410,4 +410,4 @@ def deduplicated(docs: DataFrame) -> DataFrame:
         kept, cut = data[stay].tobytes(), np.concatenate([[0], np.cumsum(stay)])[off].tolist()
         return [pa.RecordBatch.from_arrays([chunk.column(0), pa.array([kept[a:b] for a, b in zip(cut[:-1], cut[1:], strict=True)], pa.binary())], ["doc_id", "kept"])]
 
-    return exchange.finish(docs, ["doc_id", "text"], _answers(docs), work, "doc_id long, kept binary")
+    return exchange.finish(*_answers(docs), work, "doc_id long, kept binary")

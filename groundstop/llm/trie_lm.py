@@ -264,9 +264,9 @@ def score(docs: DataFrame, folds: int = 10, discount: float = DISCOUNT) -> DataF
     null doc_id is in training.
     """
     spark = docs.sparkSession
-    columns = ["doc_id", "text"]
     out = scratch_path(spark, "trie-answers")
-    messages = exchange.send(docs, columns, _messages(exchange.shard_bits(docs), folds))
+    bits, chunks = exchange.shard_bits(docs), exchange.packed(docs, ["doc_id", "text"])
+    messages = exchange.send(chunks, _messages(bits, folds))
     exchange.answer(messages, _reply(discount)).write.parquet(out)
     answers = spark.read.parquet(out)
 
@@ -298,4 +298,4 @@ def score(docs: DataFrame, folds: int = 10, discount: float = DISCOUNT) -> DataF
             pa.array(np.full(n, tokens, np.int64)), pa.array(add(np.log10(base))), pa.array(add(np.log10(p)))],
             ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])]
 
-    return exchange.finish(docs, columns, answers.where("run >= 0"), work, SCORES)
+    return exchange.finish(chunks, answers.where("run >= 0"), work, SCORES)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfor_ids, shard_tree, suffix_merge, toxicity, trie_lm, winnow
+from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfor_ids, phrase_automata, shard_tree, suffix_merge, toxicity, trie_lm, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -69,6 +69,11 @@ def op10_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_rtree.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of every document without the 20-word windows that start earlier."""
+    return phrase_automata.repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_winnow": op2_winnow,
@@ -80,6 +85,7 @@ QUERIES = {
     "op8_trie_lm": op8_trie_lm,
     "op9_pfor_ids": op9_pfor_ids,
     "op10_count_rtree": op10_count_rtree,
+    "op12_phrase_automata": op12_phrase_automata,
 }
 ORACLES: dict[str, str] = {
     "op2_winnow": r"""

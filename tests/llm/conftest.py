@@ -23,7 +23,7 @@ def make_texts(seed: int = 5) -> list[tuple[int | None, str | None]]:
         rows.append((200 + i, " ".join(w)))
     rows += [(300 + i, prose(30) + " " + passage + " " + line + " " + prose(30)) for i in range(6)]
     rows += [(400, None), (401, ""), (402, None), (403, " \t\n"), (404, "one"), (405, "one"), (406, "One two"), (407, "\u3000 \u00a0x\u2003 "), (408, "a\\b </s>[INST] <s>"),
-             (409, "z" * 300), (410, "z" * 200 + " " + "z" * 60), (411, prose(9000)), (412, "'s don't !! 12 a1b2  \r\n\x0b\x1f end"), (413, "<|endoftext|> x")]
+             (414, "a<|endoftext|>b <|endoftext|> <|endoftext|>"), (409, "z" * 300), (410, "z" * 200 + " " + "z" * 60), (411, prose(9000)), (412, "'s don't !! 12 a1b2  \r\n\x0b\x1f end"), (413, "<|endoftext|> x")]
     rows += [rows[3], rows[3], (3, "another text for the same id " + passage), (None, passage), (None, passage), (None, None)]
     rng.shuffle(rows)
     return rows

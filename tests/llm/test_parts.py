@@ -13,6 +13,8 @@ from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfo
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 TEXT = st.text(st.sampled_from(list("abzAé ß中\u00a0\u3000\u2028 \n\t\r\x1f.,;!?'\\[]<>/sINT0129")), max_size=60)
+#: Texts with special strings, contractions, signs and letters of two bytes.
+WORDY = st.lists(st.sampled_from([*"abzAéß÷×²中\u00a0\u3000\u0301 \n\t.,;!?'&<>/s0129", " ", "'s", "'ll", "<|endoftext|>", "<|endof", "text|>", "x <|endoftext|> y", "&&&", "12a"]), max_size=40).map("".join)
 
 
 def columns(texts):
@@ -22,21 +24,40 @@ def columns(texts):
 
 @pytest.fixture(scope="module")
 def plain():
-    t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(PATH)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.lists(TEXT, max_size=8))
-def test_pieces_encode_like_whole_texts(texts):
-    t = tokens.encoder(PATH)
-    ids, counts = t.encode(*columns(texts))
-    expected = [t.tokenizer.encode(x, add_special_tokens=False).ids for x in texts]
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.one_of(TEXT, WORDY), max_size=8))
+def test_pieces_encode_like_whole_texts(plain, texts):
+    ids, counts = tokens.encoder(PATH).encode(*columns(texts))
+    expected = [plain.encode(x, add_special_tokens=False).ids for x in texts]
     assert counts.tolist() == [len(e) for e in expected]
     assert ids.tolist() == [i for e in expected for i in e]
 
 
+@settings(max_examples=100, deadline=None)
+@given(st.lists(st.one_of(TEXT, WORDY), max_size=8))
+def test_special_strings_may_be_ordinary_text(texts):
+    split = Tokenizer.from_file(PATH)
+    split.encode_special_tokens = True
+    ids, counts = tokens.Encoder(PATH, split_specials=True).encode(*columns(texts))
+    expected = [split.encode(x, add_special_tokens=False).ids for x in texts]
+    assert counts.tolist() == [len(e) for e in expected] and ids.tolist() == [i for e in expected for i in e]
+
+
+def test_encoder_forgets_without_changing_ids(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_PIECES", 60)
+    monkeypatch.setattr(tokens, "span_hashes", lambda data, a, b: np.array([int(data[x]) % 7 for x in a.tolist()], np.uint64))  # most pieces collide
+    t = tokens.Encoder(PATH)
+    rng = random.Random(3)
+    for _ in range(60):
+        texts = [" ".join(rng.choice(["alpha", "beta", "gamma", "x%d" % rng.randrange(400), "é1", "don't"]) for _ in range(12)) for _ in range(3)]
+        ids, counts = t.encode(*columns(texts))
+        assert ids.tolist() == [i for x in texts for i in plain.encode(x, add_special_tokens=False).ids]
+        assert t.count <= 60 + 40
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 300), st.integers(0, 2**32 - 1)), max_size=900), st.sampled_from([0.5, 0.9, 1.0]))
 def test_pfor_round_trip(ids, percentile):

@@ -39,7 +39,6 @@ def same(df, con, sql):
 
 def ids_of(text, end):
     t = Tokenizer.from_file(BYTE_BPE)
-    t.encode_special_tokens = True
     return [*t.encode(text or "", add_special_tokens=False).ids, end]
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import chat_format, count_rtree, curve_pack, fuse_dedup, pfor_ids, phrase_automata, shard_tree, suffix_merge, toxicity, trie_lm, winnow
+from groundstop.llm import chat_format, count_rtree, curve_pack, fragment_align, fuse_dedup, pfor_ids, phrase_automata, shard_tree, suffix_merge, toxicity, trie_lm, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -74,6 +75,11 @@ def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrase_automata.repeats(_table(spark, sf_dir, "documents"))
 
 
+def op13_fragment_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of all documents in two vocabularies, grouped where both end at the same byte."""
+    return fragment_align.align(_table(spark, sf_dir, "documents"), BYTE_BPE, PIECE_BPE)
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_winnow": op2_winnow,
@@ -86,6 +92,7 @@ QUERIES = {
     "op9_pfor_ids": op9_pfor_ids,
     "op10_count_rtree": op10_count_rtree,
     "op12_phrase_automata": op12_phrase_automata,
+    "op13_fragment_align": op13_fragment_align,
 }
 ORACLES: dict[str, str] = {
     "op2_winnow": r"""

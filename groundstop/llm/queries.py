@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from groundstop.llm import chat_format, count_rtree, curve_pack, fragment_align, fuse_dedup, pfor_ids, phrase_automata, shard_tree, suffix_merge, toxicity, trie_lm, winnow
+from groundstop.llm import chat_format, count_rtree, curve_pack, fragment_align, fuse_dedup, pfor_ids, phrase_automata, shard_tree, suffix_merge, term_treap, toxicity, trie_lm, winnow
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
@@ -70,6 +70,11 @@ def op10_count_rtree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_rtree.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op11_term_treap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of all for every benchmark item."""
+    return term_treap.rank(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op12_phrase_automata(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of every document without the 20-word windows that start earlier."""
     return phrase_automata.repeats(_table(spark, sf_dir, "documents"))
@@ -91,6 +96,7 @@ QUERIES = {
     "op8_trie_lm": op8_trie_lm,
     "op9_pfor_ids": op9_pfor_ids,
     "op10_count_rtree": op10_count_rtree,
+    "op11_term_treap": op11_term_treap,
     "op12_phrase_automata": op12_phrase_automata,
     "op13_fragment_align": op13_fragment_align,
 }
@@ -124,4 +130,17 @@ ORACLES: dict[str, str] = {
         WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS k FROM documents),
         g AS (SELECT k, count(*) AS group_size, arg_min(doc_id, (-length(t), doc_id)) AS keep_id FROM d GROUP BY k)
         SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(k) AS text_sha256 FROM d JOIN g USING (k)""",
+    "op11_term_treap": r"""
+        WITH t AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+        d AS (SELECT r, doc_id, ts, len(ts)::BIGINT AS n FROM t WHERE len(ts) > 0),
+        c AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS big_l FROM d),
+        q AS (SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+              FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+        p AS (SELECT r, term, count(*)::BIGINT AS tf FROM (SELECT r, unnest(ts) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY r, term),
+        w AS (SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w FROM (SELECT term, count(*)::BIGINT AS df FROM p GROUP BY term), c),
+        s AS (SELECT i, item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * big_n) // big_l)))))::BIGINT AS score
+              FROM q JOIN p USING (term) JOIN w USING (term) JOIN d USING (r), c GROUP BY i, item_id, r)
+        SELECT item_id, rank, doc_id, score FROM (
+            SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id ASC NULLS LAST)::INTEGER AS rank FROM s JOIN d USING (r) WHERE score > 0)
+        WHERE rank <= 50""",
 }

@@ -48,6 +48,10 @@ from groundstop.session import scratch_path
 
 #: Bytes of text that one range of a long text holds, about.
 RANGE = 1 << 20
+#: Bytes of text that one chunk of short texts holds, about.
+CHUNK_BYTES = 2 << 20
+#: Pieces that a worker remembers of each vocabulary.
+PIECES = 400_000
 #: Fragments that one step of the tree joins.
 FAN = 16
 #: Bytes of text for which one shard of the pair counts is planned.
@@ -104,6 +108,7 @@ class ByteSpelled(Spelled):
 
     def __init__(self, path: str):
         super().__init__(path, split_specials=True)
+        self.limit = PIECES
         table = _byte_of_char()
         names = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=False).items()}
         self.spelling = Spelling.of([bytes(table[c] for c in names.get(i, "") if c in table) for i in range(max(names) + 1)])
@@ -120,7 +125,7 @@ class PieceSpelled(Spelled):
         if any(" " in p.replace("▁", " ").lstrip(" ") for p in pieces):
             raise ValueError("a piece of this vocabulary goes on after a space: texts cannot be cut before spaces")
         raw = [bytes([int(p[1:-1], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
-        self.spelling = Spelling.of(raw)
+        self.spelling, self.limit = Spelling.of(raw), PIECES
         self._forget()
 
     def cuts(self, data: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -529,7 +534,7 @@ def align(docs: DataFrame, byte_vocabulary: str, piece_vocabulary: str, range_by
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, min(4096, total // COUNT_BYTES))
     is_long = F.coalesce(F.octet_length("text"), F.lit(0)) > range_bytes
-    chunks = exchange.packed(docs.where(~is_long), ["doc_id", "text"])
+    chunks = exchange.packed(docs.where(~is_long), ["doc_id", "text"], CHUNK_BYTES)
     named, roots, groups = _long_texts(docs.where(is_long), a, b, range_bytes)
     ids = max(len(v.spelling.size) for v in _vocabularies(a, b))
     messages = chunks.select("run", "blob").mapInArrow(_short(a, b, shards), exchange.MESSAGES).union(

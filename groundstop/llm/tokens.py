@@ -102,6 +102,7 @@ class Encoder:
         self.specials = [] if split_specials else [np.frombuffer(t.content.encode(), np.uint8) for t in self.tokenizer.get_added_tokens_decoder().values()]
         feed = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.feed = feed[0] if len(feed) == 1 else None
+        self.limit = MAX_PIECES
         self._forget()
 
     def _forget(self) -> None:
@@ -114,7 +115,7 @@ class Encoder:
 
     def _age(self) -> None:
         """Let go of the pieces not met again, and of the oldest if too many stay."""
-        stay = np.sort(self.slot[self.again[self.slot]])[-(MAX_PIECES // 2):]
+        stay = np.sort(self.slot[self.again[self.slot]])[-(self.limit // 2):]
         some = [a[stay] for a in (self.first, self.size, self.begin, self.bytes, self.fine)]
         ids, raw = _gather(self.ids, some[0], some[1]), _gather(self.raw, some[2], some[3])
         self._forget()
@@ -200,7 +201,7 @@ class Encoder:
         coded = pieces.dictionary_encode()
         raw, edge = text_buffer(coded.dictionary)
         size = np.diff(edge)
-        if self.count + len(size) > MAX_PIECES:
+        if self.count + len(size) > self.limit:
             self._age()
         h = span_hashes(raw, edge[:-1], edge[1:])
         place = np.searchsorted(self.hash, h)

@@ -1,6 +1,6 @@
 """Command line for the pipeline stages (run under ``spark-submit`` on a cluster).
 
-    python -m groundstop ingest  --legacy PATH --modern PATH --table DB.T [--by-year]
+    python -m groundstop ingest  --legacy PATH --modern PATH --table DB.T [--by-year] [--quarantine DB.Q]
     python -m groundstop analyse --table DB.T --out PATH
     python -m groundstop sample  --table DB.T --out PATH [--fraction 0.03]
     python -m groundstop train   --sample PATH --model PATH [--max-iter 100 --max-depth 6]
@@ -8,6 +8,8 @@
     python -m groundstop simulate  --table DB.T --out DB.S
     python -m groundstop score   --model PATH --requests PATH --out PATH
     python -m groundstop monitor --scored DB.T --labels DB.T --out DB.M --deployment NAME [--block 100]
+    python -m groundstop score-and-monitor --simulation DB.S --model PATH --log DB.L --labels DB.T --out DB.M --deployment NAME [--n 10000] [--batch NAME]
+    python -m groundstop increment --log DB.L --labels DB.T --state DB.X [--block 100]
 
 The session comes from ``SparkSession.builder.getOrCreate()``: master,
 resources and ``spark.checkpoint.dir`` are the cluster's.  Results are
@@ -20,7 +22,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
-from groundstop import jobs
+from groundstop import incremental, jobs
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -32,6 +34,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--modern", required=True)
     p.add_argument("--table", required=True)
     p.add_argument("--by-year", action="store_true", help="partition the table by flight year")
+    p.add_argument("--quarantine", help="table for lines that do not fit the layout (without it they fail the job)")
 
     p = sub.add_parser("analyse", help="rates, top-k lists, unused columns -> parquet folders")
     p.add_argument("--table", required=True)
@@ -70,6 +73,23 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--out", required=True)
     p.add_argument("--deployment", required=True)
     p.add_argument("--block", type=int, default=100)
+
+    p = sub.add_parser("score-and-monitor", help="sample, score, log, attach labels, publish the metrics table")
+    p.add_argument("--simulation", required=True)
+    p.add_argument("--model", required=True)
+    p.add_argument("--log", required=True, help="prediction log (in batches)")
+    p.add_argument("--labels", required=True)
+    p.add_argument("--out", required=True)
+    p.add_argument("--deployment", required=True)
+    p.add_argument("--n", type=int, default=10_000)
+    p.add_argument("--buckets", type=int, default=16)
+    p.add_argument("--batch", help="name of the batch; one that is in the log is not scored or logged again")
+
+    p = sub.add_parser("increment", help="blocks of accuracy of what arrived since the last run")
+    p.add_argument("--log", required=True)
+    p.add_argument("--labels", required=True, help="label table (in batches)")
+    p.add_argument("--state", required=True)
+    p.add_argument("--block", type=int, default=100)
     return ap
 
 
@@ -83,7 +103,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = _parser().parse_args(argv)
     spark = spark or SparkSession.builder.appName(f"groundstop-{a.stage}").getOrCreate()
     if a.stage == "ingest":
-        written = jobs.ingest_job(spark, a.legacy, a.modern, a.table, partition_by_year=a.by_year)
+        written = jobs.ingest_job(spark, a.legacy, a.modern, a.table, partition_by_year=a.by_year, quarantine=a.quarantine)
         print(f"{a.table}: {'written' if written else 'exists, left unchanged'}")
     elif a.stage == "analyse":
         for name, df in jobs.analysis_job(spark.table(a.table), a.top).items():
@@ -101,6 +121,13 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         jobs.simulation_job(spark.table(a.table), a.out)
     elif a.stage == "monitor":
         jobs.monitor_job(spark.table(a.scored), spark.table(a.labels), a.out, a.deployment, a.block)
+    elif a.stage == "score-and-monitor":
+        jobs.score_and_monitor_job(
+            spark, spark.table(a.simulation), a.model, a.log, spark.table(a.labels).select("uuid", "final_label"), a.out, a.deployment,
+            n=a.n, buckets=a.buckets, batch=a.batch)
+    elif a.stage == "increment":
+        done = incremental.monitor_increment(spark, a.log, a.labels, a.state, a.block)
+        print(f"{a.state}: run {done['run']}, {done['blocks']} blocks")
     return 0
 
 

@@ -53,9 +53,9 @@ _SPLIT_TS = "1999-01-01 00:00:00"
 def flights_full(t, shipped: str | None = None) -> DataFrame:
     """Modern-layout flights plus ``row_key`` and three helper columns.
 
-    Orders are joined to customers first, so that the fact-sized line table
-    is shuffled at most once, on the order key; Spark picks each join's
-    strategy.
+    Lines are joined to orders, then customers, suppliers and parts, so the
+    fact-sized line table is the probe side throughout; Spark picks each
+    join's strategy.
     ``shipped`` = ``"before"`` / ``"from"`` keeps lines shipped before /
     from 1999-01-01 with a range predicate on the raw column, which the
     parquet scan can use to skip row groups.
@@ -64,8 +64,7 @@ def flights_full(t, shipped: str | None = None) -> DataFrame:
     if shipped is not None:
         bound = F.lit(_SPLIT_TS).cast("timestamp_ntz")
         li = li.where(F.col("l_shipdate") < bound if shipped == "before" else F.col("l_shipdate") >= bound)
-    order_nation = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_nationkey")
-    with_nation = li.join(order_nation, li.l_orderkey == order_nation.o_orderkey)
+    with_nation = li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
     joined = with_nation.join(s, li.l_suppkey == s.s_suppkey).join(p, li.l_partkey == p.p_partkey)
     cancelled = F.when(
         (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09), F.lit(1.0)

@@ -11,30 +11,40 @@ fully qualified (``db.table``); paths are shared storage.
 * ``score_job``       model + request texts -> prediction, probability
 * ``monitor_job``     scored log + late labels -> blocks of accuracy + flat metrics table
 * ``log_predictions`` / ``store_labels`` / ``labelled_rows``: the prediction log and the
-  label table kept bucketed on the prediction id, so their join needs no shuffle
+  label table kept in batches bucketed on the prediction id, so their join needs no shuffle
+* ``score_and_monitor_job``: sample, score, log, attach labels, publish (the batch is logged once)
+
+Monitoring of only what is new since the last run is ``groundstop.incremental``.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from groundstop.operators import features, ingest, model, monitor, profile, rates, report, sampling, scoring, simulation
 from groundstop.schemas import ROW_KEY
 from groundstop.session import scratch_path, scratch_scope
 from groundstop.sources import (
+    append_batch,
     append_table,
+    broken_rows,
     create_if_absent,
     ensure_database,
+    new_batches,
+    publish_table,
     read_legacy_csv,
     read_modern_csv,
     read_training_csv,
-    save_bucketed,
-    save_table,
+    save_slices,
+    whole_rows,
     write_csv,
 )
-from groundstop.sources.tables import replace_table
+from groundstop.sources.batches import BATCH_NO, known_batch, now_ms
+from groundstop.sources.csv import RESCUED
 
 
 def ingest_job(
@@ -45,25 +55,40 @@ def ingest_job(
     *,
     partition_by_year: bool = False,
     with_key: bool = False,
+    quarantine: str | None = None,
 ) -> bool:
     """Unify both raw layouts into ``table`` unless it already exists; True if written.
 
     No shuffle: scan -> project -> union -> write.  ``partition_by_year``
     lays the table out by flight year, so year filters prune whole folders.
     ``with_key``: the raw files carry a leading ``row_key`` (test fixtures).
+
+    A file whose header is not the layout's fails the job.  So does a line
+    that does not fit, unless ``quarantine`` names a table for such lines:
+    then the others are loaded and the broken ones appended there, with
+    layout, file, text and what could be read.  They are counted while the
+    flights are written; the files are read again only if there are any.
     """
-    flights = ingest.unify(
-        read_legacy_csv(spark, legacy_path, with_key=with_key),
-        read_modern_csv(spark, modern_path, with_key=with_key),
-    )
+    mode = "rescue" if quarantine else "fail"
+    legacy = read_legacy_csv(spark, legacy_path, with_key=with_key, broken=mode)
+    modern = read_modern_csv(spark, modern_path, with_key=with_key, broken=mode)
+    watched = {"legacy": (legacy, Observation()), "modern": (modern, Observation())}
+    if quarantine:
+        legacy, modern = (whole_rows(df.observe(seen, F.count(RESCUED).alias("broken"))) for df, seen in watched.values())
+    flights = ingest.unify(legacy, modern)
     if partition_by_year:
         flights = flights.withColumn("year", F.year("fl_date"))
         ensure_database(spark, table)
         if spark.catalog.tableExists(table):
             return False
         flights.write.format("parquet").partitionBy("year").mode("ignore").saveAsTable(table)
-        return True
-    return create_if_absent(flights, table)
+    elif not create_if_absent(flights, table):
+        return False
+    if quarantine:
+        for layout, (df, seen) in watched.items():
+            if seen.get["broken"]:
+                append_table(broken_rows(df, layout), quarantine, "parquet")
+    return True
 
 
 def analysis_job(flights: DataFrame, k: int = 10) -> dict[str, DataFrame]:
@@ -149,64 +174,71 @@ def monitor_job(
 
     The label join is computed once, into a narrow stored table that both
     the prediction records and the blocks read; scratch is removed after
-    the table is published.
+    the table is published.  Readers of ``metrics_table`` see the old records
+    until the new ones are complete, then those.
     """
     spark = scored_requests.sparkSession
     with scratch_scope(spark):
         path = scratch_path(spark, "labelled")
         monitor.with_late_labels(scored_requests, labels).select(
             "uuid", "timestamp_ms", "feature", "p_cancel", "prediction", "final_label").write.parquet(path)
-        replace_table(monitor.metrics_frame(spark.read.parquet(path), deployment, block_size), metrics_table)
+        publish_table(monitor.metrics_frame(spark.read.parquet(path), deployment, block_size), metrics_table)
     return spark.table(metrics_table)
 
 
 def prototype_job(source: DataFrame, table: str, airports: list[str], year_slices: list[tuple[int, int | None]]) -> str:
-    """Load the prototype table (ORC): the first airport and year range replaces, the others append."""
-    first = True
-    for airport in airports:
-        for low, high in year_slices:
-            part = ingest.prototype_slice(source, airport, low, high)
-            if first:
-                save_table(part, table, "orc")
-                first = False
-            else:
-                append_table(part, table, "orc")
-    return table
+    """Load slices (airport x year range) of the prototype table (ORC).
+
+    One scan of the source writes all slices; each is a partition that is
+    replaced as a whole, so a load can be repeated and leaves the other
+    slices as they are.  A filter on ``origin`` prunes partitions, one on the
+    date skips sorted stripes, one on carrier or destination asks their bloom
+    filters.
+    """
+    rows = ingest.prototype_slices(source, airports, year_slices)
+    return save_slices(rows, table, ["origin", "year_slice"], ["fl_date"], bloom=["op_carrier", "dest"])
 
 
 def simulation_job(flights: DataFrame, table: str) -> str:
     """Publish the all-text simulation table."""
-    return replace_table(simulation.simulation_frame(flights), table)
+    return publish_table(simulation.simulation_frame(flights), table)
 
 
 def score_and_monitor_job(
     spark: SparkSession, simulation_rows: DataFrame, model_path: str, log_table: str, labels: DataFrame, metrics_table: str,
-    deployment: str, *, n: int = 10_000, buckets: int = 16, started_ms: int = 0, key: str = ROW_KEY,
+    deployment: str, *, n: int = 10_000, buckets: int = 16, started_ms: int | None = None, batch: str | None = None, key: str = ROW_KEY,
 ) -> DataFrame:
     """Sample, clean, score, log, attach late labels and publish the metrics table.
 
-    ``labels`` holds ``(uuid, final_label)``.  A logged prediction's time is
-    ``started_ms`` plus its place in the order of the keys; requests that
-    cannot be scored are not logged.
+    ``labels`` holds ``(uuid, final_label)``.  The batch's time is taken once,
+    when the job starts (``started_ms`` sets another), and kept with the
+    batch; a logged prediction's time is that plus its place in the order of
+    the keys.  ``batch`` names the batch: a job that is tried again under the
+    same name finds it in the log and does not score or log it twice.
+    Requests that cannot be scored are not logged.
     """
-    with scratch_scope(spark):
-        sample = simulation.simulation_sample(simulation_rows, n, key)
-        requests = scoring.request_frame(sample).select(F.col(key).alias("uuid"), "feature")
-        scored = score_job(spark, model_path, requests.withColumn("text", F.col("feature"))).withColumnRenamed("text", "feature")
-        timed = monitor.with_position(scored.where("valid").select("uuid", "feature", "prediction", "p_cancel", "proba"), ["uuid"])
-        timed = timed.select("uuid", (F.lit(started_ms) + F.col("position")).cast("long").alias("timestamp_ms"), "feature", "prediction", "p_cancel", "proba")
-        log_predictions(timed, log_table, buckets)
-    return monitor_job(spark.table(log_table), labels, metrics_table, deployment)
+    started_ms = now_ms() if started_ms is None else started_ms
+    batch = uuid.uuid4().hex if batch is None else batch
+    if known_batch(spark, log_table, batch) is None:
+        with scratch_scope(spark):
+            sample = simulation.simulation_sample(simulation_rows, n, key)
+            requests = scoring.request_frame(sample).select(F.col(key).alias("uuid"), "feature")
+            scored = score_job(spark, model_path, requests.withColumn("text", F.col("feature"))).withColumnRenamed("text", "feature")
+            timed = monitor.with_position(scored.where("valid").select("uuid", "feature", "prediction", "p_cancel", "proba"), ["uuid"])
+            timed = timed.select("uuid", (F.lit(started_ms) + F.col("position")).cast("long").alias("timestamp_ms"), "feature", "prediction", "p_cancel", "proba")
+            append_batch(timed, log_table, batch, "uuid", buckets, started_ms)
+    logged, _ = new_batches(spark, log_table)
+    return monitor_job(logged.drop(BATCH_NO), labels, metrics_table, deployment)
 
 
-def log_predictions(scored_requests: DataFrame, table: str, buckets: int, key: str = "uuid") -> str:
-    """Append scored requests to the prediction log, bucketed on the prediction id."""
-    return save_bucketed(scored_requests, table, key, buckets)
+def log_predictions(scored_requests: DataFrame, table: str, buckets: int, key: str = "uuid", batch: str | None = None, started_ms: int | None = None) -> bool:
+    """Append a batch of scored requests to the prediction log, bucketed on the prediction id; False if the batch is there already."""
+    return append_batch(scored_requests, table, batch or uuid.uuid4().hex, key, buckets, started_ms)
 
 
-def store_labels(labels: DataFrame, table: str, buckets: int, key: str = "uuid") -> str:
-    """Append arrived ground-truth labels, bucketed like the prediction log."""
-    return save_bucketed(labels, table, key, buckets)
+def store_labels(labels: DataFrame, table: str, buckets: int, key: str = "uuid", batch: str | None = None) -> bool:
+    """Append a batch of arrived ground-truth labels, bucketed like the prediction log; False if the batch is there already."""
+    return append_batch(labels, table, batch or uuid.uuid4().hex, key, buckets)
 
 
 def labelled_rows(spark: SparkSession, log_table: str, labels_table: str, key: str = "uuid") -> DataFrame:
@@ -215,4 +247,5 @@ def labelled_rows(spark: SparkSession, log_table: str, labels_table: str, key: s
     Both tables are bucketed on ``key`` with the same count, so this left
     join reads matching buckets side by side: no shuffle of either table.
     """
-    return spark.table(log_table).join(spark.table(labels_table), key, "left")
+    logged, labels = (new_batches(spark, t)[0].drop(BATCH_NO) for t in (log_table, labels_table))
+    return logged.join(labels, key, "left")

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from groundstop.functions import content_key, hour_of_departure, iso_week
+from groundstop.operators.monitor import with_position
 from groundstop.operators.sampling import undersample
 from groundstop.schemas import CATEGORICAL_FEATURES, FLIGHT_KEY, LABEL, NUMERIC_FEATURES, ROW_KEY, TRAINING_COLUMNS
 
@@ -47,23 +48,29 @@ def category_pairs(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES,
     return df.select(*keep, pairs.alias("_p")).select(*keep, "_p.column_name", "_p.category")
 
 
-def _ranked(distinct: DataFrame) -> Window:
-    return Window.partitionBy("column_name").orderBy("category")
-
-
 def category_index(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
     """``(column_name, category, idx)``: 0-based alphabetical index per column.
 
     The same order ``StringIndexer(stringOrderType="alphabetAsc")`` uses.
     One scan: the categorical columns are exploded into pairs and made
-    distinct with partial aggregation in every task, so the ranking window
-    only sees one row per category; its size is the vocabulary, which is
-    also the width of the one-hot vector.
+    distinct with partial aggregation in every task.  The categories are then
+    range-sorted and numbered from the partitions' offsets (``with_position``),
+    so a dictionary of any size is ranked by many tasks and never lies on the
+    driver; what is broadcast is one row per column.
     """
     distinct = category_pairs(df, columns).where(F.col("category").isNotNull()).distinct()
-    return distinct.select(
-        "column_name", "category", (F.row_number().over(_ranked(distinct)) - 1).cast("int").alias("idx")
-    )
+    placed = with_position(distinct, ["column_name", "category"])
+    first = placed.groupBy("column_name").agg(F.min("position").alias("_first"))
+    return placed.join(F.broadcast(first), "column_name").select(
+        "column_name", "category", (F.col("position") - F.col("_first")).cast("int").alias("idx"))
+
+
+def with_index(df: DataFrame, dictionary: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES, suffix: str = "_idx") -> DataFrame:
+    """``df`` with the index of each categorical column, looked up by join (null for a category that is not in the dictionary)."""
+    for c in columns:
+        own = dictionary.where(F.col("column_name") == c).select(F.col("category").alias(c), F.col("idx").alias(f"{c}{suffix}"))
+        df = df.join(own, c, "left")
+    return df
 
 
 def indicator_scale(df: DataFrame, is_train: Column, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
@@ -74,33 +81,25 @@ def indicator_scale(df: DataFrame, is_train: Column, columns: Sequence[str] = CA
     fitted); ``is_train`` marks the rows the scaler is fitted on.  For an
     indicator that is 1 on ``k`` of ``n`` training rows the variance is
     ``k (n - k) / n^2``; ``k`` comes from one grouped pass over exploded
-    (column, category) pairs, so no wide vector is built, and the numeric
-    features' sums ride on the pairs of the first column, so the input is
-    read once.
+    (column, category) pairs, so no wide vector is built.  The numeric
+    features are further pairs without a category; their deviation is
+    ``stddev_pop``, whose central moments merge across tasks without taking
+    large sums apart.  The input is read once.
     ``df`` must have no nulls in ``columns`` (as after ``features_label``).
     Output ``(feature, std)`` with ``feature`` = ``column=category`` or the
     numeric column name.
     """
-    pairs = category_pairs(df.withColumn("_train", is_train), columns, keep=["_train", *NUMERIC_FEATURES])
-    own = F.col("_train") & (F.col("column_name") == columns[0])
-    moments = [
-        F.sum(F.when(own, value)).alias(f"{name}_{c}")
-        for c in NUMERIC_FEATURES
-        for name, value in (("sum", F.col(c).cast("double")), ("squares", F.col(c).cast("double") * F.col(c)))
-    ]
-    per_cat = pairs.groupBy("column_name", "category").agg(
-        F.count(F.when(F.col("_train"), 1)).cast("double").alias("k"), *moments
-    )
+    none, no_value = F.lit(None).cast("string"), F.lit(None).cast("double")
+    pairs = F.explode(F.array(
+        *[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("category"), no_value.alias("value")) for c in columns],
+        *[F.struct(F.lit(c).alias("column_name"), none.alias("category"), F.col(c).cast("double").alias("value")) for c in NUMERIC_FEATURES]))
+    flat = df.select(is_train.alias("_train"), pairs.alias("_p")).select("_train", "_p.*")
+    grouped = flat.groupBy("column_name", "category").agg(
+        F.count(F.when(F.col("_train"), 1)).cast("double").alias("k"),
+        F.stddev_pop(F.when(F.col("_train"), F.col("value"))).alias("spread"))
     # Training rows per column: each has exactly one category per column.
     n = F.sum("k").over(Window.partitionBy("column_name"))
-    indicators = per_cat.select(
+    numeric = F.col("column_name").isin(list(NUMERIC_FEATURES))
+    return grouped.select(
         F.concat_ws("=", "column_name", "category").alias("feature"),
-        F.sqrt(F.col("k") * (n - F.col("k")) / (n * n)).alias("std"),
-    )
-    first = per_cat.where(F.col("column_name") == columns[0])
-    mean = lambda c: F.sum(c) / F.sum("k")
-    numeric = first.agg(*[
-        F.sqrt(F.greatest(mean(f"squares_{c}") - mean(f"sum_{c}") * mean(f"sum_{c}"), F.lit(0.0))).alias(c)
-        for c in NUMERIC_FEATURES
-    ])
-    return indicators.unionByName(numeric.unpivot([], list(NUMERIC_FEATURES), "feature", "std"))
+        F.when(numeric, F.col("spread")).otherwise(F.sqrt(F.col("k") * (n - F.col("k")) / (n * n))).alias("std"))

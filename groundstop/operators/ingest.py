@@ -17,7 +17,7 @@ def _key(df: DataFrame) -> list[str]:
     return [ROW_KEY] if ROW_KEY in df.columns else []
 
 
-def normalize_legacy(raw: DataFrame) -> DataFrame:
+def normalize_legacy(raw: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Legacy layout -> unified columns.
 
     The date comes from three double parts via ``make_date``; times and
@@ -27,7 +27,7 @@ def normalize_legacy(raw: DataFrame) -> DataFrame:
     df = raw.withColumn("fl_date", date_from_parts("year", "month", "dayofmonth"))
     df = df.withColumnsRenamed({k: v for k, v in LEGACY_RENAMES.items() if k != v})
     df = df.withColumns({c: number_text(c) for c in TEXT_NUMBER_COLUMNS})
-    return df.select(*_key(df), *UNIFIED_COLUMNS)
+    return df.select(*_key(df), *UNIFIED_COLUMNS, *(keep or []))
 
 
 def normalize_modern(raw: DataFrame) -> DataFrame:
@@ -57,6 +57,27 @@ def prototype_slice(
     return normalize_legacy(df).withColumn("diverted", F.col("diverted").cast("double"))
 
 
+def slice_name(year_from: int, year_to: int | None) -> str:
+    return f"{year_from}-{'' if year_to is None else year_to}"
+
+
+def prototype_slices(legacy_raw: DataFrame, airports: list[str], year_slices: list[tuple[int, int | None]]) -> DataFrame:
+    """The prototype rows of all airports and year slices, from one scan, with ``year_slice`` naming the slice.
+
+    A row that lies in several year slices comes back once for each.  The
+    filters are on raw columns, so they reach the scan.
+    """
+    year = F.col("year")
+    within = [(year >= low) if high is None else (year >= low) & (year < high) for low, high in year_slices]
+    any_slice = within[0]
+    for one in within[1:]:
+        any_slice = any_slice | one
+    names = F.array_compact(F.array(*[F.when(w, F.lit(slice_name(*s))) for w, s in zip(within, year_slices, strict=True)]))
+    rows = legacy_raw.where(F.col("origin").isin(list(airports)) & any_slice)
+    rows = rows.withColumn("year_slice", F.explode(names))
+    return normalize_legacy(rows, keep=["year_slice"]).withColumn("diverted", F.col("diverted").cast("double"))
+
+
 def _prototype_select() -> list[str]:
     """SQL select items for the unified columns, derived from the declared legacy mapping."""
     legacy_name = {unified: legacy for legacy, unified in LEGACY_RENAMES.items()}

@@ -32,34 +32,41 @@ def parse_requests(df: DataFrame, feature: str = "feature", keep: list[str] | No
     tells which can be scored.
     """
     keep = [ROW_KEY] if keep is None and ROW_KEY in df.columns else (keep or [])
-    parts = F.split(F.col(feature), ",", -1)
-    whole = F.size(parts) == len(REQUEST_FIELDS)
+    # Exploding a one-element array computes the parts once per row; a projected column would be computed at every use.
+    split = df.select(*keep, F.explode(F.array(F.split(F.col(feature), ",", -1))).alias("_parts"))
+    whole = F.size("_parts") == len(REQUEST_FIELDS)
     typed = []
     for i, name in enumerate(REQUEST_FIELDS):
-        part = F.when(whole, F.nullif(F.trim(F.get(parts, F.lit(i))), F.lit("")))
+        part = F.when(whole, F.nullif(F.trim(F.get("_parts", F.lit(i))), F.lit("")))
         typed.append((part.try_cast("int") if name in NUMERIC_FEATURES else part).alias(name))
-    return df.select(*keep, *typed)
+    return split.select(*keep, *typed)
 
 
 def parse_records(df: DataFrame, record_json: str = "record_json", keep: list[str] | None = None) -> DataFrame:
     """Rows of batch records ``{"data": {"rows": [[carrier, origin, dest, week, hour], ...]}}``.
 
     One output row per record row, with ``row_no`` its place in the record.
+    A record without rows, a null one and one that is not such JSON come back
+    as one row with a null ``row_no``, so that no record is lost.
     """
     rows = F.from_json(F.col(record_json), "data struct<rows array<array<string>>>")["data"]["rows"]
-    flat = df.select(*(keep or []), F.posexplode(rows).alias("row_no", "_row"))
+    flat = df.select(*(keep or []), F.posexplode_outer(rows).alias("row_no", "_row"))
     text = F.concat_ws(",", F.transform("_row", lambda x: F.coalesce(x, F.lit(""))))
     return parse_requests(flat.withColumn("_feature", text), "_feature", keep=[*(keep or []), "row_no"])
 
 
 def reply_records(scored: DataFrame, key: str, order: str = "row_no") -> DataFrame:
-    """Batch replies ``{"colnames": [...], "coltypes": [...], "rows": [[prediction, proba], ...]}``, one per record."""
-    row = F.struct(F.col(order).alias("at"), F.array(F.col("prediction").cast("string"), F.col("proba")).alias("row"))
-    rows = F.transform(F.sort_array(F.collect_list(row)), lambda r: r["row"])
-    reply = F.struct(
-        F.array(F.lit("prediction"), F.lit("proba")).alias("colnames"),
-        F.array(F.lit("INT"), F.lit("STRING")).alias("coltypes"), rows.alias("rows"))
-    return scored.groupBy(key).agg(F.to_json(reply).alias("reply_json"))
+    """One reply per record: ``{"version": "1.0", "data": {"colnames": ..., "coltypes": ..., "rows": [[prediction, "proba"], ...]}}``.
+
+    Rows are in the record's order; a row that could not be scored is
+    ``[null,null]``, a record without rows has none.
+    """
+    proba = F.when(F.col("proba").isNotNull(), F.concat(F.lit('"'), F.col("proba"), F.lit('"')))
+    cells = F.concat(F.lit("["), F.coalesce(F.col("prediction").cast("string"), F.lit("null")), F.lit(","), F.coalesce(proba, F.lit("null")), F.lit("]"))
+    row = F.when(F.col(order).isNotNull(), F.struct(F.col(order).alias("at"), cells.alias("cells")))
+    rows = F.array_join(F.transform(F.sort_array(F.collect_list(row)), lambda r: r["cells"]), ",")
+    head = '{"version":"1.0","data":{"colnames":["prediction","proba"],"coltypes":["INT","STRING"],"rows":['
+    return scored.groupBy(key).agg(F.concat(F.lit(head), rows, F.lit("]}}")).alias("reply_json"))
 
 
 # ISO weeks are 1-53 and departure hours 0-24.

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from groundstop import fixtures as fx, jobs
+from groundstop import fixtures as fx, incremental, jobs
 from groundstop.functions import hash_sample
 from groundstop.operators import features, monitor, nested, registry, report, scoring, simulation
 from groundstop.plans.features_model import _TS_SQL
@@ -13,7 +13,8 @@ from groundstop.plans.ingest_io import _SIM_SQL
 from groundstop.plans.registry import query
 from groundstop.plans.views import with_views
 from groundstop.session import scratch_path, scratch_table
-from groundstop.sources import load_tables, read_registry_json, replace_table, save_bucketed, save_table
+from groundstop.sources import load_tables, new_batches, publish_table, read_registry_json
+from groundstop.sources.batches import BATCH_NO
 
 DEPLOYMENT = "deployment-crn-1"
 
@@ -142,6 +143,25 @@ def accuracy_by_block(spark, sf_dir):
     return monitor.accuracy_by_block(_labelled(spark, sf_dir)).withColumn("accuracy", F.round("accuracy", 6))
 
 
+@query("accuracy_by_block_incremental", with_views(["scored", "late_labels"], "SELECT * FROM blocks", extra=_MON_CTES))
+def accuracy_by_block_incremental(spark, sf_dir):
+    """The same blocks from two runs, each over the batch that arrived since the last; a third finds nothing new.
+
+    The labels of the second half's predictions come with the first batch,
+    before the predictions that they belong to.
+    """
+    t = _t(spark, sf_dir)
+    log, truth, state = (scratch_table(spark, n) for n in ("inc_log", "inc_labels", "inc_state"))
+    scored = fx.scored(t).select("uuid", "timestamp_ms", "prediction")
+    middle = F.lit(scored.agg(F.percentile_approx("timestamp_ms", 0.5)).first()[0])
+    jobs.store_labels(fx.late_labels(t), truth, LOG_BUCKETS)
+    for half in (F.col("timestamp_ms") <= middle, F.col("timestamp_ms") > middle):
+        jobs.log_predictions(scored.where(half), log, LOG_BUCKETS)
+        incremental.monitor_increment(spark, log, truth, state)
+    incremental.monitor_increment(spark, log, truth, state)
+    return incremental.closed_blocks(spark, state).withColumn("accuracy", F.round("accuracy", 6))
+
+
 @query(
     "progress_fraction",
     with_views(["scored"],
@@ -186,11 +206,11 @@ def metrics_tail(spark, sf_dir):
     with_views(["flights"], "SELECT * FROM ts", extra=[("ts", _TS_SQL)]),
 )
 def sink_replace_table(spark, sf_dir):
-    """A second write replaces content and schema of the first in one step."""
+    """A second publication replaces content and schema of the first in one statement; readers see one or the other."""
     f = fx.flights(_t(spark, sf_dir))
     table = scratch_table(spark, "replaced")
-    save_table(f, table)
-    replace_table(features.training_sample(f), table)
+    publish_table(f, table)
+    publish_table(features.training_sample(spark.table(table)), table)
     return spark.table(table)
 
 
@@ -239,6 +259,44 @@ def score_request_json(spark, sf_dir):
     return req.withColumn("feature_back", scoring.from_request_json("request_json"))
 
 
+# Orders by the last digits of their number: whose record is null, unreadable, empty, without data.
+_RECORD_KINDS = {17: None, 18: '{"data": {"rows": [[', 19: '{"data":{"rows":[]}}', 16: "{}"}
+_REPLY_HEAD = '{"version":"1.0","data":{"colnames":["prediction","proba"],"coltypes":["INT","STRING"],"rows":['
+
+_RECORDS_SQL = f"""
+SELECT record_id, concat('{_REPLY_HEAD}', CASE WHEN record_id % 20 IN (16, 17, 18, 19) THEN '' ELSE cells END, ']}}}}') AS reply_json
+FROM (
+  SELECT record_id, string_agg(concat('[', CASE WHEN ok THEN CAST(CASE WHEN r >= 50 THEN 1 ELSE 0 END AS VARCHAR) ELSE 'null' END, ',',
+    CASE WHEN ok THEN concat('"', CAST(round(greatest(CAST(r AS DOUBLE) / 100, 1 - CAST(r AS DOUBLE) / 100), 2) AS VARCHAR), '"') ELSE 'null' END, ']'),
+    ',' ORDER BY uuid) AS cells
+  FROM (
+    SELECT uuid, CAST(split_part(uuid, '-', 1) AS BIGINT) AS record_id, split_part(uuid, '-', 2) <> '6' AS ok,
+      (CAST(split_part(feature, ',', 4) AS INT) * 7 + CAST(split_part(feature, ',', 5) AS INT) * 13) % 101 AS r
+    FROM scored_requests
+  ) q GROUP BY record_id
+) a"""
+
+
+@query("score_records", with_views(["scored_requests"], _RECORDS_SQL))
+def score_records(spark, sf_dir):
+    """Batch records (one per order, a row per line) scored and answered: one reply per record, its rows in order.
+
+    Some records are null, unreadable, empty or without data; the sixth line
+    of an order has an hour that is none.  A fixed rule stands in for a model.
+    """
+    lines = fx.scored(_t(spark, sf_dir), with_feature=True).select(
+        "uuid", F.split_part("uuid", F.lit("-"), F.lit(1)).cast("long").alias("record_id"),
+        F.split(F.when(F.split_part("uuid", F.lit("-"), F.lit(2)) == "6", F.regexp_replace("feature", "[0-9]+$", "soon")).otherwise(F.col("feature")), ",").alias("cells"))
+    rows = F.transform(F.sort_array(F.collect_list(F.struct("uuid", "cells"))), lambda r: r["cells"])
+    records = lines.groupBy("record_id").agg(F.to_json(F.struct(F.struct(rows.alias("rows")).alias("data"))).alias("record_json"))
+    for digits, text in _RECORD_KINDS.items():
+        records = records.withColumn("record_json", F.when(F.col("record_id") % 20 == digits, F.lit(text).cast("string")).otherwise(F.col("record_json")))
+    parsed = scoring.parse_records(records, keep=["record_id"])
+    r = F.when(scoring.request_valid(), (F.col("week") * 7 + F.col("hour") * 13) % 101)
+    scored = parsed.withColumns({"p_cancel": r.cast("double") / 100, "prediction": (r >= 50).cast("int")})
+    return scoring.reply_records(scored.select("record_id", "row_no", *scoring.response_columns()), "record_id")
+
+
 @query("score_threshold", with_views(["scored"], "SELECT uuid, p_cancel, p_cancel >= 0.5 AS response_label FROM scored"))
 def score_threshold(spark, sf_dir):
     s = fx.scored(_t(spark, sf_dir)).select("uuid", "p_cancel")
@@ -263,7 +321,7 @@ def score_output(spark, sf_dir):
                "CAST(round(greatest(p_cancel, 1 - p_cancel), 2) AS VARCHAR) AS proba FROM scored_requests"),
 )
 def prediction_log(spark, sf_dir):
-    """Append scored requests to the log in two batches, read the log back.
+    """Append scored requests to the log in two batches, the first tried twice, and read the log back.
 
     The log is bucketed on the prediction id, as the production log is, so
     that the later label join is shuffle-free.
@@ -272,9 +330,10 @@ def prediction_log(spark, sf_dir):
     rows = s.select("uuid", "timestamp_ms", "feature", *scoring.response_columns())
     table = scratch_table(spark, "prediction_log")
     first = hash_sample("uuid", 0.5)
-    save_bucketed(rows.where(first), table, "uuid", LOG_BUCKETS)
-    save_bucketed(rows.where(~first), table, "uuid", LOG_BUCKETS)
-    return spark.table(table)
+    written = [jobs.log_predictions(rows.where(part), table, LOG_BUCKETS, batch=name) for part, name in ((first, "a"), (~first, "b"), (first, "a"))]
+    if written != [True, True, False]:
+        raise RuntimeError("a batch was logged twice or not at all")
+    return new_batches(spark, table)[0].drop(BATCH_NO)
 
 
 # --- model registry ------------------------------------------------------------
@@ -317,7 +376,7 @@ def registry_nested(spark, sf_dir):
     """Registry records written as JSON lines, read back with the explicit nested schema and published as a table."""
     path = scratch_path(spark, "models_json")
     _registry(spark, sf_dir).write.mode("overwrite").json(path)
-    reg = spark.table(replace_table(read_registry_json(spark, path), scratch_table(spark, "models")))
+    reg = spark.table(publish_table(read_registry_json(spark, path), scratch_table(spark, "models")))
     return reg.select("id", _record_json(reg))
 
 

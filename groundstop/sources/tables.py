@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def ensure_database(spark: SparkSession, table: str) -> None:
@@ -56,6 +58,45 @@ def create_if_absent(df: DataFrame, table: str, fmt: str = "parquet") -> bool:
     return True
 
 
+@contextlib.contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Inserts replace the partitions that they have rows for (the writer's own option does not reach ``insertInto``)."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def save_slices(
+    df: DataFrame, table: str, slices: list[str], sort: list[str], bloom: list[str] | None = None, fmt: str = "orc"
+) -> str:
+    """Write ``df`` as the slices (partitions named by the columns ``slices``) that it has rows for.
+
+    Dynamic partition overwrite: the named slices are replaced as a whole, so
+    a repeated load leaves one copy, and all others stay.  Rows are dealt by
+    slice and the month of the first sort column (a date), so a slice with a
+    third of all rows is written by many tasks, and sorted within the files;
+    ORC's stripe statistics then skip stripes by the sort columns, and bloom
+    filters by the columns named.
+    """
+    spark = df.sparkSession
+    ensure_database(spark, table)
+    order = [*slices, *sort]
+    dealt = df.repartition(*slices, F.date_trunc("month", F.col(sort[0]))).sortWithinPartitions(*order)
+    if spark.catalog.tableExists(table):
+        with _dynamic_overwrite(spark):
+            dealt.select(*spark.table(table).columns).write.mode("overwrite").insertInto(table)
+        return table
+    writer = dealt.write.format(fmt).partitionBy(*slices)
+    if bloom and fmt == "orc":
+        writer = writer.option("orc.bloom.filter.columns", ",".join(bloom)).option("orc.bloom.filter.fpp", "0.01")
+    writer.saveAsTable(table)
+    return table
+
+
 def append_table(df: DataFrame, table: str, fmt: str = "orc") -> str:
     """Append a slice; creates the table on first use."""
     ensure_database(df.sparkSession, table)

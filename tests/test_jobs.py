@@ -4,7 +4,9 @@ from pyspark.sql import functions as F
 
 from groundstop import fixtures as fx, jobs
 from groundstop.session import scratch_path, scratch_table
-from groundstop.sources import load_tables, write_csv
+from groundstop.__main__ import main
+from groundstop.sources import load_tables, save_table, write_csv
+from groundstop.sources.batches import batches, now_ms
 
 
 def test_pipeline_end_to_end(spark, sf_dir):
@@ -87,12 +89,20 @@ def test_score_and_monitor(spark, sf_dir):
     jobs.train_job(spark, sample, model_path, max_iter=2, max_depth=2)
     sim = jobs.simulation_job(flights, scratch_table(spark, "sm_sim"))
     log, metrics = scratch_table(spark, "sm_log"), scratch_table(spark, "sm_metrics")
-    out = jobs.score_and_monitor_job(spark, spark.table(sim), model_path, log, fx.late_labels(t), metrics, "dep", n=1000, buckets=4)
+    out = jobs.score_and_monitor_job(spark, spark.table(sim), model_path, log, fx.late_labels(t), metrics, "dep", n=1000, buckets=4, started_ms=0, batch="first")
     logged = spark.table(log)
     n, labelled = logged.count(), logged.join(fx.late_labels(t), "uuid").count()
     assert 0 < n <= 1000
     assert [r.timestamp_ms for r in logged.orderBy("uuid").collect()] == list(range(1, n + 1))
     assert out.count() == n + labelled // 100
+    again = ["score-and-monitor", "--simulation", sim, "--model", model_path, "--log", log, "--labels", save_table(fx.late_labels(t), scratch_table(spark, "sm_labels")),
+             "--out", metrics, "--deployment", "dep", "--n", "1000", "--buckets", "4", "--batch"]
+    assert main([*again, "first"], spark) == 0 and spark.table(log).count() == n  # the batch is known
+    before = now_ms()
+    assert main([*again, "second"], spark) == 0 and spark.table(log).count() == 2 * n
+    stamps = spark.table(log).where("batch_no = 2").agg(F.min("timestamp_ms"), F.max("timestamp_ms")).first()
+    started = batches(spark, log).where("batch = 'second'").first().started_ms
+    assert before <= started <= now_ms() and (stamps[0], stamps[1]) == (started + 1, started + n)
 
 
 def test_prototype_job_loads_every_slice(spark, sf_dir):

@@ -282,8 +282,9 @@ def test_batch_records(spark):
 
     record = '{"data": {"rows": [["UA", "BOS", "SFO", "1", "16"], ["UA", null, "SFO", "x", "16"], ["UA"]]}}'
     df = spark.createDataFrame([(7, record), (8, "not json"), (9, None)], "id int, record_json string")
-    rows = sorted(scoring.parse_records(df, keep=["id"]).collect(), key=lambda r: r.row_no)
-    assert [(r.id, r.row_no, r.op_carrier, r.week) for r in rows] == [(7, 0, "UA", 1), (7, 1, "UA", None), (7, 2, None, None)]
-    scored = spark.createDataFrame([(7, 1, None, None), (7, 0, 1, "0.8")], "id int, row_no int, prediction int, proba string")
-    assert scoring.reply_records(scored, "id").first().reply_json == (
-        '{"colnames":["prediction","proba"],"coltypes":["INT","STRING"],"rows":[["1","0.8"],[null,null]]}')
+    rows = sorted(scoring.parse_records(df, keep=["id"]).collect(), key=lambda r: (r.id, r.row_no or 0))
+    assert [(r.id, r.row_no, r.op_carrier, r.week) for r in rows] == [
+        (7, 0, "UA", 1), (7, 1, "UA", None), (7, 2, None, None), (8, None, None, None), (9, None, None, None)]
+    scored = spark.createDataFrame([(7, 1, None, None), (7, 0, 1, "0.8"), (8, None, None, None)], "id int, row_no int, prediction int, proba string")
+    head = '{"version":"1.0","data":{"colnames":["prediction","proba"],"coltypes":["INT","STRING"],"rows":['
+    assert {r.id: r.reply_json for r in scoring.reply_records(scored, "id").collect()} == {7: head + '[1,"0.8"],[null,null]]}}', 8: head + "]}}"}

@@ -65,10 +65,26 @@ def category_index(df: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES)
         "column_name", "category", (F.col("position") - F.col("_first")).cast("int").alias("idx"))
 
 
-def with_index(df: DataFrame, dictionary: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES, suffix: str = "_idx") -> DataFrame:
-    """``df`` with the index of each categorical column, looked up by join (null for a category that is not in the dictionary)."""
-    for c in columns:
-        own = dictionary.where(F.col("column_name") == c).select(F.col("category").alias(c), F.col("idx").alias(f"{c}{suffix}"))
+def onehot_slots(dictionary: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES) -> DataFrame:
+    """The dictionary with ``slot``: each category's place in the one-hot vector, columns side by side in their order."""
+    place = F.array_position(F.array(*[F.lit(c) for c in columns]), F.col("column_name"))
+    sizes = dictionary.groupBy("column_name").agg(F.count(F.lit(1)).alias("_n"), F.first(place).alias("_place"))  # one row per column
+    before = Window.orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("column_name", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    return dictionary.join(F.broadcast(starts), "column_name").select("column_name", "category", "idx", (F.col("idx") + F.col("_start")).cast("int").alias("slot"))
+
+
+def with_index(
+    df: DataFrame, dictionary: DataFrame, columns: Sequence[str] = CATEGORICAL_FEATURES, value: str = "idx", names: Sequence[str] | None = None
+) -> DataFrame:
+    """``df`` with each categorical column's ``value`` (``idx`` or ``slot``), looked up by join.
+
+    Null for a category that is not in the dictionary.  A dictionary that
+    Spark knows to be small is broadcast by it; a large one is shuffled.
+    """
+    names = names or [f"{c}_{value}" for c in columns]
+    for c, name in zip(columns, names, strict=True):
+        own = dictionary.where(F.col("column_name") == c).select(F.col("category").alias(c), F.col(value).alias(name))
         df = df.join(own, c, "left")
     return df
 

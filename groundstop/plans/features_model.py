@@ -118,16 +118,11 @@ def category_index(spark, sf_dir):
 
 @query("onehot_positions", with_views(["flights"], _ONEHOT_SQL, extra=_FEATURE_CTES + [("ci", _CI_SQL)]))
 def onehot_positions(spark, sf_dir):
-    fl = _features(spark, sf_dir)
-    enc = model.fit_encoder(fl)
-    at, start = {}, 0
-    for name, labels in zip(("carrier", "origin", "dest"), enc.stages[0].labelsArray, strict=True):
-        at[name] = start  # slots of the columns before
-        start += len(labels)
-    indexed = enc.stages[0].transform(fl)
-    position = lambda c, name: (F.col(c) + at[name]).cast("int").alias(f"pos_{name}")
-    return indexed.select(
-        "row_key", position("op_carrier_idx", "carrier"), position("origin_idx", "origin"), position("dest_idx", "dest"), "week", "hour")
+    """Slots of each row's categories, looked up in the stored dictionary by join."""
+    fl, path = _features(spark, sf_dir), scratch_path(spark, "dictionary")
+    features.onehot_slots(features.category_index(fl)).write.parquet(path)
+    names = ["pos_carrier", "pos_origin", "pos_dest"]
+    return features.with_index(fl, spark.read.parquet(path), value="slot", names=names).select("row_key", *names, "week", "hour")
 
 
 @query("feature_scale", with_views(["flights"], _SCALE_SQL, extra=_SCALE_CTES))

@@ -239,6 +239,8 @@ def test_dictionary_of_many_categories(spark):
     ranks = index.where("column_name = 'op_carrier' AND idx % 50000 = 7").select("category", "idx").collect()
     below = {r.category: df.where(F.col("op_carrier") < r.category).count() for r in ranks}
     assert len(ranks) == 3 and below == {r.category: r.idx for r in ranks}
+    slots = features.onehot_slots(index).groupBy("column_name").agg(F.min("slot").alias("low"), F.max("slot").alias("high")).collect()
+    assert {r.column_name: (r.low, r.high) for r in slots} == {"op_carrier": (0, 149_999), "origin": (150_000, 150_006)}
     found = features.with_index(df.limit(50).union(spark.createDataFrame([("unseen", "3", None)], df.schema)), index).collect()
     assert all(r.origin_idx == int(r.origin) and r.dest_idx is None for r in found)
     assert [r.op_carrier_idx for r in found if r.op_carrier == "unseen"] == [None] and sum(r.op_carrier_idx is not None for r in found) == 50

@@ -3,11 +3,17 @@
 Of every 6 consecutive 5-gram hashes of a text the least (the leftmost of
 equals) is kept, so any 10 consecutive words keep the same 5-gram wherever
 they stand: every shared span of 10 words has a common fingerprint.  The
-fingerprints of documents are joined with those of the benchmark's 10-word
-windows, each hit is extended to the window around it, and the words are
-compared.  An item of fewer words is one window; for each such length that
-occurs, every position of the documents is fingerprinted (a winnowing window
-of one).
+texts are read and cut into words once: where a window's fingerprint is in
+the benchmark's bitmap, the fingerprint is extended to the window around it,
+and the window's words go on; they are joined with the benchmark's windows by
+their hash and compared word by word.  So what moves is the windows that have
+a fingerprint in common, each with the windows equal to it only, however many
+items or documents share a phrase.  An item of fewer than 10 words is one
+window; for each such length that occurs, every position of the documents is
+fingerprinted (a winnowing window of one).
+
+The bitmap of fingerprints is a literal of 2^20 bits at most.  With many more
+fingerprints more windows pass it that then join nothing; no window is lost.
 
 Cases: a null or empty text has no words; a benchmark item without words has
 no window and a null item_id is not counted as an item; rows that repeat a
@@ -18,6 +24,8 @@ every document clean.
 from __future__ import annotations
 
 import string
+import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,14 +37,17 @@ GUARD = SPAN - GRAM + 1
 #: Benchmark windows up to which their fingerprints (28 bytes each) are broadcast; beyond it the join shuffles.
 BROADCAST_WINDOWS = 200_000
 
-_GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
-_WORD_ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: Bits of the fingerprints' bitmap, at least and at most.
+BITMAP = (1 << 14, 1 << 20)
+
+#: ASCII characters that part words: all but digits and letters.
+_GAPS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 
 
 def words(text: Column) -> Column:
     """Words of a text with A-Z in lower case; null has none."""
-    low = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
-    return F.array_remove(F.split(low, _GAP), "")
+    low = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase + _GAPS, string.ascii_lowercase + " " * len(_GAPS))
+    return F.array_remove(F.split(low, " "), "")
 
 
 def _grams(tokens: str, k: int) -> Column:
@@ -46,15 +57,25 @@ def _grams(tokens: str, k: int) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), gram)).otherwise(F.array().cast("array<bigint>"))
 
 
-def _chosen(hashes: str) -> Column:
-    """Distinct positions of the leftmost minimum of every ``GUARD`` consecutive hashes."""
-    last = F.size(hashes) - GUARD
+_HIGH = -(1 << 32)
+
+
+def _placed(hashes: Column) -> Column:
+    """The upper half of each hash with its place below: least by hash, then leftmost."""
+    return F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(_HIGH)).bitwiseOR(i.cast("long")))
+
 
-    def place(i):
-        window = F.slice(hashes, i + 1, GUARD)
-        return i + F.array_position(window, F.array_min(window)).cast("int") - 1
+def _print(placed: Column) -> Column:
+    return F.shiftright(placed, 32)
 
-    return F.when(last >= 0, F.array_distinct(F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), place))).otherwise(F.array().cast("array<int>"))
+
+def _place(placed: Column) -> Column:
+    return placed.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+
+def _least(placed: str, reach: int, other: str | None = None) -> Column:
+    """At each place the least of it and of what stands ``reach`` places on (in ``other``)."""
+    return F.transform(placed, lambda x, i: F.least(x, F.get(F.col(other or placed), i + reach)))
 
 
 def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -72,31 +93,59 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     spans = spark.read.parquet(f"{base}/spans")
     windows = spans.select("words").distinct().withColumn("wid", F.monotonically_increasing_id()).withColumn("len", F.size("words"))
     windows = windows.withColumn("hashes", _grams("words", GRAM))
-    least = F.array_min("hashes")
+    least = F.array_min(_placed(F.col("hashes")))
     whole = F.xxhash64(*[F.get(F.col("words"), F.lit(j)) for j in range(SPAN - 1)])  # absent words add nothing
-    windows.select(
-        "wid", "len", "words",
-        F.when(F.col("len") == SPAN, F.array_position("hashes", least).cast("int") - 1).otherwise(0).alias("shift"),
-        F.when(F.col("len") == SPAN, least).otherwise(whole).alias("h")).write.parquet(f"{base}/windows")
+    windows.select("wid", "len", "words", F.when(F.col("len") == SPAN, _print(least)).otherwise(whole).alias("h")).write.parquet(f"{base}/windows")
     windows = spark.read.parquet(f"{base}/windows")
     return windows, spans.join(windows.select("wid", "words"), "words").select("wid", "item_id").distinct()
 
 
-def _fingerprints(texts: DataFrame, keys: list[str], short: list[int]) -> DataFrame:
-    """(keys, n, at, size, h): winnowed fingerprints, and every position for the short window lengths."""
-    tokens = texts.select(*keys, words(F.col("text")).alias("tokens"))
-    tokens = tokens.select(*keys, "tokens", F.size("tokens").alias("n"), _grams("tokens", GRAM).alias("hashes"))
-    chosen = tokens.select(*keys, "tokens", "n", "hashes", _chosen("hashes").alias("places"))
-    kept = F.transform("places", lambda p: F.struct(p.alias("at"), F.lit(SPAN).alias("size"), F.get(F.col("hashes"), p).alias("h")))
-    parts = [kept]
-    for k in short:
-        parts.append(_every_place(_grams("tokens", k), k))
-    found = F.concat(*parts) if len(parts) > 1 else kept
-    return chosen.select(*keys, "n", F.inline(found))
+def _bitmap(prints: DataFrame) -> Callable[[Column], Column] | None:
+    """A test whether a fingerprint may be among ``prints`` (h); none if there are none."""
+    count = prints.count()
+    if count == 0:
+        return None
+    bits = min(max(BITMAP[0], 1 << (64 * count - 1).bit_length()), BITMAP[1])
+    cells = prints.select(F.pmod("h", F.lit(bits)).alias("bit")).groupBy(F.floor(F.col("bit") / 30).alias("cell")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1), (F.col("bit") % 30).cast("int"))).alias("ones"))
+    held = {r["cell"]: r["ones"] for r in cells.collect()}  # one row per 30 bits at most
+    table = F.split(F.lit(",".join(str(held.get(i, 0)) for i in range(bits // 30 + 1))), ",").cast("array<int>")
 
+    def test(h: Column) -> Column:
+        bit = F.pmod(h, F.lit(bits))
+        return F.call_function("shiftright", F.get(table, (bit / 30).cast("int")), (bit % 30).cast("int")).bitwiseAND(F.lit(1)) == 1
 
-def _every_place(hashes: Column, k: int) -> Column:
-    return F.transform(hashes, lambda h, i: F.struct(i.alias("at"), F.lit(k).alias("size"), h.alias("h")))
+    return test
+
+
+def _passing(prints: Column, test: Callable[[Column], Column], size: int) -> Column:
+    """(start, len, words) of the windows of ``tokens`` whose fingerprint passes the test."""
+    places = F.array_compact(F.transform(prints, lambda h, i: F.when(test(h), i)))
+    return F.transform(places, lambda i: F.struct(i.cast("int").alias("start"), F.lit(size).alias("len"), F.slice("tokens", i + 1, size).alias("words")))
+
+
+def _candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
+    """Stored (doc_id, version, n_words, near) of every row; ``near`` are the places and words of windows whose fingerprint may be a benchmark's."""
+    short = sorted(r["len"] for r in windows.where(F.col("len") < SPAN).select("len").distinct().collect())  # nine values at most
+    tokens = docs.select("doc_id", F.xxhash64("text").alias("version"), words(F.col("text")).alias("tokens"))
+    parts = []
+
+    test = _bitmap(windows.where(F.col("len") == SPAN).select("h").distinct())
+    if test is not None:
+        tokens = tokens.withColumn("one", _placed(_grams("tokens", GRAM)))
+        tokens = tokens.withColumn("two", _least("one", 1))
+        tokens = tokens.withColumn("four", _least("two", 2))
+        tokens = tokens.withColumn("six", _least("four", 2, "four"))  # 4 + 2: places i to i + 5
+        # The last places of "six" look beyond the text; a window begins where 6 hashes follow.
+        whole = F.slice("six", 1, F.greatest(F.size("one") - (GUARD - 1), F.lit(0)))
+        parts.append(_passing(F.transform(whole, _print), test, SPAN))
+    for k in short:
+        test = _bitmap(windows.where(F.col("len") == k).select("h").distinct())
+        parts.append(_passing(_grams("tokens", k), test, k))
+    none = F.array().cast("array<struct<start:int,len:int,words:array<string>>>")
+    out = scratch_path(docs.sparkSession, "benchmark-candidates")
+    tokens.select("doc_id", "version", F.size("tokens").cast("long").alias("n_words"), (F.concat(*parts) if parts else none).alias("near")).write.parquet(out)
+    return docs.sparkSession.read.parquet(out)
 
 
 def _covered(spans: Column) -> Column:
@@ -110,33 +159,23 @@ def _covered(spans: Column) -> Column:
     return F.aggregate(spans, zero, step, lambda acc: acc["total"])
 
 
-def hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(doc_id, version, start, len, wid) of every occurrence of a window, and (wid, item_id)."""
-    keys = ["doc_id", "version"]
+def hits(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(doc_id, version, start, len, wid) of every occurrence of a window; (wid, item_id); (doc_id, version, n_words) of every row."""
     windows, owners = benchmark_windows(benchmark)
-    short = sorted(r["len"] for r in windows.where(F.col("len") < SPAN).select("len").distinct().collect())  # nine values at most
-    probes = windows.select("wid", "len", "shift", "h")
+    rows = _candidates(docs, windows)
+    near = rows.where(F.size("near") > 0).select("doc_id", "version", F.inline("near")).withColumn("key", F.xxhash64("words"))
+    probes = windows.select("wid", F.col("words").alias("own"), F.xxhash64("words").alias("own_key"))
     if windows.count() <= BROADCAST_WINDOWS:
         probes = F.broadcast(probes)
-    texts = docs.select("doc_id", F.xxhash64("text").alias("version"), "text")
-    prints = _fingerprints(texts, keys, short)
-    near = prints.join(probes, (prints["h"] == probes["h"]) & (prints["size"] == probes["len"])).select(
-        *keys, (F.col("at") - F.col("shift")).alias("start"), "len", "wid", "n")
-    near = near.where((F.col("start") >= 0) & (F.col("start") + F.col("len") <= F.col("n"))).select(*keys, "start", "len", "wid").distinct()
-    near = near.groupBy(*keys).agg(F.collect_list(F.struct("start", "len", "wid")).alias("near"))
-    a, b = texts.alias("a"), near.alias("b")
-    extended = a.join(b, F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & (F.col("a.version") == F.col("b.version"))).select(
-        "a.doc_id", "a.version", "near", words(F.col("text")).alias("tokens"))
-    extended = extended.select(*keys, F.inline(F.transform("near", lambda c: F.struct(
-        c["start"].alias("start"), c["len"].alias("len"), c["wid"].alias("wid"), F.slice("tokens", c["start"] + 1, c["len"]).alias("words")))))
-    return extended.join(windows.select("wid", "words"), ["wid", "words"]).select(*keys, "start", "len", "wid").distinct(), owners
+    found = near.join(probes, (F.col("key") == F.col("own_key")) & (F.col("words") == F.col("own")))
+    return found.select("doc_id", "version", "start", "len", "wid").distinct(), owners, rows.select("doc_id", "version", "n_words")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for every row of ``docs``, and the hit spans."""
+    """(doc_id, n_words, n_hit, n_items, items_sha256, contaminated) for every row of ``docs``."""
     spark = docs.sparkSession
     keys = ["doc_id", "version"]
-    found, owners = hits(docs, benchmark)
+    found, owners, every = hits(docs, benchmark)
     out = scratch_path(spark, "benchmark-hits")
     found.write.parquet(out)
     found = spark.read.parquet(out)
@@ -145,7 +184,6 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = items.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_items"), F.sha2(F.array_join(F.array_sort(F.collect_list("item")), ","), 256).alias("items_sha256"))
     dirty = spans.join(items, (spans["doc_id"].eqNullSafe(items["doc_id"])) & (spans["version"] == items["version"]), "left").select(
         spans["doc_id"].alias("d"), spans["version"].alias("v"), "spans", "n_items", "items_sha256")
-    every = docs.select("doc_id", F.xxhash64("text").alias("version"), F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"))
     return every.join(dirty, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("version") == F.col("v")), "left").select(
         "doc_id", "n_words", F.coalesce(_covered(F.col("spans")), F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
@@ -155,6 +193,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
-    found, _ = hits(docs, benchmark)
-    dirty = found.select(F.col("doc_id").alias("_dirty_id"), F.col("version").alias("_dirty_version")).distinct()
-    return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col("_dirty_id")) & (F.xxhash64(docs["text"]) == F.col("_dirty_version")), "left_anti")
+    found, _, _ = hits(docs, benchmark)
+    name, version = f"id_{uuid.uuid4().hex}", f"version_{uuid.uuid4().hex}"  # names that docs does not have
+    dirty = found.select(F.col("doc_id").alias(name), F.col("version").alias(version)).distinct()
+    return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col(name)) & (F.xxhash64(docs["text"]) == F.col(version)), "left_anti")

@@ -1,8 +1,8 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only.
 
-Of every 6 consecutive 5-gram hashes of a text the least (the leftmost of
-equals) is kept, so any 10 consecutive words keep the same 5-gram wherever
-they stand: every shared span of 10 words has a common fingerprint.  The
+Of every 6 consecutive 5-gram hashes of a text the least is kept, so any 10
+consecutive words keep the same 5-gram wherever they stand: every shared span
+of 10 words has a common fingerprint.  The
 texts are read and cut into words once: where a window's fingerprint is in
 the benchmark's bitmap, the fingerprint is extended to the window around it,
 and the window's words go on; they are joined with the benchmark's windows by
@@ -57,25 +57,9 @@ def _grams(tokens: str, k: int) -> Column:
     return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), gram)).otherwise(F.array().cast("array<bigint>"))
 
 
-_HIGH = -(1 << 32)
-
-
-def _placed(hashes: Column) -> Column:
-    """The upper half of each hash with its place below: least by hash, then leftmost."""
-    return F.transform(hashes, lambda h, i: h.bitwiseAND(F.lit(_HIGH)).bitwiseOR(i.cast("long")))
-
-
-def _print(placed: Column) -> Column:
-    return F.shiftright(placed, 32)
-
-
-def _place(placed: Column) -> Column:
-    return placed.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
-
-
-def _least(placed: str, reach: int, other: str | None = None) -> Column:
-    """At each place the least of it and of what stands ``reach`` places on (in ``other``)."""
-    return F.transform(placed, lambda x, i: F.least(x, F.get(F.col(other or placed), i + reach)))
+def _least(hashes: str, reach: int) -> Column:
+    """At each place the least of it and of what stands ``reach`` places on."""
+    return F.transform(hashes, lambda x, i: F.least(x, F.get(F.col(hashes), i + reach)))
 
 
 def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -93,9 +77,8 @@ def benchmark_windows(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     spans = spark.read.parquet(f"{base}/spans")
     windows = spans.select("words").distinct().withColumn("wid", F.monotonically_increasing_id()).withColumn("len", F.size("words"))
     windows = windows.withColumn("hashes", _grams("words", GRAM))
-    least = F.array_min(_placed(F.col("hashes")))
     whole = F.xxhash64(*[F.get(F.col("words"), F.lit(j)) for j in range(SPAN - 1)])  # absent words add nothing
-    windows.select("wid", "len", "words", F.when(F.col("len") == SPAN, _print(least)).otherwise(whole).alias("h")).write.parquet(f"{base}/windows")
+    windows.select("wid", "len", "words", F.when(F.col("len") == SPAN, F.array_min("hashes")).otherwise(whole).alias("h")).write.parquet(f"{base}/windows")
     windows = spark.read.parquet(f"{base}/windows")
     return windows, spans.join(windows.select("wid", "words"), "words").select("wid", "item_id").distinct()
 
@@ -106,16 +89,18 @@ def _bitmap(prints: DataFrame) -> Callable[[Column], Column] | None:
     if count == 0:
         return None
     bits = min(max(BITMAP[0], 1 << (64 * count - 1).bit_length()), BITMAP[1])
-    cells = prints.select(F.pmod("h", F.lit(bits)).alias("bit")).groupBy(F.floor(F.col("bit") / 30).alias("cell")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1), (F.col("bit") % 30).cast("int"))).alias("ones"))
-    held = {r["cell"]: r["ones"] for r in cells.collect()}  # one row per 30 bits at most
-    table = F.split(F.lit(",".join(str(held.get(i, 0)) for i in range(bits // 30 + 1))), ",").cast("array<int>")
+    shift = 64 - (bits // 64).bit_length() + 1
+
+    def cell(h: Column) -> Column:
+        return F.shiftrightunsigned(h, shift).cast("int")
 
-    def test(h: Column) -> Column:
-        bit = F.pmod(h, F.lit(bits))
-        return F.call_function("shiftright", F.get(table, (bit / 30).cast("int")), (bit % 30).cast("int")).bitwiseAND(F.lit(1)) == 1
+    def place(h: Column) -> Column:
+        return h.bitwiseAND(F.lit(63)).cast("int")
 
-    return test
+    cells = prints.groupBy(cell(F.col("h")).alias("cell")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), place(F.col("h")))).alias("ones"))
+    held = {r["cell"]: r["ones"] for r in cells.collect()}  # one row per 64 bits at most
+    table = F.split(F.lit(",".join(str(held.get(i, 0)) for i in range(bits // 64))), ",").cast("array<bigint>")
+    return lambda h: F.call_function("bit_get", F.get(table, cell(h)), place(h)) == 1
 
 
 def _passing(prints: Column, test: Callable[[Column], Column], size: int) -> Column:
@@ -132,13 +117,13 @@ def _candidates(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
     test = _bitmap(windows.where(F.col("len") == SPAN).select("h").distinct())
     if test is not None:
-        tokens = tokens.withColumn("one", _placed(_grams("tokens", GRAM)))
+        tokens = tokens.withColumn("one", _grams("tokens", GRAM))
         tokens = tokens.withColumn("two", _least("one", 1))
         tokens = tokens.withColumn("four", _least("two", 2))
-        tokens = tokens.withColumn("six", _least("four", 2, "four"))  # 4 + 2: places i to i + 5
+        tokens = tokens.withColumn("six", _least("four", GUARD - 4))  # of places i to i + 5
         # The last places of "six" look beyond the text; a window begins where 6 hashes follow.
         whole = F.slice("six", 1, F.greatest(F.size("one") - (GUARD - 1), F.lit(0)))
-        parts.append(_passing(F.transform(whole, _print), test, SPAN))
+        parts.append(_passing(whole, test, SPAN))
     for k in short:
         test = _bitmap(windows.where(F.col("len") == k).select("h").distinct())
         parts.append(_passing(_grams("tokens", k), test, k))

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from groundstop.llm import count_rtree, curve_pack, fuse_dedup, toxicity, winnow
 from groundstop.llm.queries import BYTE_BPE
-from groundstop.session import scratch_path
+from groundstop.session import remove_scratch, scratch_path, scratch_scope
 
 #: Scores of a trained model cannot be written in SQL.
 ORACLE_SQL = None
@@ -67,10 +67,16 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; each result is stored and read again as the next stage's input."""
-    docs = _table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``; each result is stored and read again as the next stage's input.
+
+    What a stage stored on its way, and its input, go when its result is complete.
+    """
+    docs, before = _table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(path)
+        if before:
+            remove_scratch(spark, before)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)

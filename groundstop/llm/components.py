@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from groundstop.session import scratch_path
+from groundstop.session import remove_scratch, scratch_path
 
 
 def _apart(edges: DataFrame) -> DataFrame:
@@ -27,6 +27,8 @@ def connected(edges: DataFrame) -> DataFrame:
     while True:
         now.write.parquet(f"{base}/{number}")
         now = spark.read.parquet(f"{base}/{number}")
+        if number:
+            remove_scratch(spark, f"{base}/{number - 1}")
         state = now.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
         if state == seen or state[0] == 0:
             break

@@ -44,7 +44,7 @@ from pyspark.sql import functions as F
 from groundstop.llm import exchange
 from groundstop.llm.chunks import slices, text_buffer
 from groundstop.llm.tokens import Encoder, _gather
-from groundstop.session import scratch_path
+from groundstop.session import scratch_path, scratch_scope
 
 #: Bytes of text that one range of a long text holds, about.
 RANGE = 1 << 20
@@ -534,12 +534,13 @@ def align(docs: DataFrame, byte_vocabulary: str, piece_vocabulary: str, range_by
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     shards = max(1, min(4096, total // COUNT_BYTES))
     is_long = F.coalesce(F.octet_length("text"), F.lit(0)) > range_bytes
-    chunks = exchange.packed(docs.where(~is_long), ["doc_id", "text"], CHUNK_BYTES)
     named, roots, groups = _long_texts(docs.where(is_long), a, b, range_bytes)
+    with scratch_scope(spark):  # the chunks go when their messages are stored
+        chunks = exchange.packed(docs.where(~is_long), ["doc_id", "text"], CHUNK_BYTES)
+        messages = chunks.select("run", "blob").mapInArrow(_short(a, b, shards), exchange.MESSAGES).union(
+            groups.select("run", "key", "prefix").mapInArrow(_long_messages(shards), exchange.MESSAGES))
+        messages.write.option("compression", "uncompressed").parquet(f"{base}/messages")
     ids = max(len(v.spelling.size) for v in _vocabularies(a, b))
-    messages = chunks.select("run", "blob").mapInArrow(_short(a, b, shards), exchange.MESSAGES).union(
-        groups.select("run", "key", "prefix").mapInArrow(_long_messages(shards), exchange.MESSAGES))
-    messages.write.option("compression", "uncompressed").parquet(f"{base}/messages")
     messages = spark.read.parquet(f"{base}/messages")
     answers = exchange.answer(messages.where("shard >= 0"), _sums)
     counted = messages.where(f"shard = {OWN}").union(answers).groupBy("run").applyInArrow(_counted, "run long, " + RESULT)

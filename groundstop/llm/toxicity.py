@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from groundstop.llm.chunks import lower_ascii, mix, slices, span_hashes, text_buffer, words
-from groundstop.session import scratch_path
+from groundstop.session import scratch_path, scratch_scope
 
 SAMPLE, FEATURES, FIT_BYTES = 6_000, 1 << 18, 64 << 20
 PREFIXES = (4, 5, 6, 7, 8, 10)
@@ -232,7 +232,12 @@ def fitting(sizes: list[tuple[int, int]], room: int) -> list[int]:
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, rounds: int = ROUNDS) -> Model:
-    """Fit on labelled documents that are not held out."""
+    """Fit on labelled documents that are not held out; the stored sample goes with the fit."""
+    with scratch_scope(docs.sparkSession):
+        return _train(docs, labels, sample, rounds)
+
+
+def _train(docs: DataFrame, labels: DataFrame, sample: int, rounds: int) -> Model:
     spark, base = docs.sparkSession, scratch_path(docs.sparkSession, "toxicity")
     marked = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.max("toxic").cast("long").alias("toxic"))
     marked = marked.where(~held_out(F.col("doc_id"))).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)

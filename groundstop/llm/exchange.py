@@ -90,7 +90,7 @@ def from_low_bytes(raw: np.ndarray, width: int) -> np.ndarray:
 MESSAGES = "run long, shard long, blob binary"
 
 
-def _messages(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+def message_batch(rows: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
     run, shard, blob = zip(*rows, strict=True) if rows else ((), (), ())
     return pa.RecordBatch.from_arrays([pa.array(run, pa.int64()), pa.array(shard, pa.int64()), pa.array(blob, pa.binary())], ["run", "shard", "blob"])
 
@@ -108,7 +108,7 @@ def packed(docs: DataFrame, columns: list[str], limit: int = CHUNK_BYTES) -> Dat
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, some.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=TEXT_LEVEL))) as writer:
                     writer.write_batch(pa.RecordBatch.from_arrays([pa.concat_arrays([c]) for c in some.columns], schema=some.schema))
-                yield _messages([(number, CHUNK, sink.getvalue().to_pybytes())])
+                yield message_batch([(number, CHUNK, sink.getvalue().to_pybytes())])
                 number += 1
 
     out = scratch_path(docs.sparkSession, "chunks")
@@ -116,7 +116,7 @@ def packed(docs: DataFrame, columns: list[str], limit: int = CHUNK_BYTES) -> Dat
     return docs.sparkSession.read.parquet(out)
 
 
-def _opened(blob: pa.Scalar) -> pa.RecordBatch:
+def opened(blob: pa.Scalar) -> pa.RecordBatch:
     return pa.ipc.open_stream(blob.as_buffer()).read_next_batch()
 
 
@@ -125,7 +125,7 @@ def send(chunks: DataFrame, make: Callable[[pa.RecordBatch], Iterator[tuple[int,
     def run(batches):
         for batch in batches:
             for number, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                yield _messages([(number, shard, b) for shard, b in make(_opened(blob))])
+                yield message_batch([(number, shard, b) for shard, b in make(opened(blob))])
 
     return chunks.select("run", "blob").mapInArrow(run, MESSAGES)
 
@@ -137,7 +137,7 @@ def answer(messages: DataFrame, reply: Callable[[int, list[int], list[bytes]], I
         order = np.argsort(table["run"].to_numpy(), kind="stable")
         runs = table["run"].to_numpy()[order].tolist()
         blobs = [table["blob"][int(i)].as_py() for i in order]
-        return pa.Table.from_batches([_messages([(r, shard, b) for r, b in reply(shard, runs, blobs)])])
+        return pa.Table.from_batches([message_batch([(r, shard, b) for r, b in reply(shard, runs, blobs)])])
 
     return messages.groupBy("shard").applyInArrow(run, MESSAGES)
 
@@ -148,7 +148,7 @@ def finish(chunks: DataFrame, answers: DataFrame, work: Callable[[int, pa.Record
         chunk, got = None, {}
         for shard, blob in zip(table["shard"].to_pylist(), table["blob"], strict=True):
             if shard == CHUNK:
-                chunk = _opened(blob)
+                chunk = opened(blob)
             else:
                 got[shard] = blob.as_py()
         return pa.Table.from_batches(work(table["run"][0].as_py(), chunk, got))

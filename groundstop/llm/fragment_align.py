@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from groundstop.llm import exchange
 from groundstop.llm.chunks import slices, text_buffer
-from groundstop.llm.tokens import Encoder, _gather
+from groundstop.llm.tokens import Encoder, gather
 from groundstop.session import scratch_path, scratch_scope
 
 #: Bytes of text that one range of a long text holds, about.
@@ -96,7 +96,7 @@ class Spelled(Encoder):
         total = np.diff(np.concatenate([[0], np.cumsum(per)])[np.concatenate([[0], np.cumsum(lens)])])
         same = total == size
         ids = ids[np.repeat(same, lens)]
-        spelled = _gather(self.spelling.raw, self.spelling.first[ids], self.spelling.size[ids])
+        spelled = gather(self.spelling.raw, self.spelling.first[ids], self.spelling.size[ids])
         differ = np.concatenate([[0], np.cumsum(spelled != raw[np.repeat(same, size)])])
         out = same.copy()
         out[same] = np.diff(differ[np.concatenate([[0], np.cumsum(size[same])])]) == 0
@@ -298,7 +298,7 @@ def _short(a: str, b: str, shards: int):
         first, second = _vocabularies(a, b)
         for batch in batches:
             for number, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                chunk = exchange._opened(blob)
+                chunk = exchange.opened(blob)
                 data, off, rows = _before(chunk.column(1))
                 ids_a, n_a, good_a = first.encode_checked(data, off)
                 ids_b, n_b, good_b = second.encode_checked(data, off)
@@ -320,7 +320,7 @@ def _short(a: str, b: str, shards: int):
                     if ok:
                         sha[r] = hashlib.sha256(view[x:y]).hexdigest()
                 per[rows], all_a[rows], all_b[rows] = np.diff(cut), n_a, n_b
-                yield exchange._messages(_rows_and_messages(number, *_linked(chunk.column(0), all_a, all_b, sha, per, ids_a[i], ids_b[j]), shards))
+                yield exchange.message_batch(_rows_and_messages(number, *_linked(chunk.column(0), all_a, all_b, sha, per, ids_a[i], ids_b[j]), shards))
 
     return run
 
@@ -442,7 +442,7 @@ def _long_messages(shards: int):
                 tokens = _open_of(r["prefix"])
                 i, j, ends = _groups(tokens)
                 rows = _linked(pa.array([r["key"]], pa.int64()), np.zeros(1, np.int64), np.zeros(1, np.int64), [""], np.array([len(ends)]), tokens.a[i], tokens.b[j])
-                yield exchange._messages(_rows_and_messages(r["run"], *rows, shards))
+                yield exchange.message_batch(_rows_and_messages(r["run"], *rows, shards))
 
     return run
 

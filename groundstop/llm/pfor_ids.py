@@ -171,7 +171,7 @@ def read_documents(files: DataFrame) -> DataFrame:
         for f, begin, cut in _opened(batches):
             yield pa.RecordBatch.from_arrays([
                 pa.array(f.doc_ids, mask=f.has_id == 0), pa.array(begin + cut[:-1]),
-                pa.LargeListArray.from_arrays(pa.array(cut), pa.array(f.ids().astype(np.int64)))], ["doc_id", "start", "ids"])
+                pa.ListArray.from_arrays(pa.array(cut, pa.int32()), pa.array(f.ids().astype(np.int64)))], ["doc_id", "start", "ids"])
 
     return _with_start(files).mapInArrow(decode, "doc_id long, start long, ids array<long>")
 

@@ -80,7 +80,7 @@ def _room(array: np.ndarray, size: int) -> np.ndarray:
     return array if size <= len(array) else np.concatenate([array, np.zeros(max(size, 2 * len(array)) - len(array), array.dtype)])
 
 
-def _gather(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
+def gather(values: np.ndarray, first: np.ndarray, size: np.ndarray) -> np.ndarray:
     """The stretches ``values[first:first + size]`` one after the other."""
     before = np.cumsum(size) - size
     return values[np.arange(int(size.sum())) + np.repeat(first - before, size)]
@@ -117,7 +117,7 @@ class Encoder:
         """Let go of the pieces not met again, and of the oldest if too many stay."""
         stay = np.sort(self.slot[self.again[self.slot]])[-(self.limit // 2):]
         some = [a[stay] for a in (self.first, self.size, self.begin, self.bytes, self.fine)]
-        ids, raw = _gather(self.ids, some[0], some[1]), _gather(self.raw, some[2], some[3])
+        ids, raw = gather(self.ids, some[0], some[1]), gather(self.raw, some[2], some[3])
         self._forget()
         if len(stay):
             self._keep(span_hashes(raw, np.cumsum(some[3]) - some[3], np.cumsum(some[3])), raw, some[3], ids, some[1], some[4])
@@ -167,7 +167,7 @@ class Encoder:
         order = np.concatenate(order)
         first = np.empty(len(pieces), np.int64)
         first[order] = np.cumsum(lens[order]) - lens[order]
-        return _gather(ids, first, lens), lens
+        return gather(ids, first, lens), lens
 
     def faithful(self, raw: np.ndarray, size: np.ndarray, ids: np.ndarray, lens: np.ndarray) -> np.ndarray:
         """Whether each new piece is what its ids spell; not asked here."""
@@ -212,7 +212,7 @@ class Encoder:
         same = self.bytes[slot] == size[hit]
         hit, slot = hit[same], slot[same]
         if len(hit):
-            differ = _gather(raw, edge[hit], size[hit]) != _gather(self.raw, self.begin[slot], size[hit])
+            differ = gather(raw, edge[hit], size[hit]) != gather(self.raw, self.begin[slot], size[hit])
             same = ~np.logical_or.reduceat(differ, np.cumsum(size[hit]) - size[hit])
             hit, slot = hit[same], slot[same]
             found[hit] = slot
@@ -220,7 +220,7 @@ class Encoder:
         new = np.flatnonzero(found < 0)
         if len(new):
             ids, lens = self.ids_of(coded.dictionary.take(pa.array(new)).to_pylist())
-            bytes_ = _gather(raw, edge[new], size[new])
+            bytes_ = gather(raw, edge[new], size[new])
             found[new] = self._keep(h[new], bytes_, size[new], ids, lens, self.faithful(bytes_, size[new], ids, lens))
         return at, found[coded.indices.to_numpy()]
 
@@ -237,7 +237,7 @@ class Encoder:
         row = np.searchsorted(at, off)
         before = np.concatenate([[0], np.cumsum(lens)])
         wrong = np.concatenate([[0], np.cumsum(~self.fine[slot])])
-        return _gather(self.ids, self.first[slot], lens), np.diff(before[row]), np.diff(wrong[row]) == 0
+        return gather(self.ids, self.first[slot], lens), np.diff(before[row]), np.diff(wrong[row]) == 0
 
 
 @functools.lru_cache(maxsize=2)

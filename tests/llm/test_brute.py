@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from groundstop.llm import curve_pack, shard_tree, toxicity
+from groundstop.llm import curve_pack, pfor_ids, shard_tree, toxicity
 from groundstop.llm.queries import BYTE_BPE
 from test_queries import LOW, brute_components
 
@@ -68,6 +68,14 @@ def test_packing_follows_the_curve(docs, rows):
     assert len(along) > 30 and along == sorted(along)
 
 
+def test_id_files_read_whole(spark, docs, rows, tmp_path):
+    library = Tokenizer.from_file(BYTE_BPE)
+    pfor_ids.write_files(docs, str(tmp_path / "files"), BYTE_BPE, 2)
+    got = pfor_ids.read_documents(spark.read.parquet(str(tmp_path / "files"))).orderBy("start").collect()
+    assert Counter((repr(r.doc_id), tuple(r.ids)) for r in got) == Counter((repr(i), (*library.encode(t or "", add_special_tokens=False).ids, 2)) for i, t in rows)
+    assert [r.start for r in got] == np.concatenate([[0], np.cumsum([len(r.ids) for r in got])[:-1]]).tolist()
+
+
 def test_hilbert_curve_is_one(bits=3):
     grid = np.array([(x, y, z) for x in range(8) for y in range(8) for z in range(8)])
     key = curve_pack.hilbert_key(grid, bits)

@@ -122,7 +122,7 @@ def test_toxicity_adds_up_within_a_passage_only():
 def test_toxicity_without_labels_or_rows(spark, docs, no_docs):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     model = toxicity.train(docs, none)
-    assert toxicity.score(docs, model).where("predicted = 1").count() <= 1  # only the very long text may add up
+    assert toxicity.score(docs, model).where("predicted = 1").count() <= 1
     assert toxicity.score(no_docs, model).count() == 0
 
 

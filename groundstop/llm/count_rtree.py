@@ -304,7 +304,14 @@ def _dealt(members: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``."""
+    """(doc_id, n_shingles, component_id) for every row of ``docs``, stored; what it was made from goes."""
+    out = scratch_path(docs.sparkSession, "jaccard-components")
+    with scratch_scope(docs.sparkSession):
+        _components(docs, block).write.parquet(out)
+    return docs.sparkSession.read.parquet(out)
+
+
+def _components(docs: DataFrame, block: int) -> DataFrame:
     spark = docs.sparkSession
     base = scratch_path(spark, "jaccard")
 

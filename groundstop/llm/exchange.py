@@ -42,7 +42,7 @@ TEXT_LEVEL = 5
 def numbered(docs: DataFrame) -> tuple[DataFrame, str]:
     """A stored copy of ``docs`` with a row number, and the name of its column (one that ``docs`` does not have)."""
     out, row = scratch_path(docs.sparkSession, "numbered"), f"row_{uuid.uuid4().hex}"
-    docs.withColumn(row, F.monotonically_increasing_id()).write.parquet(out)
+    docs.withColumn(row, F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(out)
     return docs.sparkSession.read.parquet(out), row
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from groundstop.llm import exchange
 from groundstop.llm.chunks import SPACE, mix, slices, text_buffer
-from groundstop.session import scratch_path
+from groundstop.session import scratch_path, scratch_scope
 
 #: Digests that one filter should hold, about.
 FILTER_KEYS = 50_000
@@ -174,7 +174,14 @@ def keep_one(docs: DataFrame, incoming: str = "pmod(xxhash64(doc_id), 2) = 1") -
 
 
 def _decisions(docs: DataFrame, incoming: str, digest_bytes: int, filter_keys: int, row: str | None = None) -> DataFrame:
-    """What ``dedup`` returns, and the value of the column ``row``."""
+    """What ``dedup`` returns, and the value of the column ``row``, stored; what it was made from goes."""
+    out = scratch_path(docs.sparkSession, "exact-decisions")
+    with scratch_scope(docs.sparkSession):
+        _decided(docs, incoming, digest_bytes, filter_keys, row).write.parquet(out)
+    return docs.sparkSession.read.parquet(out)
+
+
+def _decided(docs: DataFrame, incoming: str, digest_bytes: int, filter_keys: int, row: str | None) -> DataFrame:
     spark = docs.sparkSession
     base = scratch_path(spark, "exact-dedup")
     _scan(docs, digest_bytes, row, False).withColumn("new", F.coalesce(F.expr(incoming), F.lit(False))).write.parquet(f"{base}/digests")

@@ -28,7 +28,7 @@ import pyarrow as pa
 from groundstop.llm.chunks import span_hashes, text_buffer
 
 #: Pieces that a worker remembers before it lets go of some.
-MAX_PIECES = 1_500_000
+MAX_PIECES = 900_000
 
 _VISIBLE = np.zeros(256, bool)
 _VISIBLE[0x21:0x7F] = True

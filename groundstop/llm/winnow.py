@@ -30,7 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from groundstop.session import scratch_path
+from groundstop.session import scratch_path, scratch_scope
 
 SPAN, GRAM = 10, 5
 GUARD = SPAN - GRAM + 1
@@ -178,7 +178,10 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, with all their columns, that hold no window of the benchmark."""
-    found, _, _ = hits(docs, benchmark)
+    out = scratch_path(docs.sparkSession, "benchmark-hits")
+    with scratch_scope(docs.sparkSession):
+        hits(docs, benchmark)[0].select("doc_id", "version").distinct().write.parquet(out)
+    found = docs.sparkSession.read.parquet(out)
     name, version = f"id_{uuid.uuid4().hex}", f"version_{uuid.uuid4().hex}"  # names that docs does not have
-    dirty = found.select(F.col("doc_id").alias(name), F.col("version").alias(version)).distinct()
+    dirty = found.select(F.col("doc_id").alias(name), F.col("version").alias(version))
     return docs.join(dirty, docs["doc_id"].eqNullSafe(F.col(name)) & (F.xxhash64(docs["text"]) == F.col(version)), "left_anti")

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 
 from groundstop.llm import exchange
 from groundstop.llm.chunks import BYTE_CODE, mix, text_buffer
-from groundstop.session import scratch_path
+from groundstop.session import remove_scratch, scratch_path, shuffles_removed
 
 SPAN, GRAM = 50, 26
 CHOICE = SPAN - GRAM + 1
@@ -387,14 +387,23 @@ def _result(run: int, chunk: pa.RecordBatch, got: dict[int, bytes]) -> list[pa.R
 
 
 def _answers(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Stored chunks; stored occurrences of every run and the shards' answers to it: (run, shard, blob)."""
+    """Stored chunks; stored occurrences of every run and the shards' answers to it: (run, shard, blob).
+
+    The messages go once they are answered, and a step's shuffle files once
+    its result is stored: what is on disk at a time is one step's.
+    """
     spark, base = docs.sparkSession, scratch_path(docs.sparkSession, "suffix-runs")
     bits, chunks = exchange.shard_bits(docs), exchange.packed(docs, ["doc_id", "text"])
-    flags = exchange.answer(exchange.send(chunks, _ask(bits)), _repeated)
-    exchange.finish(chunks, flags, _runs(bits), exchange.MESSAGES).write.parquet(f"{base}/runs")
-    runs = spark.read.parquet(f"{base}/runs")
-    exchange.answer(runs.where("shard >= 0"), _reply).write.parquet(f"{base}/answers")
-    return chunks, runs.where(f"shard = {OWN}").union(spark.read.parquet(f"{base}/answers"))
+    stored = lambda name: spark.read.schema(f"{exchange.MESSAGES}, own boolean").parquet(f"{base}/{name}")
+    with shuffles_removed(spark):
+        flags = exchange.answer(exchange.send(chunks, _ask(bits)), _repeated)
+        runs = exchange.finish(chunks, flags, _runs(bits), exchange.MESSAGES).selectExpr("*", f"shard = {OWN} AS own")
+        runs.write.option("compression", "uncompressed").partitionBy("own").parquet(f"{base}/runs")
+        replies = exchange.answer(stored("runs").where("NOT own").drop("own"), _reply)
+        replies.write.option("compression", "uncompressed").parquet(f"{base}/answers")
+    remove_scratch(spark, f"{base}/runs/own=false")
+    answers = spark.read.schema(exchange.MESSAGES).parquet(f"{base}/answers")
+    return chunks, stored("runs").where("own").drop("own").union(answers)
 
 
 def repeats(docs: DataFrame) -> DataFrame:

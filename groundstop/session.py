@@ -76,6 +76,24 @@ def scratch_scope(spark: SparkSession):
             remove_scratch(spark, path)
 
 
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]):
+    """The session's settings are ``values`` inside, and what they were before at the end."""
+    before = {k: spark.conf.get(k, None) for k in values}
+    for k, v in values.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def shuffles_removed(spark: SparkSession):
+    """Shuffle files of a query that ends inside go with its end, not with the driver's next collection of garbage."""
+    return settings(spark, {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"})
+
+
 def scratch_table(spark: SparkSession, name: str) -> str:
     """A unique, fully qualified table name in the scratch database.
 

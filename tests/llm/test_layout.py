@@ -1,10 +1,13 @@
 """Results do not depend on how a scan is cut, and column names of the input do no harm."""
 
+import glob
+
 import pytest
 from pyspark.sql import functions as F
 
 from groundstop.llm import count_rtree, fragment_align, fuse_dedup, phrase_automata, suffix_merge, term_treap, trie_lm, winnow
 from groundstop.llm.queries import BYTE_BPE, PIECE_BPE
+from groundstop.session import checkpoint_dir
 
 CUT = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.leafNodeDefaultParallelism"
 
@@ -60,3 +63,24 @@ def test_names_of_columns_do_not_clash(spark, docs):
         assert got.columns == wide.columns
         assert sorted(r.text or "" for r in got.collect()) == sorted(r.text or "" for r in keep(docs.select("doc_id", "text")).collect())
         assert got.where(F.array(*names) != F.array(*[F.lit(i) for i in range(len(names))])).count() == 0
+
+
+def test_suffix_messages_and_shuffles_go_once_answered(spark, docs):
+    base = checkpoint_dir(spark).removeprefix("file:")
+    before, key = set(glob.glob(f"{base}/scratch/suffix-runs-*")), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen, kept = [], spark.conf.get(key)
+    real = suffix_merge.exchange.answer
+
+    def watched(messages, reply):
+        seen.append(spark.conf.get(key))
+        return real(messages, reply)
+
+    suffix_merge.exchange.answer = watched
+    try:
+        got = suffix_merge.repeats(docs)
+    finally:
+        suffix_merge.exchange.answer = real
+    fresh, = set(glob.glob(f"{base}/scratch/suffix-runs-*")) - before
+    assert {r.shard for r in spark.read.parquet(f"{fresh}/runs").select("shard").distinct().collect()} == {suffix_merge.OWN}
+    assert seen == ["true", "true"] and spark.conf.get(key) == kept
+    assert got.count() == docs.count()

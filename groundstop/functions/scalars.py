@@ -85,7 +85,8 @@ def flight_id(*parts: ColumnOrName, sep: str = "*") -> Column:
 def blank_to_null(c: ColumnOrName) -> Column:
     """A value that is exactly one whitespace character becomes null."""
     v = _c(c)
-    return F.when(v.rlike(r"^\s$"), F.lit(None).cast("string")).otherwise(v)
+    # The pattern matches three characters at most (``$`` also stands before a final line end); longer texts need no matcher.
+    return F.when((F.length(v) <= 3) & v.rlike(r"^\s$"), F.lit(None).cast("string")).otherwise(v)
 
 
 def flag_text(flag: ColumnOrName) -> Column:

@@ -49,8 +49,14 @@ CANCELLED_MAP = {"1": "Yes", "0": "No"}
 
 
 def clean_values(df: DataFrame) -> DataFrame:
-    """Relabel ``cancel`` and ``cancelled``, then one-blank-character text -> null."""
-    out = df.na.replace(CANCEL_MAP, subset=["cancel"]).na.replace(CANCELLED_MAP, subset=["cancelled"])
+    """Relabel ``cancel`` and ``cancelled``, then one-blank-character text -> null.
+
+    Opening a one-element array computes the input's columns once per row; a
+    filter on the cleaned values, which Spark moves below this projection,
+    would compute each of them again at every use.
+    """
+    once = df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    out = once.na.replace(CANCEL_MAP, subset=["cancel"]).na.replace(CANCELLED_MAP, subset=["cancelled"])
     text_cols = [f.name for f in out.schema.fields if f.dataType.simpleString() == "string"]
     return out.withColumns({c: blank_to_null(c) for c in text_cols})
 

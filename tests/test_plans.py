@@ -1,7 +1,9 @@
 """Physical-plan properties: pushdown, pruning, partial aggregation, bounded top-k."""
 
+from pyspark.sql import functions as F
 
 from groundstop import fixtures as fx
+from groundstop.functions import blank_to_null
 from groundstop.operators import rates
 from groundstop.session import scratch_table
 from groundstop.sources import load_tables, save_table, scan_table
@@ -75,3 +77,29 @@ def test_catalog_describe_describes_a_table_of_the_flights(spark, sf_dir):
     assert [r.col_name for r in rows][:len(flights.columns)] == flights.columns
     tables = [t.name for t in spark.catalog.listTables("groundstop_scratch") if t.name.startswith("flights_desc_")]
     assert tables and all(spark.table(f"groundstop_scratch.{t}").count() == flights.count() for t in tables)
+
+
+def test_cleaning_computes_each_value_once(spark, sf_dir):
+    """The filter on cleaned values must not compute them again below the projection."""
+    from groundstop.operators import simulation
+
+    rows = [("k1", "1999-01-04", "AA", "12", "N01", " ", "930", "1130", 0.0, 90.0, 7.0), ("k2", "1999-01-05", "AB", "1", "N02", "N03", "30", "230", 1.0, 60.0, 8.0)]
+    flights = spark.createDataFrame(rows, "row_key string, fl_date string, op_carrier string, op_carrier_fl_num string, origin string, dest string, "
+                                          "crs_dep_time string, crs_arr_time string, cancelled double, crs_elapsed_time double, distance double")
+    flights = flights.withColumns({"fl_date": F.to_date("fl_date"), "row_key": F.concat_ws("+", "row_key", "op_carrier")})
+    clean = simulation.drop_incomplete(simulation.clean_values(simulation.simulation_frame(flights)))
+    plan = clean._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("concat_ws(+") == 1 and plan.count("concat_ws(*") == 1
+    assert [(r.row_key, r.cancelled, r.cancel, r.hour) for r in clean.collect()] == [("k2+AB", "Yes", "Yes", "00")]
+
+
+def test_blank_values_as_before(spark):
+    texts = ["", " ", "\t", "\n", " \n", " \r\n", "\r\n", "  ", "  ", " a", "a", "a b", " \n\n", " ", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    rows = df.select("t", blank_to_null("t").alias("now"), F.when(F.col("t").rlike(r"^\s$"), None).otherwise(F.col("t")).alias("was")).collect()
+    assert [r.now for r in rows] == [r.was for r in rows] and sum(r.now is None for r in rows) > 5
+
+
+def test_customers_meet_their_orders_before_the_lines_do(spark, sf_dir):
+    plan = fx.flights_full(load_tables(spark, sf_dir))._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 < plan.index("(l_orderkey") < plan.index("(o_custkey")

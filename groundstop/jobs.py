@@ -181,8 +181,8 @@ def monitor_job(
     with scratch_scope(spark):
         path = scratch_path(spark, "labelled")
         monitor.with_late_labels(scored_requests, labels).select(
-            "uuid", "timestamp_ms", "feature", "p_cancel", "prediction", "final_label").write.parquet(path)
-        publish_table(monitor.metrics_frame(spark.read.parquet(path), deployment, block_size), metrics_table)
+            "uuid", "timestamp_ms", "feature", "p_cancel", "prediction", "final_label").write.option("compression", "zstd").parquet(path)
+        publish_table(monitor.metrics_frame(spark.read.parquet(path), deployment, block_size, stored=True), metrics_table)
     return spark.table(metrics_table)
 
 

@@ -4,7 +4,8 @@ Global position (``with_position``) is the scalable replacement of a loop
 over rows in arrival order.  A ``row_number()`` window without a
 partition would pull every row into one task; instead:
 
-1. store the input (its plan runs once), range-partition it on the order key
+1. store the input (its plan runs once; stored files are read as they are),
+   range-partition it on the order key
    (AQE sizes the partitions; merged partitions stay contiguous ranges) and
    sort within partitions,
 2. tag each row with its partition id and in-partition ordinal
@@ -49,25 +50,30 @@ def with_position(
     name: str = "position",
     total: str | None = None,
     num_partitions: int | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add the 1-based global position of each row in ``order``.
 
     ``order`` must be a total order (end it with a unique key) for the
     result to be repeatable.  ``total`` names an optional column holding
-    the row count.
+    the row count.  ``stored``: ``df`` is no more than a scan of files that
+    stay, with a filter or a projection, so it can be read twice and is not
+    stored again.
     """
     spark = df.sparkSession
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    source = scratch_path(spark, "unordered")  # range partitioning samples its input: compute that once
-    df.write.parquet(source)
-    df = spark.read.parquet(source)
+    source = None if stored else scratch_path(spark, "unordered")  # range partitioning samples its input: compute that once
+    if source:
+        df.write.option("compression", "zstd").parquet(source)
+        df = spark.read.parquet(source)
     ranged = df.repartitionByRange(num_partitions, *cols) if num_partitions else df.repartitionByRange(*cols)
     tagged = ranged.sortWithinPartitions(*cols).select(
         "*", F.spark_partition_id().alias("_pid"), F.monotonically_increasing_id().alias("_mid")
     )
     path = scratch_path(spark, "positions")
-    tagged.write.parquet(path)
-    remove_scratch(spark, source)
+    tagged.write.option("compression", "zstd").parquet(path)
+    if source:
+        remove_scratch(spark, source)
     frozen = spark.read.parquet(path)
     counts = frozen.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -98,17 +104,18 @@ def accuracy_by_block(
     label: str = "final_label",
     prediction: str = "prediction",
     ts: str = "timestamp_ms",
+    stored: bool = False,
 ) -> DataFrame:
     """Accuracy of each full block of ``block_size`` rows in arrival order.
 
     A trailing block with fewer rows is not emitted.  Output: ``block``,
     ``n``, ``accuracy``, ``start_ms`` / ``end_ms`` (first and last time
-    stamp of the block).
+    stamp of the block).  ``stored`` as in ``with_position``.
     """
     if all(isinstance(c, str) for c in order):
         # Only the columns the block figures need travel through the sort and checkpoint.
         labelled = labelled.select(*dict.fromkeys([*order, label, prediction, ts]))
-    pos = with_position(labelled, list(order))
+    pos = with_position(labelled, list(order), stored=stored)
     block = F.floor((F.col("position") - 1) / F.lit(block_size)).cast("long")
     correct = F.when(F.col(label).cast("int") == F.col(prediction).cast("int"), 1.0).otherwise(0.0)
     return (
@@ -160,13 +167,14 @@ def block_records(blocks: DataFrame, deployment: str) -> DataFrame:
     )
 
 
-def metrics_frame(rows: DataFrame, deployment: str, block_size: int = 100) -> DataFrame:
+def metrics_frame(rows: DataFrame, deployment: str, block_size: int = 100, stored: bool = False) -> DataFrame:
     """Flat, cleaned metric records, per prediction and per full block (``rows`` from ``with_late_labels``).
 
     Epoch milliseconds become timestamps with their difference, a missing
-    accuracy is -1, values get their published types.
+    accuracy is -1, values get their published types.  ``stored`` as in
+    ``with_position``.
     """
-    blocks = accuracy_by_block(rows.where(F.col("final_label").isNotNull()), block_size=block_size)
+    blocks = accuracy_by_block(rows.where(F.col("final_label").isNotNull()), block_size=block_size, stored=stored)
     flat = flatten(prediction_records(rows, deployment).unionByName(block_records(blocks, deployment)))
     return flat.select(
         "record_id",

@@ -18,8 +18,8 @@ from groundstop.sources.batches import BATCH_NO
 
 DEPLOYMENT = "deployment-crn-1"
 
-# Buckets of the registered prediction log; a production log takes about its size / 256 MB.
-LOG_BUCKETS = 8
+# Least buckets of the registered prediction log, and the rows for which one more is taken: a task sorts one bucket.
+LOG_BUCKETS, BUCKET_ROWS = 8, 1_000_000
 
 # --- oracle text -------------------------------------------------------------
 
@@ -93,9 +93,9 @@ def _labelled(spark, sf_dir):
 
 def _published(spark, sf_dir) -> str:
     """The published metrics table of the folder's scored log."""
-    t = _t(spark, sf_dir)
+    log, truth = fx.stored_log(_t(spark, sf_dir), with_feature=True)
     table = scratch_table(spark, "model_metrics")
-    jobs.monitor_job(fx.scored(t, with_feature=True), fx.late_labels(t), table, DEPLOYMENT)
+    jobs.monitor_job(log, truth, table, DEPLOYMENT)
     return table
 
 
@@ -150,13 +150,14 @@ def accuracy_by_block_incremental(spark, sf_dir):
     The labels of the second half's predictions come with the first batch,
     before the predictions that they belong to.
     """
-    t = _t(spark, sf_dir)
+    arrived, told = fx.stored_log(_t(spark, sf_dir))
     log, truth, state = (scratch_table(spark, n) for n in ("inc_log", "inc_labels", "inc_state"))
-    scored = fx.scored(t).select("uuid", "timestamp_ms", "prediction")
+    scored = arrived.select("uuid", "timestamp_ms", "prediction")
     middle = F.lit(scored.agg(F.percentile_approx("timestamp_ms", 0.5)).first()[0])
-    jobs.store_labels(fx.late_labels(t), truth, LOG_BUCKETS)
+    buckets = max(LOG_BUCKETS, arrived.count() // BUCKET_ROWS)
+    jobs.store_labels(told, truth, buckets)
     for half in (F.col("timestamp_ms") <= middle, F.col("timestamp_ms") > middle):
-        jobs.log_predictions(scored.where(half), log, LOG_BUCKETS)
+        jobs.log_predictions(scored.where(half), log, buckets)
         incremental.monitor_increment(spark, log, truth, state)
     incremental.monitor_increment(spark, log, truth, state)
     return incremental.closed_blocks(spark, state).withColumn("accuracy", F.round("accuracy", 6))

@@ -53,7 +53,8 @@ def progress(spark: SparkSession, state: str) -> dict[str, int]:
 
 def _stored(spark: SparkSession, state: str, part: str, run: int) -> DataFrame:
     if run == 0:
-        return spark.createDataFrame([], _FIELDS[part])
+        # Known to be empty when the query is planned, so a union with it is the other side alone, with its buckets.
+        return spark.createDataFrame([], _FIELDS[part]).where(F.lit(False))
     return spark.table(_table(state, part)).where(F.col("run") == run).drop("run")
 
 
@@ -62,7 +63,7 @@ def _store(spark: SparkSession, df: DataFrame, state: str, part: str, run: int)
     table = _table(state, part)
     if not spark.catalog.tableExists(table):
         ensure_database(spark, table)
-        spark.sql(f"CREATE TABLE {table} ({_FIELDS[part]}, run long) USING parquet PARTITIONED BY (run)")
+        spark.sql(f"CREATE TABLE {table} ({_FIELDS[part]}, run long) USING parquet OPTIONS (compression 'zstd') PARTITIONED BY (run)")
     # A static partition, so that it is emptied also where the run has no rows.
     view = f"run_part_{uuid.uuid4().hex}"
     df.createOrReplaceTempView(view)
@@ -91,12 +92,12 @@ def monitor_increment(spark: SparkSession, log_table: str, labels_table: str, st
         told = labels.select("uuid", F.col("final_label").cast("int").alias("final_label")).union(_stored(spark, state, "early", last["run"]))
         told = told.groupBy("uuid").agg(F.min("final_label").alias("final_label"))
         path = scratch_path(spark, "increment")
-        waiting.join(told, "uuid", "full_outer").write.parquet(path)
+        waiting.join(told, "uuid", "full_outer").write.option("compression", "zstd").parquet(path)
         joined = spark.read.parquet(path)
         matched = joined.where("timestamp_ms IS NOT NULL AND final_label IS NOT NULL")
         rows = _stored(spark, state, "open", last["run"]).unionByName(matched.withColumn("place", F.lit(None).cast("long")))
         # Rows carried over come first, in their places.
-        placed = with_position(rows, [F.col("place").asc_nulls_last(), "timestamp_ms", "uuid"], total="_rows")
+        placed = with_position(rows, [F.col("place").asc_nulls_last(), "timestamp_ms", "uuid"], total="_rows", stored=True)
         full = F.floor(F.col("_rows") / block_size) * block_size
         block = (F.floor((F.col("position") - 1) / block_size) + last["blocks"]).cast("long")
         closed = placed.where(F.col("position") <= full).groupBy(block.alias("block")).agg(

@@ -61,7 +61,7 @@ def append_batch(rows: DataFrame, table: str, batch: str, key: str, buckets: int
             spark.catalog.dropTempView(view)
     else:
         dealt = dealt.withColumn(BATCH_NO, F.lit(number).cast("long"))
-        dealt.write.format(fmt).partitionBy(BATCH_NO).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+        dealt.write.format(fmt).option("compression", "zstd").partitionBy(BATCH_NO).bucketBy(buckets, key).sortBy(key).saveAsTable(table)
     stamp = spark.createDataFrame([(batch, number, now_ms() if started_ms is None else started_ms)], "batch string, batch_no long, started_ms long")
     stamp.write.format(fmt).mode("append").saveAsTable(register_of(table))
     return True

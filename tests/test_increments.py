@@ -258,3 +258,62 @@ def test_entry_without_the_training_data_operators(gone):
     code = f"import sys; sys.modules[{gone!r}] = None; import warnings; warnings.simplefilter('ignore'); import __spark_entry__ as E; q = E.queries(); assert 'rate_by_carrier' in q and len(q) >= 64 and not any(k.startswith('op1_') for k in q)"
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True)
+
+
+def _written(monkeypatch, module):
+    """Names of the scratch folders that ``module`` asks for."""
+    names, real = [], module.scratch_path
+    monkeypatch.setattr(module, "scratch_path", lambda spark, name: names.append(name) or real(spark, name))
+    return names
+
+
+def test_first_increment_joins_buckets_without_a_shuffle(spark, monkeypatch):
+    log, truth, state = (scratch_table(spark, n) for n in ("f3_log", "f3_labels", "f3_state"))
+    rows = [(f"u{i:03d}", 1000 + i, i % 2) for i in range(250)]
+    jobs.log_predictions(spark.createDataFrame(rows, "uuid string, timestamp_ms long, prediction int"), log, 4)
+    jobs.store_labels(spark.createDataFrame([(u, 1) for u, _, _ in rows], "uuid string, final_label int"), truth, 4)
+    told = new_batches(spark, truth)[0].select("uuid", "final_label").union(incremental._stored(spark, state, "early", 0))
+    waiting = new_batches(spark, log)[0].select("uuid", "timestamp_ms", "prediction").union(incremental._stored(spark, state, "pending", 0))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = waiting.join(told.groupBy("uuid").agg(F.min("final_label")), "uuid", "full_outer")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Exchange" not in plan
+    names = _written(monkeypatch, monitor)
+    incremental.monitor_increment(spark, log, truth, state)
+    assert names == ["positions"]  # the stored increment is not stored again to be sorted
+    assert [tuple(r) for r in incremental.closed_blocks(spark, state).orderBy("block").collect()] == [(0, 100, 0.5, 1000, 1099), (1, 100, 0.5, 1100, 1199)]
+
+
+def test_metrics_read_the_flights_once_and_store_the_join_once(spark, sf_dir, monkeypatch):
+    from groundstop.plans import QUERIES
+
+    for name in ("metrics_table", "metrics_tail", "accuracy_by_block_incremental", "labels_joined_stream"):
+        built, real = [], fx._scored_lines
+        monkeypatch.setattr(fx, "_scored_lines", lambda t, f: built.append(f) or real(t, f))
+        names = _written(monkeypatch, monitor)
+        labels = []
+        monkeypatch.setattr(fx, "late_labels", lambda t: labels.append(t))
+        QUERIES[name](spark, sf_dir)
+        monkeypatch.undo()
+        assert labels == [] and "unordered" not in names
+
+
+def test_late_labels_in_drops_by_time(spark, monkeypatch):
+    """Many drops: the state is cleared on the way and no pair is lost."""
+    from groundstop.plans import streams
+
+    day = 86_400_000
+    rows = [(f"u{i:03d}", 1_700_000_000_000 + i * day, i / 400, i % 2) for i in range(400)]
+    log = spark.createDataFrame(rows, "uuid string, timestamp_ms long, p_cancel double, prediction int")
+    truth = spark.createDataFrame([(u, 1) for i, (u, *_) in enumerate(rows) if i % 7], "uuid string, final_label int")
+    monkeypatch.setattr(streams, "load_tables", lambda spark, sf_dir: None)
+    monkeypatch.setattr(streams.fx, "stored_log", lambda t: (log, truth))
+    monkeypatch.setattr(streams, "DROP_ROWS", 80)
+    started, real = [], streams.late_label_stream
+    monkeypatch.setattr(streams, "late_label_stream", lambda *a, **k: started.append(real(*a, **k)) or started[-1])
+    got = streams.q_labels_joined_stream(spark, "")
+    assert sorted(r.uuid for r in got.collect()) == sorted(u for i, (u, *_) in enumerate(rows) if i % 7)
+    state = [p.stateOperators[0].numRowsTotal for p in started[1].recentProgress if p.stateOperators]
+    assert len(started) == 3 and len(state) >= 10 and max(state) < 500 < len(rows) + truth.count()

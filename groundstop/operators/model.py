@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -108,7 +108,11 @@ def score(model: PipelineModel, requests: DataFrame, keep: list[str] | None = No
     stand_in |= {c: F.when(F.col("_known"), F.col(c)).otherwise(F.lit(0)) for c in NUMERIC_FEATURES}
     plain = [c for c in keep if c not in NUMERIC_FEATURES]
     kept = {f"_keep_{c}": F.col(c) for c in keep if c in NUMERIC_FEATURES}
-    scored = PipelineModel(stages=rest).transform(indexed.withColumns(kept).withColumns(stand_in))
+    *prepare, trees = rest
+    ready = PipelineModel(stages=prepare).transform(indexed.withColumns(kept).withColumns(stand_in))
+    # A node looks its feature up by place in a dense vector and searches a sparse one; a row meets hundreds of nodes.
+    at = trees.getFeaturesCol()
+    scored = trees.transform(ready.withColumn(at, array_to_vector(vector_to_array(at))))
     prob = vector_to_array(F.col("probability"))
     result = {
         "prediction": F.col("prediction").cast("int"),

@@ -1,7 +1,10 @@
 """Model pipeline properties (scores are engine-specific; properties are not)."""
 
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
 from groundstop import fixtures as fx
@@ -71,3 +74,16 @@ def test_onehot_keeps_every_category(fitted):
     assert width == n_cats
     enc = m.transform(fl.limit(5)).select(vector_to_array("raw_features").alias("a")).collect()
     assert all(sum(r.a[:width]) == 3.0 for r in enc)
+
+
+def test_trees_score_dense_vectors_with_equal_results(fitted, monkeypatch):
+    m, _, _, test = fitted
+    plain = PipelineModel(stages=m.stages).transform(test)
+    plain = plain.select("row_key", F.col("prediction").cast("int").alias("prediction"), model.p_cancel().alias("p_cancel"))
+    seen, transform = [], GBTClassificationModel._transform
+    monkeypatch.setattr(GBTClassificationModel, "_transform", lambda self, df: seen.append(df) or transform(self, df), raising=False)
+    got = model.score(m, test, ["row_key"]).select("row_key", "prediction", "p_cancel")
+    assert got.exceptAll(plain).count() == plain.exceptAll(got).count() == 0
+    (given,) = seen
+    vectors = [r.features for r in given.select("features").collect()]
+    assert vectors and all(isinstance(v, DenseVector) for v in vectors)

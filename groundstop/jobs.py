@@ -154,11 +154,19 @@ def score_job(spark: SparkSession, model_path: str, requests: DataFrame, feature
     that is not an ISO week (1-53), an hour that is not 0-24 or a category
     the model has not seen gets ``valid = false`` and null results instead
     of a score.
+
+    Each different text is parsed and scored once and joined to its requests.
+    The texts with a score are at most the model's categories multiplied with
+    53 weeks and 25 hours, however many requests there are.  ``requests`` is
+    read twice, so a costly one should be stored.
     """
-    keep = [c for c in requests.columns if c != feature]
-    parsed = scoring.parse_requests(requests, feature, keep=keep).withColumn("_valid", scoring.request_valid())
-    scored = model.score(model.load_model(model_path), parsed, [*keep, "_valid"])
-    return _only_valid(scored, scored["_valid"]).drop("_valid")
+    keep = [F.col(c) for c in requests.columns if c != feature]
+    texts = requests.select(F.col(feature).alias("_text")).distinct()
+    parsed = scoring.parse_requests(texts, "_text", keep=["_text"]).withColumn("_valid", scoring.request_valid())
+    scored = model.score(model.load_model(model_path), parsed, ["_text", "_valid"])
+    scored = _only_valid(scored, scored["_valid"]).drop("_valid")
+    results = [c for c in scored.columns if c != "_text"]
+    return requests.join(scored, F.col(feature).eqNullSafe(F.col("_text")), "left").select(*keep, *results)
 
 
 def _only_valid(scored: DataFrame, also: Column) -> DataFrame:
@@ -222,7 +230,9 @@ def score_and_monitor_job(
     if known_batch(spark, log_table, batch) is None:
         with scratch_scope(spark):
             sample = simulation.simulation_sample(simulation_rows, n, key)
-            requests = scoring.request_frame(sample).select(F.col(key).alias("uuid"), "feature")
+            path = scratch_path(spark, "requests")
+            scoring.request_frame(sample).select(F.col(key).alias("uuid"), "feature").write.parquet(path)
+            requests = spark.read.parquet(path)
             scored = score_job(spark, model_path, requests.withColumn("text", F.col("feature"))).withColumnRenamed("text", "feature")
             timed = monitor.with_position(scored.where("valid").select("uuid", "feature", "prediction", "p_cancel", "proba"), ["uuid"])
             timed = timed.select("uuid", (F.lit(started_ms) + F.col("position")).cast("long").alias("timestamp_ms"), "feature", "prediction", "p_cancel", "proba")

@@ -240,7 +240,9 @@ def score_batch(spark, sf_dir):
         .when(digit == 4, F.concat_ws(",", parts[0], F.lit(""), parts[2], parts[3], parts[4]))
         .otherwise(F.col("feature"))
     )
-    scored = jobs.score_job(spark, path, requests.withColumn("feature", broken))
+    kept = scratch_path(spark, "requests")
+    requests.withColumn("feature", broken).write.option("compression", "zstd").parquet(kept)
+    scored = jobs.score_job(spark, path, spark.read.parquet(kept))
     ok = lambda c: F.coalesce(c, F.lit(False))
     return scored.select(
         "row_key", "valid", ok(F.col("prediction").isin(0, 1)).alias("prediction_ok"), ok(F.col("p_cancel").between(0.0, 1.0)).alias("probability_ok"))

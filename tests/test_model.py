@@ -7,7 +7,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseVector
 from pyspark.sql import functions as F
 
-from groundstop import fixtures as fx
+from groundstop import fixtures as fx, jobs
 from groundstop.operators import features, model, sampling
 from groundstop.session import scratch_path
 from groundstop.sources import load_tables
@@ -87,3 +87,26 @@ def test_trees_score_dense_vectors_with_equal_results(fitted, monkeypatch):
     (given,) = seen
     vectors = [r.features for r in given.select("features").collect()]
     assert vectors and all(isinstance(v, DenseVector) for v in vectors)
+
+
+def test_equal_requests_are_scored_once_and_all_come_back(spark, fitted, monkeypatch):
+    m, _, _, _ = fitted
+    carriers, origins, dests = m.stages[0].labelsArray
+    good, other = (f"{c},{origins[0]},{dests[0]},1,9" for c in carriers[:2])
+    texts = [good] * 40 + [other] * 3 + [None] * 5 + ["", "", f"Nobody,{origins[0]},{dests[0]},1,9", f"{good},9"]
+    df = spark.createDataFrame([*enumerate(texts), (7, good), (None, good), (None, None)], "rid int, feature string").repartition(4)
+    path = model.save_model(m, scratch_path(spark, "model-once"))
+    seen, transform = [], GBTClassificationModel._transform
+    monkeypatch.setattr(GBTClassificationModel, "_transform", lambda self, df: seen.append(df) or transform(self, df), raising=False)
+    scored = jobs.score_job(spark, path, df)
+    got = scored.collect()
+    (given,) = seen
+    assert given.count() == 6  # different texts, null among them
+    assert scored.columns == ["rid", "valid", "prediction", "p_cancel", "proba"]
+    assert len(got) == len(texts) + 3 and sorted(str(r.rid) for r in got) == sorted(map(str, [*range(len(texts)), 7, None, None]))
+    assert sorted(r.rid for r in got if r.valid and r.rid is not None) == sorted([*range(43), 7])
+    assert sum(r.valid for r in got if r.rid is None) == 1
+    parts = spark.createDataFrame([(1, carriers[0], origins[0], dests[0], 1, 9)], "id int, op_carrier string, origin string, dest string, week int, hour int")
+    (one,) = model.score(m, parts, ["id"]).collect()
+    assert {r[2:] for r in got if r.rid in range(40)} == {one[2:]}
+    assert all(r.valid is False and r.prediction is None and r.p_cancel is None for r in got if r.rid is not None and r.rid >= 43)

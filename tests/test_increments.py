@@ -317,3 +317,31 @@ def test_late_labels_in_drops_by_time(spark, monkeypatch):
     assert sorted(r.uuid for r in got.collect()) == sorted(u for i, (u, *_) in enumerate(rows) if i % 7)
     state = [p.stateOperators[0].numRowsTotal for p in started[1].recentProgress if p.stateOperators]
     assert len(started) == 3 and len(state) >= 10 and max(state) < 500 < len(rows) + truth.count()
+
+
+def test_label_state_lies_in_a_few_rows(spark):
+    """Repeated and null ids, nulls, NaN and times that do not fit: the pairs of a left outer join, from a state of buckets."""
+    day, now = 86_400_000, 1_700_000_000_000
+    scored_in, labels_in, sink, ckpt = (scratch_path(spark, n) for n in ("s", "l", "out", "ckpt"))
+    scored = [(f"u{i}", now + i, i / 7, i % 2) for i in range(300)]
+    scored += [("twice", now, None, None), ("twice", now + 1, float("nan"), 1), (None, now, 0.5, 1), ("far", now, 0.5, 1)]
+    labels = [(f"u{i}", i % 2, now + 1000) for i in range(300) if i % 3]
+    labels += [("twice", 1, now), ("twice", None, now + day), (None, 1, now), ("far", 1, now + 3 * day)]
+
+    def drop(scored, labels):
+        spark.createDataFrame([(*s, None) for s in scored], "uuid string, timestamp_ms long, p_cancel double, prediction int, feature string").coalesce(1).write.mode("append").parquet(scored_in)
+        spark.createDataFrame(labels, "uuid string, final_label int, labelled_ms long").coalesce(1).write.mode("append").parquet(labels_in)
+        q = late_label_stream(spark, scored_in, labels_in, sink, ckpt, early="1 day", wait="2 days", lateness="1 hour")
+        q.awaitTermination()
+        return [p.stateOperators[0].numRowsTotal for p in q.recentProgress if p.stateOperators]
+
+    state = drop([], labels[::2]) + drop(scored, labels[1::2])
+    assert 0 < max(state) <= 128 < len(scored)
+    for later in (10, 11):  # time goes on: what has no label comes out with null
+        drop([(f"next{later}", now + later * day, 0.1, 0)], [(f"other{later}", 0, now + later * day)])
+    want = []
+    for u, t, p, k in scored:
+        found = [v for w, v, at in labels if u is not None and u == w and t - day <= at <= t + 2 * day]
+        want += [(u, t, p, k, v) for v in (found or [None])]
+    got = [tuple(r) for r in spark.read.parquet(sink).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
